@@ -32,19 +32,18 @@ def dates_to_text(df: DataFrame, dialect: str = "mysql") -> DataFrame:
 
     Sub-second digits are dropped, as the source drivers print them.
     """
+    return df.select([dialect_text(F.col(f"`{f.name}`"), f.dataType, dialect).alias(f.name)
+                      for f in df.schema.fields])
+
+
+def dialect_text(col: Column, data_type: T.DataType, dialect: str) -> Column:
+    """P10 for one column of a known type."""
     rules = DATE_TEXT_DIALECTS[dialect.lower()]
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        dt = f.dataType
-        if isinstance(dt, (T.TimestampType, T.TimestampNTZType)) and rules["timestamp"]:
-            c = F.date_format(c, rules["timestamp"])
-        elif isinstance(dt, T.DateType) and rules["date"]:
-            c = F.date_format(c.cast("timestamp_ntz"), rules["date"])
-        else:
-            c = c.cast("string")
-        cols.append(c.alias(f.name))
-    return df.select(cols)
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)) and rules["timestamp"]:
+        return F.date_format(col, rules["timestamp"])
+    if isinstance(data_type, T.DateType) and rules["date"]:
+        return F.date_format(col.cast("timestamp_ntz"), rules["date"])
+    return col.cast("string")
 
 
 # The trial formats of the JDBC loader, in trial order.

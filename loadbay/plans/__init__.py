@@ -6,11 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadbay.plans import transfers
+from loadbay.plans import loads, transfers
 from loadbay.plans.oracle import ORACLE_SQL
 
+_TRANSFERS = ["flagship_totals", "delimited_round_trip", "compressed_round_trip",
+              "sequence_round_trip", "parquet_as_text", "parquet_as_text_arrays", "col_filter",
+              "split_regex_trailing", "null_fit_arity", "dates_to_text", "parse_dates",
+              "reformat_date", "sanitize_escape", "map_columns_set", "typed_by_hive",
+              "typed_parquet", "partition_read", "sharded_union", "route_shards",
+              "read_with_schema", "print_rows", "csv_files", "sql_query"]
+_LOADS = ["key_range_chunks", "extent_span", "clip_ranges", "key_range_scan", "rows_to_cells",
+          "cells_to_rows", "load_ignore", "load_replace", "split_dirty", "check_limit",
+          "transfer_stats", "reconcile", "catalog_load", "line_stream", "detect_format",
+          "row_lengths"]
+
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "flagship_totals": transfers.flagship_totals,
+    **{k: getattr(transfers, k) for k in _TRANSFERS},
+    **{k: getattr(loads, k) for k in _LOADS},
 }
 
 __all__ = ["PLANS", "ORACLE_SQL"]

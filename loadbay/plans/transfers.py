@@ -37,3 +37,243 @@ def flagship_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.round(F.sum("_c3"), 2).alias("sum_base_price"),
                  F.round(F.sum("_c4"), 2).alias("sum_discount"),
                  F.round(F.sum("_c5"), 2).alias("sum_tax")))
+
+
+def _typed_back(df: DataFrame, spec: dict[str, str]) -> DataFrame:
+    """Cast text columns back (``try_cast``) so numbers compare as numbers."""
+    return df.select([F.col(c).try_cast(spec[c]).alias(c) if c in spec else F.col(c)
+                      for c in df.columns])
+
+
+def delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents -> tab text (separators and line ends
+    cleaned, NULL as "") -> read back ("" -> NULL)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    path = sinks.write_delimited(docs, scratch(spark, "delim"), field_split="\t", null_char="")
+    return sources.read_delimited(spark, path, field_split="\t", null_string="", num_fields=4)
+
+
+def compressed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2/K2/P10: orders as MySQL text, gzip files, read back and typed."""
+    orders = table(spark, sf_dir, "orders")
+    text = dt.dates_to_text(orders, "mysql")
+    path = sinks.write_delimited(text, scratch(spark, "gzip"), field_split="\x01",
+                                 compression="gzip")
+    rows = sources.read_delimited(spark, path, field_split="\x01", num_fields=6)
+    rows = rows.toDF(*orders.columns)
+    return _typed_back(rows, {"o_orderkey": "bigint", "o_custkey": "bigint",
+                              "o_totalprice": "double"})
+
+
+def sequence_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer as SequenceFile (key = custkey), read back with the key."""
+    cust = table(spark, sf_dir, "customer")
+    path = sinks.write_sequence(cust, scratch(spark, "seq"), key_index=0, field_split="\x01")
+    rows = sources.read_sequence(spark, path, field_split="\x01", ignore_key=False, num_fields=5)
+    return _typed_back(rows, {"_c3": "double"})
+
+
+def parquet_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read as all-text columns ("" -> NULL)."""
+    text = sources.read_parquet_as_text(spark, f"{sf_dir}/events.parquet", null_string="")
+    return _typed_back(text, {"value": "double"})
+
+
+def parquet_as_text_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A repeated field reads as its last element."""
+    text = sources.read_parquet_as_text(spark, f"{sf_dir}/embeddings.parquet",
+                                        columns=["vec_id", "embedding"])
+    return text.select("vec_id", F.col("embedding").try_cast("float").cast("double")
+                       .alias("embedding_last"))
+
+
+def col_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events text, fields picked and reordered, constants added."""
+    events = dt.dates_to_text(table(spark, sf_dir, "events"), "mysql")
+    path = sinks.write_delimited(events, scratch(spark, "colfilter"), field_split="\x01")
+    return sources.read_delimited(spark, path, field_split="\x01", null_string="",
+                                  col_filter="#5,#2,const,null,#9")
+
+
+def split_regex_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page bodies -> lines -> regex fields, trailing empties dropped."""
+    from loadbay.sources.http import parse_bodies
+
+    pages = table(spark, sf_dir, "pages").select(F.col("url"), F.col("html").alias("body"))
+    rows = parse_bodies(pages, field_split="<br>|</?p>", null_string="")
+    return rows.select("url", "line_no", F.size("fields").alias("n_fields"),
+                       F.get("fields", 0).alias("first_field"),
+                       F.try_element_at("fields", F.lit(-1)).alias("last_field"))
+
+
+def null_fit_arity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names split on blanks, fitted to 3 fields, "ring" -> NULL."""
+    part = table(spark, sf_dir, "part")
+    fitted = tx.null_map_fields(tx.fit_arity(tx.split_line("p_name", " "), 3), "ring")
+    return part.select("p_partkey", *tx.fields_to_columns(fitted, 3))
+
+
+def dates_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: dates and timestamps printed the way each source dialect does."""
+    from pyspark.sql import types as T
+
+    o = table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate").cast("date")
+    return o.select(
+        "o_orderkey",
+        dt.dialect_text(d, T.DateType(), "oracle").alias("d_oracle"),
+        dt.dialect_text(d, T.DateType(), "mysql").alias("d_mysql"),
+        dt.dialect_text(F.col("o_orderdate"), T.TimestampNTZType(), "postgres").alias("ts_text"))
+
+
+def _date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate")
+    return o.select(
+        "o_orderkey",
+        F.date_format(d, "yyyyMMdd").alias("t1"),
+        F.concat(F.lit(" "), F.date_format(d, "yyyy-MM-dd"), F.lit(" ")).alias("t2"),
+        F.date_format(d, "yyyyMMdd HH:mm:ss").alias("t3"),
+        F.concat(F.lit("  "), F.date_format(d, "yyyy-MM-dd HH:mm:ss")).alias("t4"),
+        F.date_format(d + F.expr("INTERVAL 7 HOURS 5 MINUTES"), "HH:mm:ss").alias("t5"),
+        F.col("o_orderpriority").alias("t6"),
+        F.concat(F.date_format(d, "yyyy"), F.lit("13"), F.date_format(d, "dd")).alias("t7"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.date_format(d, "yyyy-MM-dd"))
+        .alias("t8"))
+
+
+def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date texts of many shapes parsed by the trial formats."""
+    texts = _date_texts(spark, sf_dir)
+    cols = [F.date_format(dt.parse_dates(F.col(f"t{i}")), "yyyy-MM-dd HH:mm:ss").alias(f"p{i}")
+            for i in range(1, 9)]
+    return texts.select("o_orderkey", *cols)
+
+
+def reformat_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date text re-formatted; empty input gives empty output."""
+    o = table(spark, sf_dir, "orders")
+    src = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    return o.select(
+        "o_orderkey",
+        dt.reformat_date(src, "yyyy-MM-dd HH:mm:ss", "yyyyMMdd").alias("compact"),
+        dt.timestamp_to_date(src, "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm").alias("day_only"))
+
+
+def sanitize_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loader-safe text: backslashes doubled, separators removed,
+    NULL as \\N."""
+    d = table(spark, sf_dir, "documents")
+    lang = F.when(F.col("lang") == "en", F.lit(None)).otherwise(F.col("lang"))
+    return d.select("doc_id", tx.escape_load("text").alias("esc_text"),
+                    tx.escape_load(lang).alias("esc_lang"),
+                    tx.sanitize_load("source").alias("clean_source"))
+
+
+def map_columns_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positional fields mapped to target columns, a load variable
+    used by a set expression, unlisted target columns NULL."""
+    from loadbay.sinks.jdbc import map_columns, set_exprs
+
+    text = tx.to_text_rows(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"))
+    target = ["id", "cust", "status", "price_cents", "note"]
+    mapped = map_columns(text, ["id", "cust", "@price", "status"], target)
+    return set_exprs(mapped, "price_cents = cast(round(cast(@price as double) * 100) as bigint)",
+                     target)
+
+
+def typed_by_hive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event text typed by Hive type names; bad text -> NULL."""
+    text = dt.dates_to_text(table(spark, sf_dir, "events"), "mysql")
+    return tx.typed_by_hive(text, {"event_id": "bigint", "ts": "string", "user_id": "int",
+                                   "event_type": "string", "value": "decimal(10,2)",
+                                   "props": "int"})
+
+
+def typed_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: lineitem text written as typed Parquet, read back."""
+    li = table(spark, sf_dir, "lineitem")
+    text = dt.dates_to_text(li, "mysql")
+    path = sinks.write_parquet_typed(text, scratch(spark, "typedpq"), LINEITEM_TYPES)
+    return spark.read.parquet(path)
+
+
+def partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem text in flag/status folders; one flag read back,
+    pruned at listing time."""
+    from loadbay.sinks.catalog import write_partitioned
+
+    li = table(spark, sf_dir, "lineitem")
+    text = li.select(F.concat_ws("\t", F.col("l_orderkey").cast("string"),
+                                 F.col("l_linenumber").cast("string")).alias("value"),
+                     "l_returnflag", "l_linestatus")
+    root = write_partitioned(text, scratch(spark, "parts"), ["l_returnflag", "l_linestatus"])
+    rows = sources.read_partition(spark, root, ["l_returnflag", "l_linestatus"], ["R", None],
+                                  field_split="\t", num_fields=2)
+    return _typed_back(rows, {"_c0": "bigint", "_c1": "int"})
+
+
+def sharded_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders spread over 16 shard folders t_00..t_15, read back as one
+    data set with the shard name."""
+    from loadbay.functions.names import expand_shards
+    from loadbay.sources.shards import read_sharded_files
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    shard = F.concat(F.lit("t_"), F.lpad((F.col("o_orderkey") % 16).cast("string"), 2, "0"))
+    root = scratch(spark, "shards")
+    o.withColumn("shard", shard).write.partitionBy("shard").parquet(root)
+    names = [f"shard={t}" for t in expand_shards("t_[00-15]")]
+    df = read_sharded_files(spark, root, names, with_shard=True)
+    return df.withColumn("_shard", F.regexp_replace("_shard", "^shard=", ""))
+
+
+def route_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: rows routed to a target named after their source table."""
+    from loadbay.sinks.catalog import route_shards as route
+
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey", F.concat_ws("_", "p_name", F.col("p_size").cast("string")).alias("src_table"))
+    root = route(p, "src_table", scratch(spark, "routes"))
+    back = spark.read.option("basePath", root).schema("p_partkey bigint, src_table string, target string") \
+        .parquet(root)
+    return back.groupBy("target").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def read_with_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text plus schema sidecar, read back with types."""
+    o = table(spark, sf_dir, "orders")
+    path = sinks.write_with_schema(o, scratch(spark, "withschema"))
+    return sinks.read_with_schema(spark, path)
+
+
+def print_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Console lines (prefix, separator, NULL text)."""
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey",
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None)).otherwise(F.col("c_mktsegment"))
+        .alias("seg"))
+    return sinks.format_rows(c, field_split="|", prefix=">> ", null_char="NULL")
+
+
+def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files with a user header, read back by header."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    path = sinks.write_files(c, scratch(spark, "csv"), file_format="csv",
+                             header=["key", "name", "segment"], field_split=",",
+                             write_mode="truncate")
+    return spark.read.option("header", "true").schema("key string, name string, segment string") \
+        .csv(path)
+
+
+def sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user's own SQL run by Spark, its result turned into text."""
+    from loadbay.sources.catalog import read_query
+
+    sql = (f"SELECT o_orderstatus, o_orderpriority, count(*) AS n, "
+           f"round(sum(o_totalprice), 2) AS total "
+           f"FROM parquet.`{sf_dir}/orders.parquet` GROUP BY o_orderstatus, o_orderpriority;")
+    out = tx.to_text_rows(read_query(spark, sql))
+    return _typed_back(out, {"n": "bigint", "total": "double"})
