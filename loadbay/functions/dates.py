@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadbay.functions.text import ColumnOrName, _c
+from loadbay.functions.text import ColumnOrName, _c, java_trim
 
 # How each source dialect prints its date/time columns.
 # Spark type -> pattern; types not listed print as plain text.
@@ -36,6 +36,15 @@ def dates_to_text(df: DataFrame, dialect: str = "mysql") -> DataFrame:
                       for f in df.schema.fields])
 
 
+def format_dates(df: DataFrame, dialect: str = "mysql") -> DataFrame:
+    """P10 on the date/time columns only; other columns keep their type."""
+    return df.select([
+        dialect_text(F.col(f"`{f.name}`"), f.dataType, dialect).alias(f.name)
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
+        else F.col(f"`{f.name}`")
+        for f in df.schema.fields])
+
+
 def dialect_text(col: Column, data_type: T.DataType, dialect: str) -> Column:
     """P10 for one column of a known type."""
     rules = DATE_TEXT_DIALECTS[dialect.lower()]
@@ -50,13 +59,17 @@ def dialect_text(col: Column, data_type: T.DataType, dialect: str) -> Column:
 LONG_DATE_FORMATS = ("yyyyMMdd HH:mm:ss", "yyyy-MM-dd HH:mm:ss")
 SHORT_DATE_FORMATS = ("yyyyMMdd", "yyyy-MM-dd", "HH:mm:ss")
 
+# pattern -> (exact shape, 1-based start of year, month, day, hour, minute,
+# second in the text; None = not in the pattern).  The shape fixes every
+# position, so the parts are plain substrings.
 _SHAPES = {
-    "yyyyMMdd HH:mm:ss": r"^(\d{4})(\d{2})(\d{2}) (\d{2}):([0-5]\d):([0-5]\d)$",
-    "yyyy-MM-dd HH:mm:ss": r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):([0-5]\d):([0-5]\d)$",
-    "yyyyMMdd": r"^(\d{4})(\d{2})(\d{2})$",
-    "yyyy-MM-dd": r"^(\d{4})-(\d{2})-(\d{2})$",
-    "HH:mm:ss": r"^(\d{2}):([0-5]\d):([0-5]\d)$",
+    "yyyyMMdd HH:mm:ss": (r"\A\d{8} \d{2}:[0-5]\d:[0-5]\d\z", (1, 5, 7, 10, 13, 16)),
+    "yyyy-MM-dd HH:mm:ss": (r"\A\d{4}-\d{2}-\d{2} \d{2}:[0-5]\d:[0-5]\d\z", (1, 6, 9, 12, 15, 18)),
+    "yyyyMMdd": (r"\A\d{8}\z", (1, 5, 7, None, None, None)),
+    "yyyy-MM-dd": (r"\A\d{4}-\d{2}-\d{2}\z", (1, 6, 9, None, None, None)),
+    "HH:mm:ss": (r"\A\d{2}:[0-5]\d:[0-5]\d\z", (None, None, None, 1, 4, 7)),
 }
+_DEFAULT_PART = (1970, 1, 1, 0, 0, 0)
 
 
 def parse_with(col: ColumnOrName, pattern: str) -> Column:
@@ -67,36 +80,63 @@ def parse_with(col: ColumnOrName, pattern: str) -> Column:
         # Any other Spark pattern: parse, then drop the zone again.
         return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
 
-    def part(i: int) -> Column:
-        return F.regexp_extract(c, shape, i).cast("int")
-
-    ok = c.rlike(shape)
-    if pattern == "HH:mm:ss":
-        made = F.try_make_timestamp_ntz(
-            F.lit(1970), F.lit(1), F.lit(1), part(1), part(2), part(3))
-    elif "HH" in pattern:
-        made = F.try_make_timestamp_ntz(part(1), part(2), part(3), part(4), part(5), part(6))
-    else:
-        made = F.try_make_timestamp_ntz(part(1), part(2), part(3), F.lit(0), F.lit(0), F.lit(0))
-    return F.when(ok, made)
+    regex, starts = shape
+
+    def part(k: int) -> Column:
+        pos = starts[k]
+        if pos is None:
+            return F.lit(_DEFAULT_PART[k])
+        width = 4 if k == 0 else 2
+        return F.substring(c, pos, width).cast("int")
+
+    made = F.try_make_timestamp_ntz(*[part(k) for k in range(6)])
+    return F.when(c.rlike(regex), made)
+
+
+def _canonical(t: Column, formats: tuple[str, ...]) -> Column:
+    """The first format whose exact shape ``t`` has, rewritten to the one
+    canonical shape ``yyyyMMdd HH:mm:ss`` (the shapes exclude each other, so
+    the first matching shape is also the only format that can parse it)."""
+    out = None
+    for fmt in formats:
+        regex = _SHAPES[fmt][0]
+        if fmt == "yyyyMMdd HH:mm:ss":
+            text = t
+        elif fmt == "yyyy-MM-dd HH:mm:ss":
+            text = F.translate(t, "-", "")
+        elif fmt == "yyyyMMdd":
+            text = F.concat(t, F.lit(" 00:00:00"))
+        elif fmt == "yyyy-MM-dd":
+            text = F.concat(F.translate(t, "-", ""), F.lit(" 00:00:00"))
+        else:  # HH:mm:ss
+            text = F.concat(F.lit("19700101 "), t)
+        out = (F.when(t.rlike(regex), text) if out is None
+               else out.when(t.rlike(regex), text))
+    return out
+
+
+def _from_canonical(c: Column) -> Column:
+    parts = [F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2),
+             F.substring(c, 10, 2), F.substring(c, 13, 2), F.substring(c, 16, 2)]
+    return F.try_make_timestamp_ntz(*[p.cast("int") for p in parts])
 
 
 def parse_dates(col: ColumnOrName, masks: tuple[str, ...] | None = None) -> Column:
     """Text -> timestamp by trial formats.
 
     Without ``masks``: the *untrimmed* length decides the group (> 11:
-    date-time formats, else date or time formats); the trimmed text is tried
-    against each format in order; none fits -> NULL.  With ``masks`` the
-    given patterns are tried in order instead.
+    date-time formats, else date or time formats); the trimmed text (control
+    characters and blanks cut, as Java's ``trim``) is tried against each
+    format in order; none fits -> NULL.  With ``masks`` the given patterns
+    are tried in order instead.
     """
     c = _c(col)
-    t = F.trim(c)
+    t = java_trim(c)
     if masks:
         return F.coalesce(*[parse_with(t, m) for m in masks])
-    long_ = F.coalesce(*[parse_with(t, m) for m in LONG_DATE_FORMATS])
-    short = F.coalesce(*[parse_with(t, m) for m in SHORT_DATE_FORMATS])
-    return F.when(c.isNull(), F.lit(None).cast("timestamp_ntz")).when(
-        F.length(c) > 11, long_).otherwise(short)
+    canon = F.when(F.length(c) > 11, _canonical(t, LONG_DATE_FORMATS)).otherwise(
+        _canonical(t, SHORT_DATE_FORMATS))
+    return _from_canonical(canon)
 
 
 def reformat_date(col: ColumnOrName, src: str, dst: str) -> Column:

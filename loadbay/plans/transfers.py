@@ -26,7 +26,7 @@ def flagship_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem Parquet -> MySQL-style text -> ``\\001`` files -> read back,
     pick fields, type by Hive names -> per flag/status totals."""
     li = table(spark, sf_dir, "lineitem")
-    text = dt.dates_to_text(li, "mysql")
+    text = dt.format_dates(li, "mysql")
     path = sinks.write_delimited(text, scratch(spark, "flagship"), field_split="\x01")
     rows = sources.read_delimited(spark, path, field_split="\x01", null_string="",
                                   col_filter="#8,#9,#4,#5,#6,#7")

@@ -69,9 +69,11 @@ def text_lines(df: DataFrame, field_split: str = "\x01", line_split: str = "\n",
     """Rows -> one ``value`` line each: fields cleaned of separators and line
     ends (P13a), NULL written as ``null_char`` (P15), joined by the separator."""
     cols = []
-    for c in df.columns:
-        col = F.col(f"`{c}`").cast("string")
-        if sanitize:
+    for f in df.schema.fields:
+        col = F.col(f"`{f.name}`").cast("string")
+        # Numbers, dates and booleans print without separators or line ends:
+        # only text columns need cleaning.
+        if sanitize and isinstance(f.dataType, (T.StringType, T.BinaryType)):
             col = tx.sanitize_hdfs(col, field_split, line_split)
         cols.append(col)
     return df.select(tx.join_fields(cols, field_split, null_char).alias("value"))
