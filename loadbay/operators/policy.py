@@ -8,7 +8,8 @@ NULLs), so every NULL-key row is inserted.
 
 Scale: the per-key pick is an aggregate (``min_by``/``max_by``) with
 map-side partial aggregation, so a hot key costs one row per map task
-before the shuffle; the anti join then sees unique keys on both sides.
+before the shuffle; the join that follows sees unique keys on both sides
+and reuses the aggregate's partitioning.
 """
 
 from __future__ import annotations
@@ -49,20 +50,34 @@ def pick_per_key(df: DataFrame, key: str | Sequence[str], order_col: str,
 
 def load_with_key_policy(target: DataFrame, incoming: DataFrame, key: str | Sequence[str],
                          policy: str = "ignore", order_col: str | None = None) -> DataFrame:
-    """K9: the target table after loading ``incoming`` under ``policy``."""
+    """K9: the target table after loading ``incoming`` under ``policy``.
+
+    One full outer join of the target with the per-key pick decides each
+    key: IGNORE keeps the target's row when there is one, REPLACE takes the
+    incoming row when there is one.  The pick is already hash-partitioned by
+    the key, so only the target is shuffled for the join; NULL-key rows of
+    either side never match and pass through unchanged.
+    """
     policy = policy.lower()
     if policy not in POLICIES:
         raise ValueError(f"unknown policy {policy!r}")
     if order_col is None:
         raise ValueError("an order column is needed to tell first from last")
     keys = _keys(key)
-    incoming = incoming.select(target.columns)
+    cols = target.columns
+    incoming = incoming.select(cols)
     has_key = _all_not_null(keys)
     null_key_rows = incoming.filter(~has_key)
     picked = pick_per_key(incoming.filter(has_key), keys, order_col, last=(policy == "replace"))
-    if policy == "ignore":
-        existing = target.select(*keys).filter(has_key)
-        added = picked.join(existing, keys, "left_anti")
-        return target.unionByName(added).unionByName(null_key_rows)
-    kept = target.join(picked.select(*keys), keys, "left_anti")
-    return kept.unionByName(picked).unionByName(null_key_rows)
+    t = target.select(*[F.col(f"`{c}`").alias(f"t_{c}") for c in cols], F.lit(True).alias("_in_t"))
+    i = picked.select(*[F.col(f"`{c}`").alias(f"i_{c}") for c in cols], F.lit(True).alias("_in_i"))
+    cond = None
+    for k in keys:
+        term = F.col(f"t_{k}") == F.col(f"i_{k}")
+        cond = term if cond is None else (cond & term)
+    joined = t.join(i, cond, "full_outer")
+    use_incoming = (F.col("_in_i").isNotNull() if policy == "replace"
+                    else F.col("_in_t").isNull())
+    merged = joined.select([F.when(use_incoming, F.col(f"i_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
+                            for c in cols])
+    return merged.unionByName(null_key_rows)

@@ -35,7 +35,10 @@ def lines_to_rows(lines: DataFrame, field_split: str = "\t", null_string: str |
     (its length is the arity); with neither, one ``fields`` array column.
     ``keep`` passes extra columns (file name, partition values) through.
     """
-    arr = tx.split_line(F.col(value_col), field_split)
+    # The fields are split once into a column, then picked from it.
+    lines = lines.select(tx.split_line(F.col(value_col), field_split).alias("_fields"),
+                         *[F.col(k) for k in keep])
+    arr = F.col("_fields")
     extra = [F.col(k) for k in keep]
     if col_filter:
         # Constants are not NULL-mapped; picked fields are (unless keep_last
