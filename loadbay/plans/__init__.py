@@ -14,7 +14,8 @@ _TRANSFERS = ["flagship_totals", "delimited_round_trip", "compressed_round_trip"
               "split_regex_trailing", "null_fit_arity", "dates_to_text", "parse_dates",
               "reformat_date", "sanitize_escape", "map_columns_set", "typed_by_hive",
               "typed_parquet", "partition_read", "sharded_union", "route_shards",
-              "read_with_schema", "print_rows", "csv_files", "sql_query"]
+              "read_with_schema", "print_rows", "csv_files", "sql_query", "gbk_round_trip",
+              "remote_text_header"]
 _LOADS = ["key_range_chunks", "extent_span", "clip_ranges", "key_range_scan", "rows_to_cells",
           "cells_to_rows", "load_ignore", "load_replace", "split_dirty", "check_limit",
           "transfer_stats", "reconcile", "catalog_load", "line_stream", "detect_format",

@@ -337,3 +337,21 @@ SELECT conv_id, turn,
             + coalesce(length(role), 0) + coalesce(length(text), 0) AS BIGINT) AS row_len
 FROM conversations
 """
+
+# The characters of U+0080..U+024F that GBK can encode; every
+# other character of that block is written as "?".  (The test texts hold no
+# character above U+024F.)
+GBK_LATIN = "¤§¨°±·×àáèéêìíòó÷ùúüāēěīńňōūǎǐǒǔǖǘǚǜ"
+
+ORACLE_SQL["gbk_round_trip"] = f"""
+SELECT CAST(doc_id AS VARCHAR) AS _c0,
+       nullif(regexp_replace(translate(text, chr(1) || chr(10) || chr(13), '   '),
+                             '[^\\x00-\\x7F{GBK_LATIN}]', '?', 'g'), '') AS _c1
+FROM documents
+"""
+
+ORACLE_SQL["remote_text_header"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1,
+       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_mktsegment END AS _c2
+FROM customer
+"""

@@ -277,3 +277,25 @@ def sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
            f"FROM parquet.`{sf_dir}/orders.parquet` GROUP BY o_orderstatus, o_orderpriority;")
     out = tx.to_text_rows(read_query(spark, sql))
     return _typed_back(out, {"n": "bigint", "total": "double"})
+
+
+def gbk_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as GBK text and read back as GBK; characters
+    GBK cannot encode come back as ``?``."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = sinks.write_delimited(d, scratch(spark, "gbk"), field_split="\x01", encoding="GBK")
+    return sources.read_delimited(spark, path, field_split="\x01", encoding="GBK", num_fields=2)
+
+
+def remote_text_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer as headed text files (a header line in every file),
+    read back with the header of each file dropped and \\N as NULL."""
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name",
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None)).otherwise(F.col("c_mktsegment"))
+        .alias("seg")).repartition(4)
+    path = sinks.write_files(c, scratch(spark, "remote"), file_format="text",
+                             header=["key", "name", "segment"], field_split="\x01",
+                             null_char="\\N")
+    return sources.read_remote_text(spark, path, field_split="\x01", null_string="\\N",
+                                    skip_header=True, num_fields=3)

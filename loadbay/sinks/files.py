@@ -96,6 +96,9 @@ def write_delimited(df: DataFrame, dir_: str, prefix: str | None = None,
     mode = _save_mode(spark, target, dir_, del_mode, write_mode)
     lines = text_lines(df, field_split, line_split, null_char)
     if encoding and encoding.lower().replace("-", "") != "utf8":
+        from loadbay.sources.files import enable_java_charsets
+
+        enable_java_charsets(spark)
         # The text sink writes a string's bytes as they are, so the encoded
         # bytes travel in a string column that is never read as UTF-8.
         lines = lines.select(tx.encode_text("value", encoding).cast("string").alias("value"))
@@ -261,10 +264,14 @@ def write_files(df: DataFrame, path: str, prefix: str | None = None, file_format
     lines = text_lines(out, field_split, "\n", null_char, sanitize=False)
     if header:
         # Each non-empty part file starts with the header line: a one-column
-        # CSV whose column name is that line, with quoting turned off.
+        # CSV whose column name is that line.  Quoting is kept out of the way
+        # (a separator no line holds, quote/escape never triggered) and
+        # blanks are kept, so every line is written exactly as it is.
         lines = lines.withColumnRenamed("value", field_split.join(header))
-        (lines.write.mode(mode).option("header", "true").option("quote", "")
-         .option("escapeQuotes", "false").option("sep", "\u0001")
+        (lines.write.mode(mode).option("header", "true")
+         .option("sep", _NEVER_SEP).option("quote", "\u0002").option("escape", "\u0002")
+         .option("escapeQuotes", "false").option("quoteAll", "false")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
          .option("encoding", encoding).csv(target))
         return target
     lines.write.mode(mode).text(target)
@@ -277,6 +284,9 @@ def write_files(df: DataFrame, path: str, prefix: str | None = None, file_format
 
 SCHEMA_FILE = "__metadata"
 
+# A multi-character separator for one-column CSV output: never inside a line.
+_NEVER_SEP = "\u0000\u0000\u0001\u0000"
+
 
 def write_with_schema(df: DataFrame, path: str, field_split: str = "\x01",
                       null_char: str = "\\N", mode: str = "overwrite") -> str:

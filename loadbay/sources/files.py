@@ -69,6 +69,7 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], field_split:
     """
     keep = ["_file"] if with_file else []
     if encoding.lower().replace("-", "") != "utf8":
+        enable_java_charsets(spark)
         lines = read_text_bytes(spark, path, charset=encoding, line_sep=line_sep,
                                 with_file=with_file)
     else:
@@ -81,6 +82,16 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], field_split:
     return lines_to_rows(lines, field_split, null_string, col_filter, num_fields, keep=keep)
 
 
+def enable_java_charsets(spark: SparkSession) -> None:
+    """GBK, GB2312 and other JVM charsets in ``encode``/``decode`` need the
+    session flag ``spark.sql.legacy.javaCharsets``; characters a charset
+    cannot encode become ``?`` (the JVM's replacement, as the loaders wrote
+    them) with ``spark.sql.legacy.codingErrorAction``.  Both are turned on."""
+    for key in ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction"):
+        if spark.conf.get(key, "false").lower() != "true":
+            spark.conf.set(key, "true")
+
+
 def read_text_bytes(spark: SparkSession, path: str | Sequence[str], charset: str,
                     line_sep: str | None = None, with_file: bool = False) -> DataFrame:
     """Text lines in a non-UTF-8 charset -> ``value`` decoded.
