@@ -29,8 +29,8 @@ def split_column_name(name: str) -> tuple[str, str]:
 # --------------------------------------------------------------------------
 
 def rows_to_cells(df: DataFrame, rowkey_index: int, columns: Sequence[str],
-                  value_index: Sequence[int] | None = None, ts: Column | int | None = None,
-                  encoding: str | None = None) -> tuple[DataFrame, DataFrame]:
+                  value_index: Sequence[int] | None = None,
+                  ts: Column | int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(cells, dirty)`` from positional rows.
 
     Field ``rowkey_index`` is the row key; ``columns[i]`` (``family:qualifier``)
@@ -54,8 +54,6 @@ def rows_to_cells(df: DataFrame, rowkey_index: int, columns: Sequence[str],
     for name, idx in zip(columns, value_index):
         fam, qual = split_column_name(name)
         v = F.col(f"`{names[idx]}`").cast("string")
-        if encoding:
-            v = F.decode(F.encode(v, encoding), encoding)
         entries.append(F.struct(F.lit(fam).alias("family"), F.lit(qual).alias("qualifier"),
                                 v.alias("value")))
     if len(names) <= 1:
@@ -104,8 +102,7 @@ def clip_ranges(ranges: DataFrame, start: str | None = None, stop: str | None =
 
 
 def cells_to_rows(cells: DataFrame, columns: Sequence[str], start: str | None = None,
-                  stop: str | None = None, keep_key: bool = False,
-                  encoding: str | None = None) -> DataFrame:
+                  stop: str | None = None, keep_key: bool = False) -> DataFrame:
     """Chosen ``family:qualifier`` cells -> one row per row key.
 
     The newest version (largest ``ts``) of each cell wins; a missing cell is
@@ -127,9 +124,6 @@ def cells_to_rows(cells: DataFrame, columns: Sequence[str], start: str | None =
         order = F.when(is_it, F.struct(F.col("ts"), F.col("value")))
         aggs.append(F.max_by(F.col("value"), order).alias(f"_c{i}"))
     rows = picked.groupBy("rowkey").agg(*aggs)
-    if encoding:
-        rows = rows.select("rowkey", *[F.decode(F.encode(F.col(f"_c{i}"), encoding), encoding)
-                                       .alias(f"_c{i}") for i in range(len(pairs))])
     return rows if keep_key else rows.drop("rowkey")
 
 

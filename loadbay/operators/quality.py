@@ -218,3 +218,64 @@ def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def sum_lengths(cols: Sequence[str]) -> Column:
     return F.sum(tx.row_length([F.col(c) for c in cols]))
+
+
+# --------------------------------------------------------------------------
+# Q3 + Q4 before commit: a load that only lands when the budget holds
+# --------------------------------------------------------------------------
+
+class LoadRejected(RuntimeError):
+    """The error budget was exceeded; nothing was committed."""
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS is JVM-only
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
+
+
+def load_checked(df: DataFrame, rules: Mapping[str, Column], limit: float, target: str,
+                 fmt: str = "parquet", inclusive: bool = False, dirty_path: str | None = None,
+                 options: Mapping[str, str] | None = None) -> dict[str, object]:
+    """Write the good rows of ``df`` to ``target`` only if the dirty rows stay
+    within ``limit`` (Q4 rules); otherwise raise :class:`LoadRejected`.
+
+    Good rows are written by one job into a staging folder next to the
+    target; the same job counts all rows and dirty rows (an observation
+    placed before the filter).  The staging folder replaces the target by a
+    rename, so readers never see a partial or rejected load.  ``dirty_path``
+    also keeps the dirty rows with their reason (the marked rows are
+    persisted on disk for that second write).
+    """
+    import uuid
+
+    spark = df.sparkSession
+    marked = mark_dirty(df, rules)
+    if dirty_path:
+        marked = marked.persist(StorageLevel.DISK_ONLY)
+    obs = Observation(f"load_checked_{uuid.uuid4().hex[:8]}")
+    observed = marked.observe(obs, F.count(F.lit(1)).alias("rows"),
+                              F.count_if(F.col(DIRTY_REASON).isNotNull()).alias("rejected"))
+    staging = f"{target.rstrip('/')}._staging_{uuid.uuid4().hex[:12]}"
+    good = observed.filter(F.col(DIRTY_REASON).isNull()).drop(DIRTY_REASON)
+    good.write.format(fmt).options(**(options or {})).mode("errorifexists").save(staging)
+    rows, rejected = int(obs.get["rows"]), int(obs.get["rejected"])
+    ok = spark.range(1).select(limit_ok(F.lit(rows), F.lit(rejected), F.lit(float(limit)),
+                                        inclusive)).first()[0]
+    fs, stage_p = _fs(spark, staging)
+    try:
+        if not ok:
+            raise LoadRejected(f"{rejected} of {rows} rows rejected, limit {limit}")
+        if dirty_path:
+            marked.filter(F.col(DIRTY_REASON).isNotNull()).write.mode("overwrite").parquet(dirty_path)
+        _, target_p = _fs(spark, target)
+        if fs.exists(target_p):
+            fs.delete(target_p, True)
+        if not fs.rename(stage_p, target_p):
+            raise RuntimeError(f"could not move {staging} to {target}")
+    finally:
+        if fs.exists(stage_p):
+            fs.delete(stage_p, True)
+        if dirty_path:
+            marked.unpersist()
+    return {"rows": rows, "rejected": rejected, "ok": True, "target": target}

@@ -84,3 +84,11 @@ def extent_span(df: DataFrame, file: str, block: str, blocks: str) -> DataFrame:
             .agg(F.min(block).alias("first_block"),
                  (F.max(block) + F.max_by(blocks, block) - F.lit(1)).alias("last_block"),
                  F.sum(blocks).alias("total_blocks")))
+
+
+def partition_ranges(df: DataFrame, partition_col: str, key: str) -> DataFrame:
+    """R13 (per-partition mode): one key range per partition value of the
+    table, ``(partition, lo, hi, rows)``, from one aggregate."""
+    return (df.groupBy(F.col(partition_col).alias("partition"))
+            .agg(F.min(key).alias("lo"), F.max(key).alias("hi"),
+                 F.count(F.lit(1)).alias("rows")))

@@ -21,6 +21,11 @@ def key_range_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rg.key_range_chunks(table(spark, sf_dir, "orders"), "o_orderkey", 200)
 
 
+def partition_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R13 per-partition mode: key range of orders per order status."""
+    return rg.partition_ranges(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderkey")
+
+
 def extent_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per "file" (supplier) the first block, end of the last extent
     and total length (block = orderkey*10 + linenumber, length = linenumber)."""
@@ -138,6 +143,15 @@ def check_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.when(F.col("s.inclusive"), ok_inc).otherwise(ok_exc).alias("ok"))
 
 
+def checked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3+Q4 before commit: good event rows land in the target only because
+    the dirty share stays within the 50% budget; the target is read back."""
+    e = table(spark, sf_dir, "events")
+    target = scratch(spark, "checked")
+    q.load_checked(e, _event_rules(), 0.5, target, dirty_path=f"{target}_dirty")
+    return spark.read.parquet(target)
+
+
 def transfer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5: rows, characters and derived byte figures of a documents load."""
     d = table(spark, sf_dir, "documents")

@@ -355,3 +355,12 @@ SELECT CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1,
        CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_mktsegment END AS _c2
 FROM customer
 """
+
+ORACLE_SQL["partition_ranges"] = """
+SELECT o_orderstatus AS partition, min(o_orderkey) AS lo, max(o_orderkey) AS hi, count(*) AS rows
+FROM orders GROUP BY o_orderstatus
+"""
+
+ORACLE_SQL["checked_load"] = f"""
+SELECT * FROM events WHERE ({_REASON}) IS NULL
+"""

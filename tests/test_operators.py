@@ -213,3 +213,18 @@ def test_fan_out_drop_failing_sink(spark):
     assert counts == {"bad": None, "good": 10}
     with pytest.raises(RuntimeError):
         q.fan_out(df, {"bad": boom})
+
+
+def test_load_checked_commits_or_rejects(spark, tmp_dir):
+    import os
+
+    df = spark.createDataFrame([(str(i) if i % 4 else "x",) for i in range(40)], "n string")
+    rules = q.type_rules({"n": "int"})
+    with pytest.raises(q.LoadRejected):
+        q.load_checked(df, rules, 0.1, f"{tmp_dir}/rejected")
+    assert not os.path.exists(f"{tmp_dir}/rejected")
+    assert not [p for p in os.listdir(tmp_dir) if "_staging_" in p]
+    out = q.load_checked(df, rules, 10, f"{tmp_dir}/ok", dirty_path=f"{tmp_dir}/dirty")
+    assert (out["rows"], out["rejected"]) == (40, 10)
+    assert spark.read.parquet(f"{tmp_dir}/ok").count() == 30
+    assert spark.read.parquet(f"{tmp_dir}/dirty").count() == 10
