@@ -10,7 +10,6 @@ system API from the driver (a metadata call, no data passes through it).
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -169,19 +168,33 @@ def parquet_column_name(name: str) -> str:
     return name.split(".", 1)[0]
 
 
-def write_parquet_typed(df: DataFrame, dir_: str, types: dict[str, str] | Sequence[str],
+def write_parquet_typed(df: DataFrame, dir_: str, types: dict[str, str] | Sequence[str] | None = None,
                         prefix: str | None = None, del_mode: int | None = None,
-                        compression: str = "snappy") -> str:
+                        compression: str = "snappy",
+                        parquet_schema: T.StructType | str | None = None) -> str:
     """K4: text columns typed by Hive type names (P17), written as Parquet.
 
     Decimal/number -> double, small integers -> int, bigint -> long, unknown
-    -> text; empty or bad text -> NULL; all columns nullable.
+    -> text; empty or bad text -> NULL; all columns nullable.  An explicit
+    ``parquet_schema`` (StructType or DDL) names and types the columns by
+    position instead.
     """
     spark = df.sparkSession
     target = _join(dir_, prefix)
     mode = _save_mode(spark, target, dir_, del_mode, None)
-    typed = tx.typed_by_hive(df, types)
-    typed = typed.select([F.col(f"`{c}`").alias(parquet_column_name(c)) for c in typed.columns])
+    if parquet_schema is not None:
+        schema = (parquet_schema if isinstance(parquet_schema, T.StructType)
+                  else T._parse_datatype_string(parquet_schema))
+        cols = []
+        for c, f in zip(df.columns, schema.fields):
+            src = F.col(f"`{c}`")
+            empty = src.isNull() | (F.trim(src.cast("string")) == F.lit(""))
+            cols.append(F.when(empty, F.lit(None).cast(f.dataType))
+                        .otherwise(F.trim(src.cast("string")).try_cast(f.dataType)).alias(f.name))
+        typed = df.select(cols)
+    else:
+        typed = tx.typed_by_hive(df, types)
+        typed = typed.select([F.col(f"`{c}`").alias(parquet_column_name(c)) for c in typed.columns])
     typed.write.mode(mode).option("compression", compression).parquet(target)
     return target
 
@@ -319,5 +332,3 @@ def read_with_schema(spark: SparkSession, path: str, field_split: str = "\x01",
         cols.append(c.alias(f.name))
     return rows.select(cols)
 
-
-_SAFE_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")

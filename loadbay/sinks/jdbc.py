@@ -145,15 +145,30 @@ def run_jdbc_statements(spark: SparkSession, url: str, text: str | None,
     return len(stmts)
 
 
+def target_columns(spark: SparkSession, url: str, table: str, **props: str) -> list[str]:
+    """Column names of a database table (Spark resolves the schema with a
+    query that returns no rows)."""
+    r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    for k, v in props.items():
+        r = r.option(k, v)
+    return r.load().columns
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
                batchsize: int = 500, truncate: bool = False, pre: str | None = None,
                post: str | None = None, num_partitions: int | None = None,
-               **props: str) -> None:
+               columns_from_table: bool = False, **props: str) -> None:
     """Batched inserts; ``pre`` before, ``post`` only after
     success.  ``truncate=True`` with ``mode="overwrite"`` keeps the table and
-    empties it first.  Errors fail the job."""
+    empties it first.  ``columns_from_table`` names the fields by position
+    after the target table's own columns (P9 cuts or pads them).  Errors fail
+    the job."""
     spark = df.sparkSession
     run_jdbc_statements(spark, url, pre, props)
+    if columns_from_table:
+        names = target_columns(spark, url, table, **props)
+        df = df.select([F.col(f"`{df.columns[i]}`").alias(n) if i < len(df.columns)
+                        else F.lit(None).cast("string").alias(n) for i, n in enumerate(names)])
     w = (df.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
          .option("batchsize", str(batchsize)))
     if truncate:

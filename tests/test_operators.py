@@ -3,7 +3,6 @@ hot key holding a third of the rows."""
 
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 

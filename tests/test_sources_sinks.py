@@ -235,3 +235,11 @@ def test_map_columns_and_set(spark):
     assert ascii_.columns == ["a", "m", "z"]
     with pytest.raises(ValueError):
         kj.map_columns(df, ["nope"], ["id"])
+
+
+def test_parquet_explicit_schema(spark, tmp_dir):
+    df = spark.createDataFrame([("7", " 2.5 ", "")], "a string, b string, c string")
+    path = sk.write_parquet_typed(df, tmp_dir, parquet_schema="id bigint, price double, note string")
+    back = spark.read.parquet(path)
+    assert back.dtypes == [("id", "bigint"), ("price", "double"), ("note", "string")]
+    assert tuple(back.first()) == (7, 2.5, None)

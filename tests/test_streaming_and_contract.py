@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loadbay.streaming import lines as st
 
-from conftest import SF_CHECK, SF_SMALL
+from conftest import SF_CHECK
 
 
 def test_line_stream_fan_out(spark, tmp_dir):
