@@ -17,13 +17,20 @@ _PART_BITS = 2 ** 33  # monotonically_increasing_id = partition << 33 | row
 
 
 def global_rank(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
-    """``(key, rank)`` with ``rank`` 0-based in key order (ties: keep keys unique)."""
+    """``(key, rank, total)`` with ``rank`` 0-based in key order.
+
+    Equal keys are ordered by a tie-breaker (the row's position in the
+    input), so the range partitioning can split a run of equal keys: a key
+    holding a third of all rows is spread over many partitions instead of
+    landing in one task.
+    """
     spark = df.sparkSession
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.select(F.col(key).alias("_k"))
-              .repartitionByRange(num_partitions, F.col("_k").asc_nulls_first())
-              .sortWithinPartitions(F.col("_k").asc_nulls_first())
+    order = [F.col("_k").asc_nulls_first(), F.col("_t").asc()]
+    ranged = (df.select(F.col(key).alias("_k"), F.monotonically_increasing_id().alias("_t"))
+              .repartitionByRange(num_partitions, *order)
+              .sortWithinPartitions(*order)
               .select("_k",
                       F.spark_partition_id().alias("_p"),
                       (F.monotonically_increasing_id()
@@ -64,12 +71,28 @@ def key_range_chunks(df: DataFrame, key: str, n: int = 200,
 
 
 def chunk_predicates(bounds: list[tuple], key: str, where: str | None = None) -> list[str]:
-    """SQL predicates, one per chunk (``lo``/``hi`` inclusive), AND-ed with
-    the user's ``where``.  No chunks -> one predicate reading everything."""
-    def lit(v):
-        return f"'{v}'" if isinstance(v, str) else str(v)
+    """SQL predicates, one per chunk, AND-ed with the user's ``where``.
 
-    preds = [f"{key} >= {lit(lo)} AND {key} <= {lit(hi)}" for lo, hi in bounds]
+    Chunks are half-open between consecutive lower bounds (the first is open
+    below and also takes NULL keys, the last is open above), so every row is
+    read exactly once even when equal keys straddle two chunks.  No chunks ->
+    one predicate reading everything.
+    """
+    def lit(v):
+        return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+
+    los = sorted({lo for lo, _hi in bounds if lo is not None})
+    preds = []
+    for i, lo in enumerate(los):
+        parts = []
+        if i > 0:
+            parts.append(f"{key} >= {lit(lo)}")
+        if i + 1 < len(los):
+            parts.append(f"{key} < {lit(los[i + 1])}")
+        pred = " AND ".join(parts) if parts else "1=1"
+        if i == 0:
+            pred = f"({pred}) OR {key} IS NULL" if parts else pred
+        preds.append(pred)
     if not preds:
         preds = ["1=1"]
     if where:

@@ -41,11 +41,24 @@ def test_key_range_chunks_empty(spark):
 
 
 def test_chunk_predicates():
-    assert rg.chunk_predicates([(1, 5), (6, 9)], "id", "x > 0") == [
-        "(id >= 1 AND id <= 5) AND (x > 0)", "(id >= 6 AND id <= 9) AND (x > 0)"]
+    assert rg.chunk_predicates([(1, 5), (6, 9), (6, 12)], "id", "x > 0") == [
+        "((id < 6) OR id IS NULL) AND (x > 0)", "(id >= 6) AND (x > 0)"]
+    assert rg.chunk_predicates([(1, 5), (6, 9), (10, 12)], "id") == [
+        "(id < 6) OR id IS NULL", "id >= 6 AND id < 10", "id >= 10"]
+    assert rg.chunk_predicates([("a'b", "c")], "k") == ["1=1"]
     assert rg.chunk_predicates([], "id") == ["1=1"]
 
 
+def test_key_range_chunks_hot_key_is_spread(spark):
+    keys = [7] * 3000 + list(range(100, 6100))      # one key holds a third
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    got = sorted(tuple(r) for r in rg.key_range_chunks(df, "k", 50, num_partitions=8).collect())
+    assert got == brute_ntile(keys, 50)
+    ranked = rg.global_rank(df, "k", 8)
+    per_part = (ranked.filter("k = 7").groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert len(per_part) > 1   # the hot key is not in one task
+
+
 def test_extent_span(spark):
     df = spark.createDataFrame([("f1", 10, 8), ("f1", 30, 4), ("f1", 20, 2), ("f2", 5, 1)],
                                "file string, block int, blocks int")
