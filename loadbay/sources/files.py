@@ -229,7 +229,7 @@ def detect_format(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
                     fs, inner = pafs.FileSystem.from_uri(p)
                     with fs.open_input_stream(inner) as fh:
                         heads.append(fh.read(4))
-                except Exception:  # noqa: BLE001 - unreadable -> no magic
+                except Exception:  # noqa: BLE001 - unreadable -> no magic, suffix decides
                     heads.append(b"")
             yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "head": heads})
 

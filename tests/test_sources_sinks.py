@@ -243,3 +243,10 @@ def test_parquet_explicit_schema(spark, tmp_dir):
     back = spark.read.parquet(path)
     assert back.dtypes == [("id", "bigint"), ("price", "double"), ("note", "string")]
     assert tuple(back.first()) == (7, 2.5, None)
+
+
+def test_partition_dir_not_name_value_is_an_error(spark, tmp_dir):
+    write(f"{tmp_dir}/p/pt=1/hour=01/a.txt", "1\tx\n")
+    write(f"{tmp_dir}/p/pt=1/bad/a.txt", "2\ty\n")
+    with pytest.raises(Exception):
+        src.read_partition(spark, f"{tmp_dir}/p", ["pt", "hour"], None, num_fields=2).collect()
