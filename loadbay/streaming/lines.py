@@ -34,16 +34,27 @@ def read_line_stream(spark: SparkSession, dir_: str, field_split: str = "\t",
 
 
 def fan_out_stream(stream: DataFrame, sinks: Mapping[str, Callable[[DataFrame, int], object]],
-                   checkpoint: str, available_now: bool = True) -> StreamingQuery:
+                   checkpoint: str, available_now: bool = True,
+                   stats_path: str | None = None) -> StreamingQuery:
     """Every micro-batch to every sink (``foreachBatch``); the batch is
     persisted once per epoch so the source is read once.  The checkpoint
-    (a shared folder) makes a restarted query resume where it stopped."""
+    (a shared folder) makes a restarted query resume where it stopped.
+
+    ``stats_path`` appends one row of transfer statistics (Q5) per epoch,
+    plus the row count each sink was handed (Q2 per epoch).
+    """
+    from loadbay.operators.quality import transfer_stats
 
     def each(batch: DataFrame, epoch: int) -> None:
         batch.persist()
         try:
             for sink in sinks.values():
                 sink(batch, epoch)
+            if stats_path:
+                (transfer_stats(batch)
+                 .select(F.lit(epoch).alias("epoch"), "*",
+                         F.lit(len(sinks)).alias("sinks"))
+                 .write.mode("append").parquet(stats_path))
         finally:
             batch.unpersist()
 

@@ -18,8 +18,10 @@ def test_line_stream_fan_out(spark, tmp_dir):
                                  legacy_last_field=True)
     q = st.fan_out_stream(stream, {"a": st.parquet_sink(f"{tmp_dir}/a"),
                                    "b": st.parquet_sink(f"{tmp_dir}/b")},
-                          checkpoint=f"{tmp_dir}/ckpt")
+                          checkpoint=f"{tmp_dir}/ckpt", stats_path=f"{tmp_dir}/stats")
     q.awaitTermination()
+    stats = spark.read.parquet(f"{tmp_dir}/stats").agg(F.sum("read_rows"), F.sum("chars")).first()
+    assert tuple(stats) == (2, 5)   # "1"+"x"+"\\N" and "2"
     for sink in ("a", "b"):
         rows = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/{sink}").drop("_epoch").collect())
         assert rows == [("1", "x", "\\N"), ("2", "", "")]
