@@ -78,11 +78,22 @@ def text_lines(df: DataFrame, field_split: str = "\x01", line_split: str = "\n",
     return df.select(tx.join_fields(cols, field_split, null_char).alias("value"))
 
 
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin a DataFrame whose input has fewer partitions than the
+    cluster has task slots, so a small or unsplittable input (one gzip file,
+    one Parquet row group) is not written by a single task.  Inputs with
+    enough partitions (any large table) pass through without a shuffle."""
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    parts = df.rdd.getNumPartitions()
+    return df.repartition(slots) if parts < slots else df
+
+
 def write_delimited(df: DataFrame, dir_: str, prefix: str | None = None,
                     field_split: str = "\x01", line_split: str = "\n", null_char: str = "",
                     compression: str | None = None, del_mode: int | None = None,
                     write_mode: str | None = None, file_count: int | None = None,
-                    encoding: str | None = None) -> str:
+                    encoding: str | None = None, spread: bool = True) -> str:
     """K1/K2/K5/K6: delimited text (optionally compressed) into ``dir/prefix``.
 
     ``compression``: ``gzip``, ``bzip2``, ``deflate`` ... (``"default"`` =
@@ -93,6 +104,8 @@ def write_delimited(df: DataFrame, dir_: str, prefix: str | None = None,
     spark = df.sparkSession
     target = _join(dir_, prefix)
     mode = _save_mode(spark, target, dir_, del_mode, write_mode)
+    if spread and not file_count:
+        df = spread_if_narrow(df)
     lines = text_lines(df, field_split, line_split, null_char)
     if encoding and encoding.lower().replace("-", "") != "utf8":
         from loadbay.sources.files import enable_java_charsets
