@@ -153,17 +153,29 @@ Sink = Callable[[DataFrame], object]
 
 
 def fan_out(df: DataFrame, sinks: Mapping[str, Sink], on_sink_error: str = "fail",
-            storage: StorageLevel = StorageLevel.DISK_ONLY) -> dict[str, int | None]:
+            storage: StorageLevel = StorageLevel.DISK_ONLY,
+            materialize: str = "persist") -> dict[str, int | None]:
     """Q1: one read, every sink gets every row.
 
-    The source is persisted (on disk by default: it survives memory pressure;
-    a lost executor's blocks are recomputed from lineage) and each sink runs
-    one write job observed for its row count.  ``on_sink_error="drop"`` lets
-    the other sinks finish when one fails (its count is ``None``).
+    ``materialize="persist"`` keeps the source on the executors' disks (a
+    lost executor's blocks are recomputed from lineage);
+    ``materialize="checkpoint"`` writes it once to the shared
+    ``spark.checkpoint.dir`` instead, so no sink ever re-reads the source,
+    even after executors are lost.  Each sink runs one write job observed for
+    its row count.  ``on_sink_error="drop"`` lets the other sinks finish when
+    one fails (its count is ``None``).
     """
     if on_sink_error not in ("fail", "drop"):
         raise ValueError("on_sink_error is 'fail' or 'drop'")
-    src = df.persist(storage)
+    if materialize not in ("persist", "checkpoint"):
+        raise ValueError("materialize is 'persist' or 'checkpoint'")
+    if materialize == "checkpoint":
+        from loadbay.session import checkpoint_root
+
+        checkpoint_root(df.sparkSession)
+        src = df.checkpoint(eager=True)
+    else:
+        src = df.persist(storage)
     counts: dict[str, int | None] = {}
     try:
         for name, sink in sinks.items():
@@ -177,7 +189,8 @@ def fan_out(df: DataFrame, sinks: Mapping[str, Sink], on_sink_error: str = "fail
                     raise
                 counts[name] = None
     finally:
-        src.unpersist()
+        if materialize == "persist":
+            src.unpersist()
     return counts
 
 

@@ -240,3 +240,13 @@ def test_load_checked_commits_or_rejects(spark, tmp_dir):
     assert (out["rows"], out["rejected"]) == (40, 10)
     assert spark.read.parquet(f"{tmp_dir}/ok").count() == 30
     assert spark.read.parquet(f"{tmp_dir}/dirty").count() == 10
+
+
+def test_fan_out_from_checkpoint(spark, tmp_dir):
+    df = spark.range(50).select((F.col("id") * 2).alias("v"))
+    counts = q.fan_out(df, {
+        "a": lambda d: d.write.mode("overwrite").parquet(f"{tmp_dir}/a"),
+        "b": lambda d: d.write.format("noop").mode("overwrite").save(),
+    }, materialize="checkpoint")
+    assert counts == {"a": 50, "b": 50}
+    assert spark.read.parquet(f"{tmp_dir}/a").agg(F.sum("v")).first()[0] == 2450
