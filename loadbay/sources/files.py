@@ -58,7 +58,8 @@ def lines_to_rows(lines: DataFrame, field_split: str = "\t", null_string: str |
 def read_delimited(spark: SparkSession, path: str | Sequence[str], field_split: str = "\t",
                    null_string: str | None = "", col_filter: str | None = None,
                    num_fields: int | None = None, encoding: str = "utf-8",
-                   line_sep: str | None = None, with_file: bool = False) -> DataFrame:
+                   line_sep: str | None = None, with_file: bool = False,
+                   repartition: int | None = None) -> DataFrame:
     """Delimited (optionally compressed) text -> text columns.
 
     The separator is one literal character, every empty field is kept and
@@ -66,6 +67,8 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], field_split:
     ``\\n``, ``\\r`` or ``\\r\\n``.  ``null_string`` (default ``""``) maps every
     field, the last one included.  Compression follows the file suffix.
     ``encoding`` other than UTF-8 decodes each line first (P18).
+    ``repartition`` spreads the lines before splitting (a gzip or bzip2 file
+    is read by one task).
     """
     keep = ["_file"] if with_file else []
     if encoding.lower().replace("-", "") != "utf8":
@@ -79,6 +82,8 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], field_split:
         lines = reader.load(_paths(path))
         if with_file:
             lines = lines.withColumn("_file", F.col("_metadata.file_path"))
+    if repartition:
+        lines = lines.repartition(repartition)
     return lines_to_rows(lines, field_split, null_string, col_filter, num_fields, keep=keep)
 
 
@@ -118,8 +123,8 @@ def read_sequence(spark: SparkSession, path: str, field_split: str = "\x01",
     """SequenceFile of (key, value) -> rows.
 
     The value text is split like R1.  The key is the first field unless
-    ``ignore_key`` (the default) or the key is empty (a NullWritable key).
-    An empty value (NullWritable) contributes no fields.
+    ``ignore_key`` (the default) or the key is a NullWritable.  A
+    NullWritable value contributes no fields.
 
     SequenceFiles are only reachable through the Hadoop RDD API; the pairs
     are turned into a DataFrame at once and everything after is columnar.
@@ -128,13 +133,14 @@ def read_sequence(spark: SparkSession, path: str, field_split: str = "\x01",
     pairs = rdd.map(lambda kv: (None if kv[0] is None else str(kv[0]),
                                 None if kv[1] is None else str(kv[1])))
     df = spark.createDataFrame(pairs, "k string, v string")
-    value_fields = F.when(F.coalesce(F.col("v"), F.lit("")) == F.lit(""),
-                          F.array().cast("array<string>")).otherwise(
+    # A NullWritable arrives as NULL: a NULL value gives no fields, a NULL
+    # key is skipped; an empty Text is one empty field like any other text.
+    value_fields = F.when(F.col("v").isNull(), F.array().cast("array<string>")).otherwise(
         tx.split_line(F.col("v"), field_split))
     if ignore_key:
         arr = value_fields
     else:
-        arr = F.when(F.coalesce(F.col("k"), F.lit("")) == F.lit(""), value_fields).otherwise(
+        arr = F.when(F.col("k").isNull(), value_fields).otherwise(
             F.concat(F.array(F.col("k")), value_fields))
     lines = df.select(arr.alias("arr"))
     if col_filter:
