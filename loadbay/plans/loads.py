@@ -174,6 +174,17 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.reconcile(q.count_sink_rows(frames))
 
 
+def exchange_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q5 as one job: events checked by the dirty rules, the good rows fed
+    to a text sink and a Parquet sink from one read, reconciled, reported."""
+    e = table(spark, sf_dir, "events")
+    root = scratch(spark, "exchange")
+    return q.exchange(e, {
+        "text": lambda df: sinks.write_delimited(df, f"{root}/text"),
+        "parquet": lambda df: df.write.mode("overwrite").parquet(f"{root}/parquet"),
+    }, rules=_event_rules(), limit=0.5)
+
+
 def catalog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer loaded into a partition of an all-text catalog
     table (created when missing), then read back through the catalog."""

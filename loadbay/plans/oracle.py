@@ -364,3 +364,18 @@ FROM orders GROUP BY o_orderstatus
 ORACLE_SQL["checked_load"] = f"""
 SELECT * FROM events WHERE ({_REASON}) IS NULL
 """
+
+ORACLE_SQL["exchange_report"] = f"""
+WITH a AS (
+  SELECT count(*) AS read_rows,
+         count(*) FILTER (WHERE ({_REASON}) IS NOT NULL) AS discard_rows,
+         CAST(sum(length(CAST(event_id AS VARCHAR)) + coalesce(length(CAST(ts AS VARCHAR)), 0)
+                  + coalesce(length(CAST(user_id AS VARCHAR)), 0) + coalesce(length(event_type), 0)
+                  + coalesce(length(CAST(value AS VARCHAR)), 0) + coalesce(length(props), 0))
+              AS BIGINT) AS chars
+  FROM events
+)
+SELECT s.sink, read_rows - discard_rows AS rows, true AS ok, read_rows, discard_rows, chars,
+       (discard_rows / read_rows <= 0.5) AS budget_ok, 0 AS code
+FROM a, (VALUES ('text'), ('parquet')) AS s(sink)
+"""

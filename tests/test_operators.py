@@ -250,3 +250,19 @@ def test_fan_out_from_checkpoint(spark, tmp_dir):
     }, materialize="checkpoint")
     assert counts == {"a": 50, "b": 50}
     assert spark.read.parquet(f"{tmp_dir}/a").agg(F.sum("v")).first()[0] == 2450
+
+
+def test_exchange_report(spark, tmp_dir):
+    df = spark.createDataFrame([(str(i) if i % 5 else "bad",) for i in range(20)], "n string")
+    rep = q.exchange(df, {
+        "a": lambda d: d.write.mode("overwrite").parquet(f"{tmp_dir}/a"),
+        "b": lambda d: d.write.format("noop").mode("overwrite").save(),
+    }, rules=q.type_rules({"n": "int"}), limit=0.1, seconds=1)
+    got = {r["sink"]: r for r in rep.collect()}
+    assert got["a"]["rows"] == 16 and got["a"]["ok"] and got["a"]["discard_rows"] == 4
+    assert got["a"]["chars"] == sum(len(str(i)) for i in range(20) if i % 5) + 4 * 3
+    assert not got["a"]["budget_ok"] and got["a"]["code"] == 200
+    assert spark.read.parquet(f"{tmp_dir}/a").count() == 16
+    ok = q.exchange(df, {"a": lambda d: d.write.format("noop").mode("overwrite").save()},
+                    rules=q.type_rules({"n": "int"}), limit=0.5).first()
+    assert ok["code"] == 0
