@@ -93,12 +93,13 @@ def write_delimited(df: DataFrame, dir_: str, prefix: str | None = None,
                     field_split: str = "\x01", line_split: str = "\n", null_char: str = "",
                     compression: str | None = None, del_mode: int | None = None,
                     write_mode: str | None = None, file_count: int | None = None,
-                    encoding: str | None = None, spread: bool = True) -> str:
+                    encoding: str | None = None, spread: bool = True,
+                    number_files: bool = False) -> str:
     """K1/K2/K5/K6: delimited text (optionally compressed) into ``dir/prefix``.
 
     ``compression``: ``gzip``, ``bzip2``, ``deflate`` ... (``"default"`` =
     deflate).  ``file_count`` repartitions to that many files (never
-    ``coalesce(1)`` by default).  ``encoding`` other than UTF-8 writes the
+    ``coalesce(1)`` by default); ``number_files`` names them ``prefix-i``.  ``encoding`` other than UTF-8 writes the
     encoded bytes (P18).  Returns the dataset path.
     """
     spark = df.sparkSession
@@ -120,6 +121,8 @@ def write_delimited(df: DataFrame, dir_: str, prefix: str | None = None,
     if compression:
         writer = writer.option("compression", "deflate" if compression == "default" else compression)
     writer.text(target)
+    if number_files:
+        number_part_files(spark, target, prefix or target.rstrip("/").rsplit("/", 1)[-1])
     return target
 
 
@@ -176,6 +179,26 @@ def hadoop_delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def number_part_files(spark: SparkSession, target: str, prefix: str) -> list[str]:
+    """K6 naming: the data files of a written folder become ``prefix`` (one
+    file) or ``prefix-0 .. prefix-(n-1)`` (several), suffixes kept.  Renames
+    are metadata calls on the driver, one per file."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS is JVM-only
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    root = jvm.org.apache.hadoop.fs.Path(target)
+    fs = root.getFileSystem(conf)
+    parts = sorted(st.getPath().getName() for st in fs.listStatus(root)
+                   if st.isFile() and st.getPath().getName().startswith("part-"))
+    names = []
+    for i, name in enumerate(parts):
+        dot = name.find(".")
+        suffix = name[dot:] if dot >= 0 else ""
+        new = f"{prefix}{suffix}" if len(parts) == 1 else f"{prefix}-{i}{suffix}"
+        fs.rename(jvm.org.apache.hadoop.fs.Path(root, name), jvm.org.apache.hadoop.fs.Path(root, new))
+        names.append(new)
+    return names
+
+
 def parquet_column_name(name: str) -> str:
     """Target column names are cut after the first ``.`` (``t.col`` -> ``t``)."""
     return name.split(".", 1)[0]

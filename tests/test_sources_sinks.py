@@ -250,3 +250,12 @@ def test_partition_dir_not_name_value_is_an_error(spark, tmp_dir):
     write(f"{tmp_dir}/p/pt=1/bad/a.txt", "2\ty\n")
     with pytest.raises(Exception):
         src.read_partition(spark, f"{tmp_dir}/p", ["pt", "hour"], None, num_fields=2).collect()
+
+
+def test_number_part_files(spark, tmp_dir):
+    df = spark.range(30).select(F.col("id").cast("string").alias("v"))
+    path = sk.write_delimited(df, tmp_dir, prefix="load", file_count=3, compression="gzip",
+                              number_files=True)
+    names = sorted(n for n in os.listdir(path) if not n.startswith((".", "_")))
+    assert names == ["load-0.txt.gz", "load-1.txt.gz", "load-2.txt.gz"]
+    assert src.read_delimited(spark, path, num_fields=1).count() == 30
