@@ -76,7 +76,19 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
-    spark = local_session(8)
+    if os.environ.get("ORACLE_PLAIN_SESSION"):
+        # A session as a caller would build it: no settings of ours, and a
+        # session time zone far from UTC.
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false")
+                 .config("spark.sql.session.timeZone", "America/Los_Angeles")
+                 .getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session(8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
