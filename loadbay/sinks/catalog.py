@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,13 +97,25 @@ def load_hive(df: DataFrame, table: str, partition: Mapping[str, str] | None = N
                 if ft == "TXT" else "")
         ddl = f"CREATE TABLE IF NOT EXISTS {table} ({all_cols}) USING {SPARK_STORAGE[ft]}{opts}{part}{loc}"
     spark.sql(ddl)
-    out = df.select([F.col(f"`{c}`").cast("string").alias(c) for c in cols] +
-                    [F.lit(str(v)).alias(k) for k, v in partition.items()])
-    out.write.insertInto(table)
+    # A static partition insert: the partition values are part of the
+    # statement, so no dynamic-partition mode is needed in either catalog.
+    view = f"loadbay_load_{uuid.uuid4().hex[:12]}"
+    df.select([F.col(f"`{c}`").cast("string").alias(c) for c in cols]).createOrReplaceTempView(view)
+    try:
+        spec = ", ".join(f"{_ident(k)} = '{_sql_value(v)}'" for k, v in partition.items())
+        part_clause = f" PARTITION ({spec})" if partition else ""
+        select_cols = ", ".join(_ident(c) for c in cols)
+        spark.sql(f"INSERT INTO {table}{part_clause} SELECT {select_cols} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
     run_statements(spark, post)
     return table
 
 
+def _sql_value(v) -> str:
+    return str(v).replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _sql_char(ch: str) -> str:
     if ch == "\x01":
         return "\\u0001"
