@@ -19,9 +19,10 @@ DIALECTS: dict[str, dict[str, object]] = {
         "driver": "com.mysql.jdbc.Driver",
         "port": 3306,
         "url": "jdbc:mysql://{host}:{port}/{db}?zeroDateTimeBehavior=convertToNull"
-               "&yearIsDateType=false&useCursorFetch=false",
-        # Row streaming: the driver's streaming fetch.
-        "fetchsize": "-2147483648",
+               "&yearIsDateType=false&useCursorFetch=true",
+        # Rows arrive in bounded batches through a server cursor (the
+        # memory-bounded equivalent of the driver's row streaming).
+        "fetchsize": "1000",
     },
     "postgres": {
         "driver": "org.postgresql.Driver",
