@@ -123,7 +123,7 @@ def read_jdbc_chunked(spark: SparkSession, url: str, table: str, key: str, n: in
     """
     bounds_df = read_jdbc_query(spark, url, ntile_bounds_sql(table, key, n, where), dialect, **props)
     bounds = [(r[0], r[1]) for r in bounds_df.limit(n).collect()]
-    preds = chunk_predicates(sorted(bounds), key, where)
+    preds = chunk_predicates(bounds, key, where)
     cols = columns if isinstance(columns, str) else ", ".join(columns)
     props = dict(props)
     if dialect:
