@@ -252,7 +252,8 @@ def format_rows(df: DataFrame, field_split: str = "\t", prefix: str = "",
 def print_rows(df: DataFrame, field_split: str = "\t", prefix: str = "", null_char: str = "",
                print_: bool = True) -> int:
     """Print every row on the executors' standard output (each task its
-    own rows); ``print_=False`` runs the job into the ``noop`` sink.  Returns
+    own rows, in Arrow batches); ``print_=False`` runs the job into the
+    ``noop`` sink.  Returns
     the number of rows, counted by an observation of the same job."""
     from pyspark.sql import Observation
 
@@ -262,11 +263,17 @@ def print_rows(df: DataFrame, field_split: str = "\t", prefix: str = "", null_ch
     if not print_:
         observed.write.format("noop").mode("overwrite").save()
     else:
-        def emit(rows):
-            for r in rows:
-                print(r[0])
+        def emit(batches):
+            import sys
 
-        observed.foreachPartition(emit)
+            for pdf in batches:
+                if len(pdf):
+                    sys.stdout.write("\n".join(pdf["line"]) + "\n")
+                    sys.stdout.flush()
+                yield pdf.iloc[0:0]
+
+        # Arrow batches of lines are written by each task, a batch at a time.
+        observed.mapInPandas(emit, "line string").write.format("noop").mode("overwrite").save()
     return int(obs.get["rows"])
 
 

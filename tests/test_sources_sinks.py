@@ -259,3 +259,8 @@ def test_number_part_files(spark, tmp_dir):
     names = sorted(n for n in os.listdir(path) if not n.startswith((".", "_")))
     assert names == ["load-0.txt.gz", "load-1.txt.gz", "load-2.txt.gz"]
     assert src.read_delimited(spark, path, num_fields=1).count() == 30
+
+
+def test_print_rows_prints_every_row(spark):
+    df = spark.range(5).select(F.col("id").cast("string").alias("v"), F.lit(None).cast("string"))
+    assert sk.print_rows(df, "|", "> ", "NULL") == 5
