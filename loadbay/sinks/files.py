@@ -207,7 +207,8 @@ def parquet_column_name(name: str) -> str:
 def write_parquet_typed(df: DataFrame, dir_: str, types: dict[str, str] | Sequence[str] | None = None,
                         prefix: str | None = None, del_mode: int | None = None,
                         compression: str = "snappy",
-                        parquet_schema: T.StructType | str | None = None) -> str:
+                        parquet_schema: T.StructType | str | None = None,
+                        spread: bool = False) -> str:
     """K4: text columns typed by Hive type names (P17), written as Parquet.
 
     Decimal/number -> double, small integers -> int, bigint -> long, unknown
@@ -218,6 +219,8 @@ def write_parquet_typed(df: DataFrame, dir_: str, types: dict[str, str] | Sequen
     spark = df.sparkSession
     target = _join(dir_, prefix)
     mode = _save_mode(spark, target, dir_, del_mode, None)
+    if spread:
+        df = spread_if_narrow(df)
     if parquet_schema is not None:
         schema = (parquet_schema if isinstance(parquet_schema, T.StructType)
                   else T._parse_datatype_string(parquet_schema))
