@@ -112,6 +112,17 @@ def load_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pol.load_with_key_policy(target, incoming, "id", "replace", "seq")
 
 
+def load_files_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 on a file table: customer rows form the table's first version, the
+    event batch is loaded under REPLACE into a fresh version that is swapped
+    in; the table is read back."""
+    target, incoming = _target_incoming(spark, sf_dir)
+    path = scratch(spark, "filetable")
+    target.write.parquet(path)
+    pol.load_into_files(incoming, path, "id", "replace", "seq")
+    return spark.read.parquet(path)
+
+
 def _event_rules():
     k = F.regexp_extract(F.col("props"), r"(\d+)", 1).try_cast("int")
     return {"k_high": k > 90, "low_value": F.col("value") < 2.0}

@@ -379,3 +379,5 @@ SELECT s.sink, read_rows - discard_rows AS rows, true AS ok, read_rows, discard_
        (discard_rows / read_rows <= 0.5) AS budget_ok, 0 AS code
 FROM a, (VALUES ('text'), ('parquet')) AS s(sink)
 """
+
+ORACLE_SQL["load_files_replace"] = ORACLE_SQL["load_replace"]

@@ -266,3 +266,17 @@ def test_exchange_report(spark, tmp_dir):
     ok = q.exchange(df, {"a": lambda d: d.write.format("noop").mode("overwrite").save()},
                     rules=q.type_rules({"n": "int"}), limit=0.5).first()
     assert ok["code"] == 0
+
+
+def test_load_into_files_swaps_versions(spark, tmp_dir):
+    schema = "id bigint, v string, seq bigint"
+    path = f"{tmp_dir}/table"
+    first = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (1, "a2", 3)], schema)
+    pol.load_into_files(first, path, "id", "ignore", "seq")
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a", 1), (2, "b", 2)]
+    second = spark.createDataFrame([(2, "b2", 4), (3, "c", 5), (None, "n", 6)], schema)
+    pol.load_into_files(second, path, "id", "replace", "seq")
+    got = sorted((tuple(r) for r in spark.read.parquet(path).collect()), key=str)
+    assert got == sorted([(1, "a", 1), (2, "b2", 4), (3, "c", 5), (None, "n", 6)], key=str)
+    import os
+    assert sorted(os.listdir(tmp_dir)) == ["table"]
