@@ -16,10 +16,10 @@ _TRANSFERS = ["flagship_totals", "delimited_round_trip", "compressed_round_trip"
               "typed_parquet", "partition_read", "sharded_union", "route_shards",
               "read_with_schema", "print_rows", "csv_files", "sql_query", "gbk_round_trip",
               "remote_text_header"]
-_LOADS = ["key_range_chunks", "partition_ranges", "extent_span", "clip_ranges", "key_range_scan", "rows_to_cells",
-          "cells_to_rows", "load_ignore", "load_replace", "load_files_replace", "split_dirty",
-          "check_limit", "checked_load",
-          "transfer_stats", "reconcile", "exchange_report", "catalog_load", "line_stream", "detect_format",
+_LOADS = ["key_range_chunks", "partition_ranges", "extent_span", "clip_ranges",
+          "key_range_scan", "rows_to_cells", "cells_to_rows", "load_ignore", "load_replace",
+          "load_files_replace", "split_dirty", "check_limit", "checked_load", "transfer_stats",
+          "reconcile", "exchange_report", "catalog_load", "line_stream", "detect_format",
           "row_lengths"]
 
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
