@@ -67,3 +67,21 @@ def test_some_queries_against_duckdb(spark):
     for key in ("key_range_chunks", "load_replace", "cells_to_rows", "parse_dates", "split_regex_trailing"):
         line = compare(spark, con, key, qs[key], sql[key], SF_CHECK)
         assert ": OK" in line, line
+
+
+def test_constant_stream(spark):
+    import time
+
+    from loadbay.sources.generate import DEFAULT_FIELD, constant_stream
+
+    stream = constant_stream(spark, rows_per_second=50, field_num=2, num_partitions=2)
+    q = (stream.writeStream.format("memory").queryName("loadbay_const")
+         .trigger(processingTime="200 milliseconds").start())
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.table("loadbay_const").count() < 5:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    rows = spark.table("loadbay_const").collect()
+    assert len(rows) >= 5 and all(tuple(r) == (DEFAULT_FIELD, DEFAULT_FIELD) for r in rows)
