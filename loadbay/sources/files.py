@@ -332,15 +332,19 @@ def _drop_first_line_per_file(spark: SparkSession, path: str | Sequence[str]) ->
                      F.col("_metadata.file_block_start").alias("_start")))
 
     def drop_heads(batches):
-        prev = None
+        # A partition may hold several splits, of one file or of many, in any
+        # order; a split's rows are contiguous.  The header is the first row
+        # of the split that starts at byte 0.
+        prev_file, prev_start = None, None
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            files = pdf["_file"]
-            before = files.shift(1)
-            before.iloc[0] = prev
-            first = (files != before) & (pdf["_start"] == 0)
-            prev = files.iloc[-1]
+            files, starts = pdf["_file"], pdf["_start"]
+            file_before, start_before = files.shift(1), starts.shift(1)
+            file_before.iloc[0], start_before.iloc[0] = prev_file, prev_start
+            new_split = (files != file_before) | (starts != start_before)
+            first = new_split & (starts == 0)
+            prev_file, prev_start = files.iloc[-1], starts.iloc[-1]
             yield pdf.loc[~first, ["value"]]
 
     return lines.mapInPandas(drop_heads, "value string")

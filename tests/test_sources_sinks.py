@@ -264,3 +264,17 @@ def test_number_part_files(spark, tmp_dir):
 def test_print_rows_prints_every_row(spark):
     df = spark.range(5).select(F.col("id").cast("string").alias("v"), F.lit(None).cast("string"))
     assert sk.print_rows(df, "|", "> ", "NULL") == 5
+
+
+def test_remote_text_header_with_split_files(spark, tmp_dir):
+    # files larger than the split size: later splits must keep their lines
+    body = "".join(f"{i}\x01v{i}\n" for i in range(20000))
+    write(f"{tmp_dir}/big/a.txt", "h1\x01h2\n" + body)
+    write(f"{tmp_dir}/big/b.txt", "h1\x01h2\n" + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        rows = src.read_remote_text(spark, f"{tmp_dir}/big", skip_header=True, num_fields=2)
+        assert rows.count() == 40000
+        assert rows.filter("_c0 = 'h1'").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
