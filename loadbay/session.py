@@ -27,7 +27,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             configured = None
     if not configured:
-        # Unset: this is a local run (tests / bench), not a cluster.
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not shared by a cluster's executors.
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        # Unset in a local run (tests, the bench): a fresh local folder.
         configured = tempfile.mkdtemp(prefix="loadbay-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
