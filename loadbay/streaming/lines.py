@@ -71,3 +71,15 @@ def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
         batch.withColumn("_epoch", F.lit(epoch)).write.mode("append").parquet(path)
 
     return write
+
+
+def key_policy_sink(path: str, key: str | list[str], policy: str = "replace",
+                    order_col: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink that loads each micro-batch into a file table
+    under IGNORE / REPLACE (K9), one swapped-in version per epoch."""
+    from loadbay.operators.policy import load_into_files
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        load_into_files(batch, path, key, policy, order_col)
+
+    return load

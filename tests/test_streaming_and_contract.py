@@ -85,3 +85,24 @@ def test_constant_stream(spark):
         q.stop()
     rows = spark.table("loadbay_const").collect()
     assert len(rows) >= 5 and all(tuple(r) == (DEFAULT_FIELD, DEFAULT_FIELD) for r in rows)
+
+
+def test_stream_into_key_policy_table(spark, tmp_dir):
+    inbox = f"{tmp_dir}/inbox"
+    os.makedirs(inbox)
+    with open(f"{inbox}/a.txt", "w") as fh:
+        fh.write("1\ta\t1\n2\tb\t2\n1\tc\t3\n")
+    rows = st.read_line_stream(spark, inbox, num_fields=3, max_files_per_trigger=1).select(
+        F.col("_c0").cast("bigint").alias("id"), F.col("_c1").alias("v"),
+        F.col("_c2").cast("bigint").alias("seq"))
+    table = f"{tmp_dir}/table"
+    q = st.fan_out_stream(rows, {"t": st.key_policy_sink(table, "id", "replace", "seq")},
+                          checkpoint=f"{tmp_dir}/ckpt")
+    q.awaitTermination()
+    with open(f"{inbox}/b.txt", "w") as fh:
+        fh.write("2\td\t4\n3\te\t5\n")
+    q = st.fan_out_stream(rows, {"t": st.key_policy_sink(table, "id", "replace", "seq")},
+                          checkpoint=f"{tmp_dir}/ckpt")
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(table).collect())
+    assert got == [(1, "c", 3), (2, "d", 4), (3, "e", 5)]
