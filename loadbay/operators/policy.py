@@ -117,3 +117,65 @@ def load_into_files(incoming: DataFrame, target_path: str, key: str | Sequence[s
     if had_target:
         fs.delete(old_p, True)
     return target_path
+
+
+BUCKET_COL = "_bucket"
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    """Bucket of a row: hash of its key columns; NULL keys (never matched,
+    always inserted) get the extra bucket ``buckets``."""
+    return F.when(_all_not_null(list(keys)),
+                  F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
+                  ).otherwise(F.lit(buckets)).cast("int")
+
+
+def load_into_bucketed_files(incoming: DataFrame, target_path: str, key: str | Sequence[str],
+                             policy: str = "ignore", order_col: str | None = None,
+                             buckets: int = 256) -> list[int]:
+    """K9 on a file table stored as ``_bucket=<hash of key>`` folders: only
+    the buckets the batch touches are read (partition pruning), merged under
+    the policy, written aside and swapped in bucket by bucket.  A batch that
+    touches few keys rewrites few buckets, however big the table is.
+    Returns the buckets that were rewritten (at most ``buckets + 1``)."""
+    import uuid
+
+    spark = incoming.sparkSession
+    keys = _keys(key)
+    tagged = incoming.withColumn(BUCKET_COL, key_bucket(keys, buckets))
+    # The touched buckets: at most buckets + 1 numbers, a fixed bound.
+    touched = sorted(r[0] for r in tagged.select(BUCKET_COL).distinct().collect())
+    if not touched:
+        return []
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS is JVM-only
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    Path = jvm.org.apache.hadoop.fs.Path
+    root = Path(target_path)
+    fs = root.getFileSystem(conf)
+    cols = incoming.columns
+    if fs.exists(root):
+        current = (spark.read.option("basePath", target_path).parquet(target_path)
+                   .filter(F.col(BUCKET_COL).isin(touched)))
+        target = current.select(*cols, BUCKET_COL)
+    else:
+        target = tagged.limit(0)
+    merged = load_with_key_policy(target, tagged.select(*cols, BUCKET_COL), keys, policy, order_col)
+    tag = uuid.uuid4().hex[:12]
+    staging = f"{target_path.rstrip('/')}._new_{tag}"
+    merged.write.partitionBy(BUCKET_COL).mode("errorifexists").parquet(staging)
+    fs.mkdirs(root)
+    for b in touched:
+        name = f"{BUCKET_COL}={b}"
+        fresh, live, old = Path(f"{staging}/{name}"), Path(root, name), Path(root, f".old_{tag}_{b}")
+        had = fs.exists(live)
+        if had and not fs.rename(live, old):
+            raise RuntimeError(f"could not move {name} aside")
+        if fs.exists(fresh):
+            if not fs.rename(fresh, live):
+                if had:
+                    fs.rename(old, live)
+                raise RuntimeError(f"could not move the new {name} in")
+        if had:
+            fs.delete(old, True)
+    fs.delete(Path(staging), True)
+    return touched

@@ -18,7 +18,7 @@ _TRANSFERS = ["flagship_totals", "delimited_round_trip", "compressed_round_trip"
               "remote_text_header"]
 _LOADS = ["key_range_chunks", "partition_ranges", "extent_span", "clip_ranges",
           "key_range_scan", "rows_to_cells", "cells_to_rows", "load_ignore", "load_replace",
-          "load_files_replace", "split_dirty", "check_limit", "checked_load", "transfer_stats",
+          "load_files_replace", "load_buckets_replace", "split_dirty", "check_limit", "checked_load", "transfer_stats",
           "reconcile", "exchange_report", "catalog_load", "line_stream", "detect_format",
           "row_lengths"]
 

@@ -123,6 +123,16 @@ def load_files_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def load_buckets_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 on a key-bucketed file table: customer rows loaded first, then the
+    event batch under REPLACE, rewriting only the buckets it touches."""
+    target, incoming = _target_incoming(spark, sf_dir)
+    path = scratch(spark, "buckets")
+    pol.load_into_bucketed_files(target, path, "id", "ignore", "seq", buckets=16)
+    pol.load_into_bucketed_files(incoming, path, "id", "replace", "seq", buckets=16)
+    return spark.read.parquet(path).drop(pol.BUCKET_COL)
+
+
 def _event_rules():
     k = F.regexp_extract(F.col("props"), r"(\d+)", 1).try_cast("int")
     return {"k_high": k > 90, "low_value": F.col("value") < 2.0}

@@ -381,3 +381,5 @@ FROM a, (VALUES ('text'), ('parquet')) AS s(sink)
 """
 
 ORACLE_SQL["load_files_replace"] = ORACLE_SQL["load_replace"]
+
+ORACLE_SQL["load_buckets_replace"] = ORACLE_SQL["load_replace"]

@@ -74,12 +74,18 @@ def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def key_policy_sink(path: str, key: str | list[str], policy: str = "replace",
-                    order_col: str | None = None) -> Callable[[DataFrame, int], None]:
+                    order_col: str | None = None,
+                    buckets: int | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` sink that loads each micro-batch into a file table
-    under IGNORE / REPLACE (K9), one swapped-in version per epoch."""
-    from loadbay.operators.policy import load_into_files
+    under IGNORE / REPLACE (K9), one swapped-in version per epoch.  With
+    ``buckets`` the table is key-bucketed and an epoch rewrites only the
+    buckets its rows touch."""
+    from loadbay.operators.policy import load_into_bucketed_files, load_into_files
 
     def load(batch: DataFrame, epoch: int) -> None:
-        load_into_files(batch, path, key, policy, order_col)
+        if buckets:
+            load_into_bucketed_files(batch, path, key, policy, order_col, buckets)
+        else:
+            load_into_files(batch, path, key, policy, order_col)
 
     return load

@@ -280,3 +280,19 @@ def test_load_into_files_swaps_versions(spark, tmp_dir):
     assert got == sorted([(1, "a", 1), (2, "b2", 4), (3, "c", 5), (None, "n", 6)], key=str)
     import os
     assert sorted(os.listdir(tmp_dir)) == ["table"]
+
+
+def test_load_into_bucketed_files_matches_whole_table_load(spark, tmp_dir):
+    t_df, i_df, target, incoming = _policy_fixture(spark)
+    path = f"{tmp_dir}/bt"
+    first = pol.load_into_bucketed_files(t_df, path, "id", "ignore", "seq", buckets=16)
+    assert first and max(first) <= 16
+    touched = pol.load_into_bucketed_files(i_df, path, "id", "replace", "seq", buckets=16)
+    got = sorted((tuple(r) for r in spark.read.parquet(path).drop(pol.BUCKET_COL).collect()), key=str)
+    assert got == brute_policy(target, incoming, "replace")
+    # a batch with one key rewrites one bucket only
+    one = spark.createDataFrame([(4, "again", 10_000)], "id bigint, v string, seq bigint")
+    assert len(pol.load_into_bucketed_files(one, path, "id", "replace", "seq", buckets=16)) == 1
+    assert len(touched) <= 17
+    import os
+    assert sorted(n for n in os.listdir(tmp_dir)) == ["bt"]
