@@ -208,6 +208,22 @@ def expand_paths(spark: SparkSession, root: str, max_depth: int | None = None,
     return files.filter(F.col("depth") <= max_depth)
 
 
+# The remote listing's default depth limit.
+REMOTE_MAX_DEPTH = 10
+
+
+def list_remote(spark: SparkSession, path: str, max_depth: int = REMOTE_MAX_DEPTH) -> DataFrame:
+    """R6 for FTP/SFTP-style sources: a wildcard may appear in the last path
+    component only (it filters file names); the walk below the folder is
+    limited to ``max_depth`` levels and a deeper file is an error."""
+    head, _, last = path.rstrip("/").rpartition("/")
+    if any(ch in head for ch in "*?["):
+        raise ValueError("a wildcard is only allowed in the last path component")
+    if any(ch in last for ch in "*?["):
+        return expand_paths(spark, head, max_depth=max_depth, pattern=last, on_too_deep="error")
+    return expand_paths(spark, path, max_depth=max_depth, on_too_deep="error")
+
+
 def _root_tail(root: str) -> str:
     import re as _re
     tail = root.split("://", 1)[-1]

@@ -278,3 +278,15 @@ def test_remote_text_header_with_split_files(spark, tmp_dir):
         assert rows.filter("_c0 = 'h1'").count() == 0
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_list_remote_rules(spark, tmp_dir):
+    write(f"{tmp_dir}/r/a.txt", "1")
+    write(f"{tmp_dir}/r/b.csv", "2")
+    write(f"{tmp_dir}/r/d/c.txt", "3")
+    got = sorted(os.path.basename(r["path"]) for r in src.list_remote(spark, f"{tmp_dir}/r/*.txt").collect())
+    assert got == ["a.txt", "c.txt"]
+    with pytest.raises(ValueError):
+        src.list_remote(spark, f"{tmp_dir}/*/a.txt")
+    with pytest.raises(ValueError):
+        src.list_remote(spark, f"{tmp_dir}/r", max_depth=1)
