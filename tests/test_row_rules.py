@@ -86,7 +86,7 @@ def test_sanitize_and_escape(spark):
 
 
 def test_typed_by_hive(spark):
-    df = spark.createDataFrame([(" 12 ", "", "x", "1.5", None, "abc")],
+    df = spark.createDataFrame([("+12", "", "x", " 1.5 ", None, "abc")],
                                "a string, b string, c string, d string, e string, f string")
     out = tx.typed_by_hive(df, {"a": "int", "b": "bigint", "c": "double", "d": "decimal(10,2)",
                                 "e": "int", "f": "varchar(10)"})
@@ -97,6 +97,16 @@ def test_typed_by_hive(spark):
     assert tuple(bad.first()) == (True, False, False)
 
 
+def test_integer_text_is_strict(spark):
+    # Integers: sign and digits only (no blanks, no fraction); out of range
+    # is bad.  Floating point text may carry blanks.
+    df = spark.createDataFrame([(" 12",), ("12 ",), ("1.0",), ("-7",), ("99999999999",), (" ",)], "s string")
+    got = [tuple(r) for r in df.select(tx.typed_column("s", "int"), tx.bad_cast("s", "int"),
+                                       tx.typed_column("s", "double")).collect()]
+    assert got == [(None, True, 12.0), (None, True, 12.0), (None, True, 1.0), (-7, False, -7.0),
+                   (None, True, 99999999999.0), (None, True, None)]
+
+
 def test_to_text_rows_arrays_last_element(spark):
     df = spark.createDataFrame([([1.5, 2.5], 3, None)], "a array<double>, b int, c string")
     assert tuple(tx.to_text_rows(df, "").first()) == ("2.5", "3", None)
