@@ -224,13 +224,9 @@ def write_parquet_typed(df: DataFrame, dir_: str, types: dict[str, str] | Sequen
     if parquet_schema is not None:
         schema = (parquet_schema if isinstance(parquet_schema, T.StructType)
                   else T._parse_datatype_string(parquet_schema))
-        cols = []
-        for c, f in zip(df.columns, schema.fields):
-            src = F.col(f"`{c}`")
-            empty = src.isNull() | (F.trim(src.cast("string")) == F.lit(""))
-            cols.append(F.when(empty, F.lit(None).cast(f.dataType))
-                        .otherwise(F.trim(src.cast("string")).try_cast(f.dataType)).alias(f.name))
-        typed = df.select(cols)
+        typed = df.select([tx.typed_column(F.col(f"`{c}`").cast("string"), f.dataType.simpleString())
+                           .cast(f.dataType).alias(f.name)
+                           for c, f in zip(df.columns, schema.fields)])
     else:
         typed = tx.typed_by_hive(df, types)
         typed = typed.select([F.col(f"`{c}`").alias(parquet_column_name(c)) for c in typed.columns])
