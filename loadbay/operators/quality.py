@@ -300,7 +300,8 @@ def load_checked(df: DataFrame, rules: Mapping[str, Column], limit: float, targe
 
 def exchange(df: DataFrame, sinks: Mapping[str, Sink], rules: Mapping[str, Column] | None = None,
              limit: float | None = None, inclusive: bool = False, seconds: float | None = None,
-             materialize: str = "persist", on_sink_error: str = "fail") -> DataFrame:
+             materialize: str = "persist", on_sink_error: str = "fail",
+             measure_chars: bool = True) -> DataFrame:
     """A whole transfer job: dirty rows set aside (Q3), every sink fed from
     one read (Q1), sinks reconciled (Q2), error budget (Q4) and statistics
     (Q5) reported.
@@ -309,7 +310,8 @@ def exchange(df: DataFrame, sinks: Mapping[str, Sink], rules: Mapping[str, Colum
     taken by the same job that feeds the first sink; nothing is scanned just
     to count.  Returns one report row per sink: ``sink, rows, ok, read_rows,
     discard_rows, chars, budget_ok, code`` (``code`` 0 when every sink took
-    every good row and the budget holds, else 200).
+    every good row and the budget holds, else 200).  ``measure_chars=False``
+    skips the character count (it prints every field as text once).
     """
     import uuid
 
@@ -320,8 +322,8 @@ def exchange(df: DataFrame, sinks: Mapping[str, Sink], rules: Mapping[str, Colum
     observed = marked.observe(
         obs, F.count(F.lit(1)).alias("read_rows"),
         F.count_if(F.col(DIRTY_REASON).isNotNull()).alias("discard_rows"),
-        F.coalesce(F.sum(tx.row_length([F.col(f"`{c}`") for c in cols])), F.lit(0))
-        .cast("bigint").alias("chars"))
+        (F.coalesce(F.sum(tx.row_length([F.col(f"`{c}`") for c in cols])), F.lit(0))
+         if measure_chars else F.lit(0)).cast("bigint").alias("chars"))
     good = observed.filter(F.col(DIRTY_REASON).isNull()).drop(DIRTY_REASON)
     counts = fan_out(good, sinks, on_sink_error=on_sink_error, materialize=materialize)
     m = obs.get
