@@ -296,3 +296,10 @@ def test_load_into_bucketed_files_matches_whole_table_load(spark, tmp_dir):
     assert len(touched) <= 17
     import os
     assert sorted(n for n in os.listdir(tmp_dir)) == ["bt"]
+
+
+def test_exchange_without_char_count(spark):
+    df = spark.range(10).select(F.col("id").cast("string").alias("n"))
+    rep = q.exchange(df, {"a": lambda d: d.write.format("noop").mode("overwrite").save()},
+                     measure_chars=False).first()
+    assert (rep["rows"], rep["chars"], rep["code"]) == (10, 0, 0)
