@@ -99,8 +99,10 @@ def write_delimited(df: DataFrame, dir_: str, prefix: str | None = None,
 
     ``compression``: ``gzip``, ``bzip2``, ``deflate`` ... (``"default"`` =
     deflate).  ``file_count`` repartitions to that many files (never
-    ``coalesce(1)`` by default); ``number_files`` names them ``prefix-i``.  ``encoding`` other than UTF-8 writes the
-    encoded bytes (P18).  Returns the dataset path.
+    ``coalesce(1)`` by default); ``number_files`` names them ``prefix-i``;
+    ``spread`` spreads an input narrower than the cluster before the text
+    conversion.  ``encoding`` other than UTF-8 writes the encoded bytes
+    (P18).  Returns the dataset path.
     """
     spark = df.sparkSession
     target = _join(dir_, prefix)
