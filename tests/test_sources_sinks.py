@@ -290,3 +290,22 @@ def test_list_remote_rules(spark, tmp_dir):
         src.list_remote(spark, f"{tmp_dir}/*/a.txt")
     with pytest.raises(ValueError):
         src.list_remote(spark, f"{tmp_dir}/r", max_depth=1)
+
+
+def test_del_modes_and_write_modes(spark, tmp_dir):
+    df = spark.createDataFrame([("a",), ("b",)], "v string")
+    count = lambda p: spark.read.text(p).count()
+    p = sk.write_delimited(df, tmp_dir, prefix="x", del_mode=3)
+    assert count(p) == 2
+    sk.write_delimited(df, tmp_dir, prefix="x", del_mode=0)       # overwrite same name
+    assert count(p) == 2
+    sk.write_delimited(df, tmp_dir, prefix="x", write_mode="append")
+    assert count(p) == 4
+    with pytest.raises(Exception):
+        sk.write_delimited(df, tmp_dir, prefix="x", write_mode="nonConflict")
+    sk.write_delimited(df, tmp_dir, prefix="y", del_mode=2)
+    assert sorted(os.listdir(tmp_dir)) == ["x", "y"]
+    sk.write_delimited(df, tmp_dir, prefix="z", del_mode=4)     # clears the folder first
+    assert os.listdir(tmp_dir) == ["z"]
+    with pytest.raises(ValueError):
+        sk.write_delimited(df, tmp_dir, prefix="w", del_mode=9)
