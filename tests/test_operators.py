@@ -303,3 +303,18 @@ def test_exchange_without_char_count(spark):
     rep = q.exchange(df, {"a": lambda d: d.write.format("noop").mode("overwrite").save()},
                      measure_chars=False).first()
     assert (rep["rows"], rep["chars"], rep["code"]) == (10, 0, 0)
+
+
+def test_cell_table_keep_mode_newest_wins(spark, tmp_dir):
+    v1 = spark.createDataFrame([("k1", "old", "x")], "key string, a string, b string")
+    v2 = spark.createDataFrame([("k1", "new", None), ("k2", "z", None)], "key string, a string, b string")
+    path = f"{tmp_dir}/cells"
+    cl.write_cells(cl.rows_to_cells(v1, 0, ["f:a", "f:b"], ts=1)[0], path, del_mode=1)
+    cl.write_cells(cl.rows_to_cells(v2, 0, ["f:a"], value_index=[1], ts=2)[0], path, del_mode=0)
+    rows = cl.cells_to_rows(spark.read.parquet(path), ["f:a", "f:b"], keep_key=True)
+    assert sorted(tuple(r) for r in rows.collect()) == [("k1", "new", "x"), ("k2", "z", None)]
+    cl.write_cells(cl.rows_to_cells(v2, 0, ["f:a"], value_index=[1], ts=3)[0], path, del_mode=1)
+    rows = cl.cells_to_rows(spark.read.parquet(path), ["f:a", "f:b"], keep_key=True)
+    assert sorted(tuple(r) for r in rows.collect()) == [("k1", "new", None), ("k2", "z", None)]
+    with pytest.raises(ValueError):
+        cl.write_cells(cl.rows_to_cells(v1, 0, ["f:a", "f:b"])[0], path, del_mode=7)
