@@ -201,3 +201,60 @@ def write_jdbc_mysql(df: DataFrame, url: str, table: str, key_policy: str = "ign
 def null_escape_columns(df: DataFrame) -> list[Column]:
     """P14 per column for text loaders (COPY / LOAD DATA)."""
     return [tx.escape_load(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns]
+
+
+# Oracle date-mask elements and the Spark pattern letters for
+# them (longest element first when reading a mask).
+ORACLE_MASK_ELEMENTS = [("hh24", "HH"), ("yyyy", "yyyy"), ("mm", "MM"), ("dd", "dd"),
+                        ("hh", "hh"), ("mi", "mm"), ("ss", "ss"), ("ff", "SSSSSSSSS")]
+DEFAULT_ORACLE_MASK = "yyyy-mm-dd"
+
+
+def oracle_mask_to_spark(mask: str) -> str:
+    """An Oracle date mask (``yyyy-mm-dd hh24:mi:ss.ff``) as a Spark pattern."""
+    out, i, low = [], 0, mask.lower()
+    while i < len(mask):
+        for elem, spark_letters in ORACLE_MASK_ELEMENTS:
+            if low.startswith(elem, i):
+                out.append(spark_letters)
+                i += len(elem)
+                break
+        else:
+            ch = mask[i]
+            out.append(f"'{ch}'" if ch.isalpha() else ch)
+            i += 1
+    return "".join(out)
+
+
+def positional_date_masks(kinds: Sequence[str], masks: str | None) -> list[str | None]:
+    """K12 mask rule: the i-th DATE or TIMESTAMP column takes the i-th mask of
+    the comma-separated list (the first mask once the list runs out);
+    TIMESTAMP columns take it with ``.ff`` added; default ``yyyy-mm-dd``.
+    Other columns get ``None``."""
+    listed = [m for m in (masks or "").split(",") if m] or [DEFAULT_ORACLE_MASK]
+    out, n = [], 0
+    for kind in kinds:
+        k = kind.lower()
+        if k in ("date", "timestamp"):
+            mask = listed[n] if n < len(listed) else listed[0]
+            out.append(mask + ".ff" if k == "timestamp" else mask)
+            n += 1
+        else:
+            out.append(None)
+    return out
+
+
+def prepare_rows_with_masks(df: DataFrame, kinds: Sequence[str], masks: str | None = None,
+                            strip: str = "\x01\x02") -> DataFrame:
+    """Rows for a direct-path style load: DATE/TIMESTAMP columns (by position,
+    ``kinds`` from the target table) parsed with their positional mask, other
+    columns cleaned of the loader's separators."""
+    per_col = positional_date_masks(kinds, masks)
+    cols = []
+    for c, mask in zip(df.columns, per_col):
+        col = F.col(f"`{c}`").cast("string")
+        if mask is None:
+            cols.append(tx.sanitize_load(col, strip).alias(c))
+        else:
+            cols.append(dt.parse_with(col, oracle_mask_to_spark(mask)).alias(c))
+    return df.select(cols)

@@ -309,3 +309,16 @@ def test_del_modes_and_write_modes(spark, tmp_dir):
     assert os.listdir(tmp_dir) == ["z"]
     with pytest.raises(ValueError):
         sk.write_delimited(df, tmp_dir, prefix="w", del_mode=9)
+
+
+def test_oracle_positional_masks(spark):
+    assert kj.oracle_mask_to_spark("yyyy-mm-dd hh24:mi:ss") == "yyyy-MM-dd HH:mm:ss"
+    assert kj.oracle_mask_to_spark("yyyymmdd.ff") == "yyyyMMdd.SSSSSSSSS"
+    assert kj.positional_date_masks(["varchar", "date", "timestamp", "date"], "yyyymmdd,yyyy-mm-dd") == [
+        None, "yyyymmdd", "yyyy-mm-dd.ff", "yyyymmdd"]
+    assert kj.positional_date_masks(["date"], None) == ["yyyy-mm-dd"]
+    import datetime as dt
+    df = spark.createDataFrame([("a\x01b", "20240305", "2024-03-05.123")], "s string, d string, t string")
+    row = kj.prepare_rows_with_masks(df, ["varchar", "date", "timestamp"], "yyyymmdd,yyyy-mm-dd").first()
+    assert row[0] == "ab" and row[1] == dt.datetime(2024, 3, 5)
+    assert row[2] == dt.datetime(2024, 3, 5, 0, 0, 0, 123000)
