@@ -383,3 +383,11 @@ FROM a, (VALUES ('text'), ('parquet')) AS s(sink)
 ORACLE_SQL["load_files_replace"] = ORACLE_SQL["load_replace"]
 
 ORACLE_SQL["load_buckets_replace"] = ORACLE_SQL["load_replace"]
+
+ORACLE_SQL["date_masks"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d %H:%M:%S') AS d,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ts,
+       o_orderpriority
+FROM orders
+"""

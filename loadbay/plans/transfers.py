@@ -299,3 +299,20 @@ def remote_text_header(spark: SparkSession, sf_dir: str) -> DataFrame:
                              null_char="\\N")
     return sources.read_remote_text(spark, path, field_split="\x01", null_string="\\N",
                                     skip_header=True, num_fields=3)
+
+
+def date_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K12 rows: order dates as text, parsed by positional masks (the first
+    DATE column takes the first mask, the TIMESTAMP column the second plus
+    fractional seconds)."""
+    from loadbay.sinks.jdbc import prepare_rows_with_masks
+
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("d"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"),
+        F.col("o_orderpriority"))
+    rows = prepare_rows_with_masks(o, ["number", "date", "timestamp", "varchar"],
+                                   "yyyymmdd,yyyy-mm-dd hh24:mi:ss")
+    return rows.select("o_orderkey", F.date_format("d", "yyyy-MM-dd HH:mm:ss").alias("d"),
+                       F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "o_orderpriority")
