@@ -316,3 +316,14 @@ def date_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    "yyyymmdd,yyyy-mm-dd hh24:mi:ss")
     return rows.select("o_orderkey", F.date_format("d", "yyyy-MM-dd HH:mm:ss").alias("d"),
                        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "o_orderpriority")
+
+
+def load_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9b/K10 data file: documents written as a LOAD DATA file (\\001 / \\002,
+    \\N, escaped backslashes), read back as the loader reads it."""
+    from loadbay.sinks.jdbc import read_load_file, write_load_file
+
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.when(F.col("lang") == "en", F.lit(None)).otherwise(F.col("lang")).alias("lang"))
+    path = write_load_file(d, scratch(spark, "loadfile"), "mysql")
+    return read_load_file(spark, path, 3, "mysql")

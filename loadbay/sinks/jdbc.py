@@ -258,3 +258,37 @@ def prepare_rows_with_masks(df: DataFrame, kinds: Sequence[str], masks: str | No
         else:
             cols.append(dt.parse_with(col, oracle_mask_to_spark(mask)).alias(c))
     return df.select(cols)
+
+
+# Bulk-load file layouts (field end, line end) per loader.
+LOAD_FILE_LAYOUTS = {"mysql": ("\x01", "\x02"), "postgres": ("\x01", "\n")}
+
+
+def write_load_file(df: DataFrame, path: str, dialect: str = "mysql",
+                    mode: str = "overwrite", compression: str | None = None) -> str:
+    """The data file a bulk loader reads (``LOAD DATA`` / ``COPY`` text).
+
+    Every field: backslash doubled, the layout's field and line ends (and CR,
+    LF) removed, NULL written as ``\\N`` (P13b/P14).  MySQL: fields end with
+    ``\\001``, lines with ``\\002``; PostgreSQL: ``\\001`` and newline."""
+    field_end, line_end = LOAD_FILE_LAYOUTS[dialect]
+    strip = "".join(dict.fromkeys(field_end + line_end + "\r\n"))
+    fields = [tx.escape_load(F.col(f"`{c}`").cast("string"), strip) for c in df.columns]
+    lines = df.select(F.concat_ws(field_end, *fields).alias("value"))
+    w = lines.write.mode(mode).option("lineSep", line_end)
+    if compression:
+        w = w.option("compression", compression)
+    w.text(path)
+    return path
+
+
+def read_load_file(spark: SparkSession, path: str, num_fields: int,
+                   dialect: str = "mysql") -> DataFrame:
+    """Read a bulk-load file back as the loader does: ``\\N`` is NULL and a
+    doubled backslash is one backslash."""
+    from loadbay.sources.files import read_delimited
+
+    field_end, line_end = LOAD_FILE_LAYOUTS[dialect]
+    rows = read_delimited(spark, path, field_split=field_end, null_string="\\N",
+                          num_fields=num_fields, line_sep=line_end)
+    return rows.select([F.replace(F.col(c), F.lit("\\\\"), F.lit("\\")).alias(c) for c in rows.columns])

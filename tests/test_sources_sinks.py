@@ -322,3 +322,13 @@ def test_oracle_positional_masks(spark):
     row = kj.prepare_rows_with_masks(df, ["varchar", "date", "timestamp"], "yyyymmdd,yyyy-mm-dd").first()
     assert row[0] == "ab" and row[1] == dt.datetime(2024, 3, 5)
     assert row[2] == dt.datetime(2024, 3, 5, 0, 0, 0, 123000)
+
+
+def test_load_file_escaping(spark, tmp_dir):
+    df = spark.createDataFrame([("a\\b", None, "x\x01y\x02z\n"), ("\\N", "", "end\\")], "a string, b string, c string")
+    path = kj.write_load_file(df, f"{tmp_dir}/lf", "mysql")
+    raw = b"".join(open(os.path.join(path, f), "rb").read()
+                   for f in sorted(os.listdir(path)) if f.startswith("part-"))
+    assert b"\\N" in raw and b"a\\\\b" in raw and b"\n" not in raw
+    back = sorted((tuple(r) for r in kj.read_load_file(spark, path, 3).collect()), key=str)
+    assert back == sorted([("a\\b", None, "xyz"), ("\\N", "", "end\\")], key=str)
