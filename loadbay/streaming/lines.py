@@ -89,3 +89,15 @@ def key_policy_sink(path: str, key: str | list[str], policy: str = "replace",
             load_into_files(batch, path, key, policy, order_col)
 
     return load
+
+
+def print_sink(field_split: str = "\t", prefix: str = "",
+               null_char: str = "") -> Callable[[DataFrame, int], None]:
+    """K15 for streams: a ``foreachBatch`` sink printing each micro-batch's
+    rows as lines (prefix, separator, NULL text) on the executors."""
+    from loadbay.sinks.files import print_rows
+
+    def show(batch: DataFrame, epoch: int) -> None:
+        print_rows(batch, field_split, prefix, null_char)
+
+    return show

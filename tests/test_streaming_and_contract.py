@@ -17,7 +17,8 @@ def test_line_stream_fan_out(spark, tmp_dir):
     stream = st.read_line_stream(spark, inbox, field_split="\t", null_string="\\N", num_fields=3,
                                  legacy_last_field=True)
     q = st.fan_out_stream(stream, {"a": st.parquet_sink(f"{tmp_dir}/a"),
-                                   "b": st.parquet_sink(f"{tmp_dir}/b")},
+                                   "b": st.parquet_sink(f"{tmp_dir}/b"),
+                                   "console": st.print_sink("|", "> ", "NULL")},
                           checkpoint=f"{tmp_dir}/ckpt", stats_path=f"{tmp_dir}/stats")
     q.awaitTermination()
     stats = spark.read.parquet(f"{tmp_dir}/stats").agg(F.sum("read_rows"), F.sum("chars")).first()
