@@ -332,3 +332,11 @@ def test_load_file_escaping(spark, tmp_dir):
     assert b"\\N" in raw and b"a\\\\b" in raw and b"\n" not in raw
     back = sorted((tuple(r) for r in kj.read_load_file(spark, path, 3).collect()), key=str)
     assert back == sorted([("a\\b", None, "xyz"), ("\\N", "", "end\\")], key=str)
+
+
+@pytest.mark.parametrize("kind", ["RECORD", "BLOCK"])
+def test_sequence_compressed(spark, tmp_dir, kind):
+    df = spark.createDataFrame([(str(i), f"v{i}", None) for i in range(50)], "k string, a string, b string")
+    path = sk.write_sequence(df, tmp_dir, prefix=kind, key_index=0, compression=kind)
+    rows = src.read_sequence(spark, path, ignore_key=False, num_fields=3).collect()
+    assert sorted(tuple(r) for r in rows) == sorted((str(i), f"v{i}", None) for i in range(50))
