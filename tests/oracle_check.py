@@ -44,6 +44,12 @@ def rows_of(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+# Spark type name -> DuckDB type name, for the schema check.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
+                 "smallint": "SMALLINT", "date": "DATE"}
+
+
 def compare(spark, con, key, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -52,11 +58,18 @@ def compare(spark, con, key, fn, sql, sf_dir):
     t1 = time.time()
     if sql is None:
         return f"{key}: ROWS-ONLY rows={len(srows)} spark={t1 - t0:.1f}s"
+    rel = con.sql(sql)
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     if sorted(scols) != sorted(dcols):
         return f"{key}: MISMATCH columns spark={scols} duck={dcols}"
+    stypes = dict(sdf.dtypes)
+    bad_types = {c: (stypes[c], dtypes.get(c)) for c in scols
+                 if SPARK_TO_DUCK.get(stypes[c], stypes[c]) != dtypes.get(c)}
+    if bad_types:
+        return f"{key}: MISMATCH types {bad_types}"
     if len(srows) != len(drows):
         return f"{key}: MISMATCH rows spark={len(srows)} duck={len(drows)}"
     a = rows_of(scols, srows)
