@@ -26,11 +26,11 @@ def global_rank(df: DataFrame, key: str, num_partitions: int | None = None) -> D
     """
     spark = df.sparkSession
     if num_partitions is None:
-        # Enough range partitions for every task slot several times over, so
+        # Enough range partitions for every task slot twice over, so
         # each sorted run stays small; the offset table grows only with this
         # number (a few bytes per partition).
         num_partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                             4 * spark.sparkContext.defaultParallelism)
+                             2 * spark.sparkContext.defaultParallelism)
     order = [F.col("_k").asc_nulls_first(), F.col("_t").asc()]
     ranged = (df.select(F.col(key).alias("_k"), F.monotonically_increasing_id().alias("_t"))
               .repartitionByRange(num_partitions, *order)
