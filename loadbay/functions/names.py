@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from loadbay.functions.text import ColumnOrName, _c
 
-_RANGE = re.compile(r"(\w+)\[(\d+)-(\d+)\](.*)")
+_RANGE = re.compile(r"(\w+)\[(\d+)-(\d+)\](.*)", re.ASCII)
 
 
 def expand_shards(tables: str) -> list[str]:
