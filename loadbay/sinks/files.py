@@ -313,6 +313,7 @@ def write_files(df: DataFrame, path: str, prefix: str | None = None, file_format
         out = out.select([F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(out.columns, names)])
         w = (out.write.mode(mode).option("header", "true" if header else "false")
              .option("sep", field_split).option("quote", '"').option("nullValue", null_char)
+             .option("emptyValue", "")
              .option("encoding", encoding))
         if compression:
             w = w.option("compression", compression)

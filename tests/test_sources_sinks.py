@@ -340,3 +340,10 @@ def test_sequence_compressed(spark, tmp_dir, kind):
     path = sk.write_sequence(df, tmp_dir, prefix=kind, key_index=0, compression=kind)
     rows = src.read_sequence(spark, path, ignore_key=False, num_fields=3).collect()
     assert sorted(tuple(r) for r in rows) == sorted((str(i), f"v{i}", None) for i in range(50))
+
+
+def test_csv_empty_text_written_as_nothing(spark, tmp_dir):
+    df = spark.createDataFrame([("a", ""), ("b", None)], "k string, v string").coalesce(1)
+    path = sk.write_files(df, tmp_dir, prefix="e", header=["k", "v"], field_split=",")
+    lines = [r[0] for r in spark.read.text(path).collect()]
+    assert sorted(lines) == ["a,", "b,", "k,v"]
