@@ -238,19 +238,25 @@ def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detect_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files written in four formats from customer, classified by their
-    first bytes and names."""
+    """Customer written as text, gzip text, Parquet and a SequenceFile;
+    each folder's kind is detected from its files' first bytes and names, and
+    the folder is read back with the reader of that kind."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     root = scratch(spark, "formats")
     sinks.write_delimited(c, f"{root}/txt")
     sinks.write_delimited(c, f"{root}/gz", compression="gzip")
     c.write.parquet(f"{root}/pq")
     sinks.write_sequence(c, f"{root}/seq", key_index=0)
-    files = sources.detect_format(spark, root)
-    folder = F.regexp_extract("path", r"/(txt|gz|pq|seq)/[^/]+$", 1)
-    return (files.filter(~F.regexp_extract("path", r"/([^/]+)$", 1).startswith("_")
-                         & ~F.regexp_extract("path", r"/([^/]+)$", 1).startswith("."))
-            .groupBy(folder.alias("folder"), "kind").agg(F.count(F.lit(1)).alias("files")))
+    out = None
+    for folder in ("txt", "gz", "pq", "seq"):
+        path = f"{root}/{folder}"
+        kind = sources.folder_kind(spark, path)
+        rows = sources.read_detected(spark, path, num_fields=2)
+        one = rows.agg(F.count(F.lit(1)).alias("rows"),
+                       F.count(F.col(rows.columns[1])).alias("names")).select(
+            F.lit(folder).alias("folder"), F.lit(kind).alias("kind"), "rows", "names")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def row_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -398,3 +398,9 @@ SELECT CAST(doc_id AS VARCHAR) AS _c0,
        CASE WHEN lang = 'en' THEN NULL ELSE lang END AS _c2
 FROM documents
 """
+
+ORACLE_SQL["detect_format"] = """
+SELECT f.folder, f.kind, (SELECT count(*) FROM customer) AS rows,
+       (SELECT count(c_name) FROM customer) AS names
+FROM (VALUES ('txt', 'TXT'), ('gz', 'COMP_TXT'), ('pq', 'PARQUET'), ('seq', 'SEQ')) AS f(folder, kind)
+"""

@@ -270,6 +270,33 @@ def detect_format(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
     return heads.select("path", kind.alias("kind"))
 
 
+def folder_kind(spark: SparkSession, path: str) -> str:
+    """The one kind (R5) of the data files in ``path``; a folder mixing
+    kinds is an error.  Only the distinct kinds (at most four values) reach
+    the driver."""
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    data = detect_format(spark, path).filter(~name.startswith("_") & ~name.startswith("."))
+    kinds = sorted(r[0] for r in data.select("kind").distinct().collect())
+    if len(kinds) != 1:
+        raise ValueError(f"{path} holds files of kinds {kinds}")
+    return kinds[0]
+
+
+def read_detected(spark: SparkSession, path: str, field_split: str = "\x01",
+                  null_string: str | None = "", num_fields: int | None = None) -> DataFrame:
+    """R5 driving the read: the folder's files are read with the reader of
+    their kind (text, compressed text, SequenceFile with its key, Parquet as
+    text)."""
+    kind = folder_kind(spark, path)
+    if kind == "PARQUET":
+        return read_parquet_as_text(spark, path, null_string=null_string)
+    if kind == "SEQ":
+        return read_sequence(spark, path, field_split=field_split, null_string=null_string,
+                             ignore_key=False, num_fields=num_fields)
+    return read_delimited(spark, path, field_split=field_split, null_string=null_string,
+                          num_fields=num_fields)
+
+
 # --------------------------------------------------------------------------
 # Partition folders
 # --------------------------------------------------------------------------
