@@ -347,3 +347,14 @@ def test_csv_empty_text_written_as_nothing(spark, tmp_dir):
     path = sk.write_files(df, tmp_dir, prefix="e", header=["k", "v"], field_split=",")
     lines = [r[0] for r in spark.read.text(path).collect()]
     assert sorted(lines) == ["a,", "b,", "k,v"]
+
+
+def test_read_detected_picks_reader_and_refuses_mixed_folders(spark, tmp_dir):
+    df = spark.createDataFrame([("1", "a"), ("2", None)], "k string, v string")
+    sk.write_sequence(df, tmp_dir, prefix="seq", key_index=0)
+    rows = sorted(tuple(r) for r in src.read_detected(spark, f"{tmp_dir}/seq", num_fields=2).collect())
+    assert rows == [("1", "a"), ("2", None)]
+    df.write.parquet(f"{tmp_dir}/mixed/pq")
+    sk.write_delimited(df, f"{tmp_dir}/mixed", prefix="txt")
+    with pytest.raises(ValueError):
+        src.read_detected(spark, f"{tmp_dir}/mixed")
