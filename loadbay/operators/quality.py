@@ -299,7 +299,8 @@ def load_checked(df: DataFrame, rules: Mapping[str, Column], limit: float, targe
 # --------------------------------------------------------------------------
 
 def exchange(df: DataFrame, sinks: Mapping[str, Sink], rules: Mapping[str, Column] | None = None,
-             limit: float | None = None, inclusive: bool = False, seconds: float | None = None,
+             limit: float | None = None, inclusive: bool = False,
+             seconds: float | str | None = None,
              materialize: str = "persist", on_sink_error: str = "fail",
              measure_chars: bool = True) -> DataFrame:
     """A whole transfer job: dirty rows set aside (Q3), every sink fed from
@@ -312,6 +313,8 @@ def exchange(df: DataFrame, sinks: Mapping[str, Sink], rules: Mapping[str, Colum
     discard_rows, chars, budget_ok, code`` (``code`` 0 when every sink took
     every good row and the budget holds, else 200).  ``measure_chars=False``
     skips the character count (it prints every field as text once).
+    ``seconds`` adds byte and line speeds: a number of seconds, or
+    ``"measure"`` for the wall time of the transfer itself.
     """
     import uuid
 
@@ -325,7 +328,12 @@ def exchange(df: DataFrame, sinks: Mapping[str, Sink], rules: Mapping[str, Colum
         (F.coalesce(F.sum(tx.row_length([F.col(f"`{c}`") for c in cols])), F.lit(0))
          if measure_chars else F.lit(0)).cast("bigint").alias("chars"))
     good = observed.filter(F.col(DIRTY_REASON).isNull()).drop(DIRTY_REASON)
+    import time
+
+    started = time.monotonic()
     counts = fan_out(good, sinks, on_sink_error=on_sink_error, materialize=materialize)
+    if seconds == "measure":
+        seconds = time.monotonic() - started
     m = obs.get
     read_rows, discard, chars = int(m["read_rows"]), int(m["discard_rows"]), int(m["chars"])
     expected = read_rows - discard

@@ -318,3 +318,10 @@ def test_cell_table_keep_mode_newest_wins(spark, tmp_dir):
     assert sorted(tuple(r) for r in rows.collect()) == [("k1", "new", None), ("k2", "z", None)]
     with pytest.raises(ValueError):
         cl.write_cells(cl.rows_to_cells(v1, 0, ["f:a", "f:b"])[0], path, del_mode=7)
+
+
+def test_exchange_measures_its_own_time(spark):
+    df = spark.range(3).select(F.col("id").cast("string").alias("n"))
+    rep = q.exchange(df, {"a": lambda d: d.write.format("noop").mode("overwrite").save()},
+                     seconds="measure").first()
+    assert rep["line_speed"].endswith("L/s") and rep["byte_speed"].endswith("B/s")
