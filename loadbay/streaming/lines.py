@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,34 +35,54 @@ def read_line_stream(spark: SparkSession, dir_: str, field_split: str = "\t",
 
 def fan_out_stream(stream: DataFrame, sinks: Mapping[str, Callable[[DataFrame, int], object]],
                    checkpoint: str, available_now: bool = True,
-                   stats_path: str | None = None) -> StreamingQuery:
+                   stats_path: str | None = None, rules: Mapping[str, Column] | None = None,
+                   dirty_path: str | None = None) -> StreamingQuery:
     """Every micro-batch to every sink (``foreachBatch``); the batch is
     persisted once per epoch so the source is read once.  The checkpoint
     (a shared folder) makes a restarted query resume where it stopped.
 
+    ``rules`` set dirty rows aside per epoch (Q3): the sinks get the good
+    rows, ``dirty_path`` (if given) the dirty ones with their reason.
     ``stats_path`` appends one row of transfer statistics (Q5) per epoch,
-    plus the row count each sink was handed (Q2 per epoch).
+    with the dirty rows counted as discarded and the number of sinks.
     """
-    from loadbay.operators.quality import transfer_stats
+    from loadbay.operators.quality import DIRTY_REASON, mark_dirty
 
     def each(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
+        marked = mark_dirty(batch, rules or {}).persist()
         try:
+            good = marked.filter(F.col(DIRTY_REASON).isNull()).drop(DIRTY_REASON)
             for sink in sinks.values():
-                sink(batch, epoch)
+                sink(good, epoch)
+            if dirty_path and rules:
+                (marked.filter(F.col(DIRTY_REASON).isNotNull())
+                 .withColumn("_epoch", F.lit(epoch)).write.mode("append").parquet(dirty_path))
             if stats_path:
-                (transfer_stats(batch)
-                 .select(F.lit(epoch).alias("epoch"), "*",
-                         F.lit(len(sinks)).alias("sinks"))
+                stats = _epoch_stats(marked, batch.columns, bool(rules))
+                (stats.select(F.lit(epoch).alias("epoch"), "*", F.lit(len(sinks)).alias("sinks"))
                  .write.mode("append").parquet(stats_path))
         finally:
-            batch.unpersist()
+            marked.unpersist()
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
 
+def _epoch_stats(marked: DataFrame, columns: list[str], has_rules: bool) -> DataFrame:
+    """Q5 of one epoch over its original columns, dirty rows as discards."""
+    from loadbay.functions.text import row_length
+    from loadbay.operators.quality import DIRTY_REASON
+
+    dirty = F.col(DIRTY_REASON).isNotNull() if has_rules else F.lit(False)
+    agg = marked.agg(F.count(F.lit(1)).alias("read_rows"),
+                     F.count_if(dirty).alias("discard_rows"),
+                     F.coalesce(F.sum(row_length([F.col(f"`{c}`") for c in columns])),
+                                F.lit(0)).cast("bigint").alias("chars"))
+    return agg.select("read_rows", "discard_rows",
+                      (F.col("read_rows") - F.col("discard_rows")).alias("write_rows"), "chars")
+
+
 def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` sink appending each epoch to a Parquet folder,
     tagged with its epoch (a replayed epoch can be recognised)."""

@@ -105,3 +105,23 @@ def test_stream_into_key_policy_table(spark, tmp_dir):
     q.awaitTermination()
     got = sorted(tuple(r) for r in spark.read.parquet(table).collect())
     assert got == [(1, "c", 3), (2, "d", 4), (3, "e", 5)]
+
+
+def test_stream_sets_dirty_rows_aside(spark, tmp_dir):
+    from loadbay.operators import quality as q
+
+    inbox = f"{tmp_dir}/inbox"
+    os.makedirs(inbox)
+    with open(f"{inbox}/a.txt", "w") as fh:
+        fh.write("1\tx\nbad\ty\n3\tz\n")
+    stream = st.read_line_stream(spark, inbox, num_fields=2)
+    query = st.fan_out_stream(stream, {"a": st.parquet_sink(f"{tmp_dir}/a")},
+                              checkpoint=f"{tmp_dir}/ckpt", stats_path=f"{tmp_dir}/stats",
+                              rules=q.type_rules({"_c0": "int"}), dirty_path=f"{tmp_dir}/dirty")
+    query.awaitTermination()
+    assert sorted(r[0] for r in spark.read.parquet(f"{tmp_dir}/a").select("_c0").collect()) == ["1", "3"]
+    dirty = spark.read.parquet(f"{tmp_dir}/dirty").collect()
+    assert [(r["_c0"], r[q.DIRTY_REASON]) for r in dirty] == [("bad", "bad__c0")]
+    stats = spark.read.parquet(f"{tmp_dir}/stats").agg(F.sum("read_rows"), F.sum("discard_rows"),
+                                                      F.sum("write_rows")).first()
+    assert tuple(stats) == (3, 1, 2)
