@@ -19,8 +19,10 @@ from loadbay.sources.files import lines_to_rows
 def read_line_stream(spark: SparkSession, dir_: str, field_split: str = "\t",
                      null_string: str | None = "", num_fields: int | None = None,
                      col_filter: str | None = None, legacy_last_field: bool = False,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """New text files in ``dir_`` -> rows, split like R1.
+                     max_files_per_trigger: int | None = None,
+                     encoding: str = "utf-8") -> DataFrame:
+    """New text files in ``dir_`` -> rows, split like R1 (``encoding``
+    other than UTF-8 decodes each line first).
 
     ``legacy_last_field`` keeps the last field out of NULL mapping, as the
     line-stream reader did.
@@ -29,6 +31,13 @@ def read_line_stream(spark: SparkSession, dir_: str, field_split: str = "\t",
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = r.load(dir_)
+    if encoding.lower().replace("-", "") != "utf8":
+        from loadbay.functions.text import decode_text
+        from loadbay.sources.files import enable_java_charsets
+
+        enable_java_charsets(spark)
+        # Lines are cut on raw bytes and decoded before any field split.
+        lines = lines.select(decode_text(F.col("value"), encoding).alias("value"))
     return lines_to_rows(lines, field_split, null_string, col_filter, num_fields,
                          keep_last=legacy_last_field)
 

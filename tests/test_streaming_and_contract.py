@@ -125,3 +125,14 @@ def test_stream_sets_dirty_rows_aside(spark, tmp_dir):
     stats = spark.read.parquet(f"{tmp_dir}/stats").agg(F.sum("read_rows"), F.sum("discard_rows"),
                                                       F.sum("write_rows")).first()
     assert tuple(stats) == (3, 1, 2)
+
+
+def test_gbk_line_stream(spark, tmp_dir):
+    inbox = f"{tmp_dir}/inbox"
+    os.makedirs(inbox)
+    with open(f"{inbox}/a.txt", "wb") as fh:
+        fh.write("中文\t测试\n".encode("gbk"))
+    stream = st.read_line_stream(spark, inbox, num_fields=2, encoding="GBK")
+    q = st.fan_out_stream(stream, {"a": st.parquet_sink(f"{tmp_dir}/a")}, checkpoint=f"{tmp_dir}/ckpt")
+    q.awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_dir}/a").drop("_epoch").collect()] == [("中文", "测试")]
