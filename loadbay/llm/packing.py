@@ -31,6 +31,8 @@ END_ID = 2
 DIMS = 3
 BITS = 10
 BUCKETS = 64
+#: Text bytes tokenised at a time: the larger, the fewer repeats of a word.
+BLOCK = 4 << 20
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -81,8 +83,10 @@ def _tokenised(path: str, end_id: int):
         end = np.array([end_id], dtype)
         for batch in batches:
             data, off = W.buffers(batch.column(1))
-            for i, j in W.blocks(off):
-                key = hilbert_keys(document_points(data[off[i]: off[j]], off[i: j + 1] - off[i]))
+            for i, j in W.blocks(off, BLOCK):
+                key = np.concatenate([
+                    hilbert_keys(document_points(data[off[i + a]: off[i + b]], off[i + a: i + b + 1] - off[i + a]))
+                    for a, b in W.blocks(off[i: j + 1])])
                 ids, at = text_ids(batch.column(1).slice(i, j - i), path)
                 each = [np.concatenate([ids[at[r]: at[r + 1]], end]).tobytes() for r in range(j - i)]
                 yield pa.RecordBatch.from_arrays(

@@ -1,6 +1,6 @@
 """Token counts from pre-token frequencies.
 
-Pre-tokens are white-space separated words (see ``tokens``).  Each block of
+Pre-tokens are words and the punctuation after them (see ``tokens``).  Each block of
 texts gives its distinct pre-tokens, and each text's frequencies of them by
 their place in the block.  The library counts the pieces of every distinct
 pre-token of the corpus once; the counts are joined to the blocks' pre-tokens,
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from loadbay.llm import words as W
 from loadbay.llm.common import stash
-from loadbay.llm.tokens import encoder, split_words
+from loadbay.llm.tokens import encoder, pre_tokens
 
 BLOCK = 4 << 20
 LIMIT = 2048
@@ -47,7 +47,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, off = W.buffers(batch.column(1))
         for i, j in W.blocks(off, BLOCK):
             block += 1
-            at, code, names = split_words(batch.column(1).slice(i, j - i))
+            at, code, names = pre_tokens(batch.column(1).slice(i, j - i))
             text = np.repeat(np.arange(j - i), np.diff(at))
             pair, times = np.unique(text * max(len(names), 1) + code, return_counts=True)
             n = np.bincount(pair // max(len(names), 1), minlength=j - i)
@@ -60,7 +60,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "places": [bytes([place.itemsize]) + place.tobytes()],
                 "times": [bytes([times.itemsize]) + times.tobytes()]}, _SCHEMA)
             for s in range(0, len(names), 8192):
-                part = names.slice(s, 8192).cast(pa.string())
+                part = pa.array(names[s: s + 8192], pa.string())
                 m = len(part)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(m, block)), pa.array(np.arange(s, s + m, dtype=np.int32)), part,
@@ -69,10 +69,10 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _piece_counter(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = encoder(path).library
         for batch in batches:
-            n = [len(e.ids) for e in library.encode_batch(batch.column(0).to_pylist(), add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32())], names=["word", "pieces"])
+            n = encoder(path).counted(batch.column(0).to_pylist())[1]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n.astype(np.int32))], names=["word", "pieces"])
     return run
 
 

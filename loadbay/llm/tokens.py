@@ -1,10 +1,12 @@
-"""Whole texts to token ids with a public tokenizer, word by word.
+"""Whole texts to token ids with a public tokenizer, pre-token by pre-token.
 
 For a tokenizer that drops white space (its normaliser and its pre-tokenizer
 never look across it) the ids of a text are those of its white-space separated
-words in order.  So a task asks the library once per distinct word it meets
-and looks the others up.  ``tests/llm`` compares this with the library on
-whole texts.
+words in order.  Where the pre-tokenizer also separates letters from
+punctuation, punctuation after a word's last letter is a pre-token of its own;
+a tokenizer that lower-cases gives ASCII words the same ids in lower case.  So
+a task asks the library once per distinct pre-token it meets and looks the
+others up.  ``tests/llm`` compares this with the library on whole texts.
 """
 
 from __future__ import annotations
@@ -13,14 +15,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Distinct words a worker keeps; the store is emptied when it is full.
-KEEP_WORDS = 400_000
+#: Distinct pre-tokens a worker keeps; the store is emptied when it is full.
+KEEP = 800_000
+#: Pre-tokens per call of the library.
+CALL = 2_000
+_AFTER = ".,;:!?&$%#*|)"
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[str, PieceEncoder] = {}
 
 
-class WordEncoder:
-    """Ids of words, from the library once per distinct word."""
+class PieceEncoder:
+    """Ids of pre-tokens, from the library once per distinct pre-token."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -28,49 +33,96 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, np.ndarray] = {}
         wide = self.library.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.dtype = np.uint32 if wide else np.uint16
-
-    def ids(self, words: list[str]) -> list[np.ndarray]:
-        if len(self.known) > KEEP_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for i in range(0, len(new), 10_000):
-            part = new[i: i + 10_000]
-            for w, e in zip(part, self.library.encode_batch(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, self.dtype)
-        return [self.known[w] for w in words]
-
-
-def encoder(path: str) -> WordEncoder:
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat = np.zeros(1 << 16, self.dtype)
+        self.edge = np.zeros(1 << 16, np.int64)  # ids of number i: flat[edge[i]:edge[i + 1]]
+
+    def counted(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces in order, and how many each piece has."""
+        ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in range(0, len(pieces), CALL):
+            part = pieces[i: i + CALL]
+            got = self.library.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(got.ids, np.int64))
+            sizes.append(np.bincount(np.array(got.word_ids, np.int64), minlength=len(part)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The store's number of every piece; new ones are encoded."""
+        if len(self.known) > KEEP:
+            self.clear()
+        known = self.known
+        new = [x for x in pieces if x not in known]
+        if new:
+            ids, sizes = self.counted(new)
+            n = len(known)
+            at = int(self.edge[n])
+            while at + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            while n + len(new) >= len(self.edge):
+                self.edge = np.concatenate([self.edge, np.zeros_like(self.edge)])
+            self.flat[at: at + len(ids)] = ids
+            self.edge[n + 1: n + len(new) + 1] = at + np.cumsum(sizes)
+            known.update(zip(new, range(n, n + len(new))))
+        return np.array([known[x] for x in pieces], np.int64)
+
+
+def encoder(path: str) -> PieceEncoder:
     """The worker's encoder of this file."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = PieceEncoder(path)
     return _encoders[path]
 
 
-def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Each text's range of words, each word's place in the dictionary, and
-    the dictionary of distinct words."""
+def cut(word: str) -> tuple[str, str]:
+    """A word and the punctuation after its last letter.
+
+    A special token's string stays whole.  Letters whose lower case or
+    composition could end in a mark are not cut after."""
+    if "<" in word:
+        return word, ""
+    if word.isascii():
+        word = word.lower()
+    core = word.rstrip(_AFTER)
+    if core == word or not core or not core[-1].isalpha() or ord(core[-1]) > 0x24F or len(core[-1].lower()) > 1:
+        return word, ""
+    return core, word[len(core):]
+
+
+def pre_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Each text's range of pre-tokens, every pre-token's place in the list of
+    distinct ones, and that list."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     lists = pc.ascii_split_whitespace(texts)
-    ends = np.asarray(lists.offsets, np.int64)
-    words = lists.values.slice(ends[0], ends[-1] - ends[0])
-    # Blank ends of a text give empty strings; they have no ids.
-    coded = words.dictionary_encode()
-    return ends - ends[0], np.asarray(coded.indices, np.int64), coded.dictionary
+    at = np.asarray(lists.offsets, np.int64)
+    coded = lists.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+    code = np.asarray(coded.indices, np.int64)
+    places: dict[str, int] = {}
+    core, after = [], []
+    for word in coded.dictionary.to_pylist():
+        x, y = cut(word)
+        core.append(places.setdefault(x, len(places)))
+        after.append(places.setdefault(y, len(places)) if y else -1)
+    core, after = np.array(core, np.int64)[code], np.array(after, np.int64)[code]
+    end = np.cumsum(1 + (after >= 0))
+    out = np.zeros(end[-1] if len(end) else 0, np.int64)
+    out[end - 1 - (after >= 0)] = core
+    out[end[after >= 0] - 1] = after[after >= 0]
+    return np.concatenate([[0], end])[at - at[0]], out, list(places)
 
 
 def text_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other, and each text's range."""
     enc = encoder(path)
-    at, code, names = split_words(texts)
-    per_word = enc.ids(names.to_pylist())
-    size = np.array([len(x) for x in per_word], np.int64)
-    flat = np.concatenate(per_word) if per_word else np.zeros(0, enc.dtype)
-    first = np.cumsum(size) - size
-    n = size[code] if len(code) else np.zeros(0, np.int64)
+    at, code, names = pre_tokens(texts)
+    number = enc.numbers(names)
+    first, size = enc.edge[number], enc.edge[number + 1] - enc.edge[number]
+    n = size[code]
     end = np.concatenate([[0], np.cumsum(n)])
     where = np.repeat(first[code] - end[:-1], n) + np.arange(end[-1])
-    return flat[where], end[at]
+    return enc.flat[where], end[at]
