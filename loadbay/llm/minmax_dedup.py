@@ -12,9 +12,9 @@ Groups of any size never meet in one task and are never expanded into pairs:
 * in a bucket every node is compared with two nodes only (its smallest and
   its largest id);
 * buckets that still hold several components afterwards are searched again:
-  those of at most ``SMALL_BUCKET`` nodes pair by pair, larger ones through
-  their rarest shingles (nodes that can reach the threshold must share one of
-  the few rarest shingles of both sets).
+  those of at most ``SMALL_BUCKET`` nodes pair by pair; in larger ones the
+  nodes outside the largest component are compared with the others block by
+  block, and only links leave a block.
 
 Null or empty texts have an empty set and link with nothing.  Rows with a
 null doc_id are returned with their set size and link with nothing.  Rows that
@@ -37,6 +37,8 @@ PERMUTATIONS = 32
 BAND_ROWS = 3
 #: A bucket of so many nodes may be expanded into pairs of different components.
 SMALL_BUCKET = 16
+#: Nodes of a larger bucket that are compared at a time.
+BLOCK = 1024
 
 
 def _signer(k: int, perms: int, rows: int):
@@ -103,29 +105,39 @@ def _set_maker(k: int):
     return run
 
 
+def _least(perms: int, percent: int) -> int:
+    """Signature values a linked pair shares at least.
+
+    A pair at the threshold shares 2 * perms * percent / 100 on average; this
+    is five standard deviations less (one linked pair in three million)."""
+    share = percent / 100
+    return max(0, int(2 * perms * share - 5 * (2 * perms * share * (1 - share)) ** 0.5))
+
+
+def _bytes(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
+    """Binary values of one length as a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(rows, -1)
+
+
 def _alike(least: int):
     """Keep pairs (a, b, sa, sb) whose one-byte signatures agree in ``least`` places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = (W.buffers(batch.column(c).cast(pa.large_binary()).view(pa.large_string()))[0]
-                        for c in (2, 3))
-            keep = (one == two).reshape(batch.num_rows, -1).sum(axis=1) >= least
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            n = batch.num_rows
+            keep = (_bytes(batch.column(2), n) == _bytes(batch.column(3), n)).sum(axis=1) >= least if n else []
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, perms: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold.
-
-    A pair at the threshold agrees in 2 * perms * percent / 100 signature
-    values on average; pairs more than six standard deviations below are far
-    under it and are not compared in full.
-    """
-    share = percent / 100
-    least = max(0, int(2 * perms * share - 6 * (2 * perms * share * (1 - share)) ** 0.5))
+def _promising(pairs: DataFrame, nodes: DataFrame, percent: int, perms: int) -> DataFrame:
+    """The pairs (a, b) whose signatures allow a link."""
     shorts = [nodes.select(F.col("doc_id").alias(x), F.col("short").alias(f"s{x}")) for x in "ab"]
-    pairs = (pairs.join(shorts[1], "b").join(shorts[0], "a").select("a", "b", "sa", "sb")
-             .mapInArrow(_alike(least), "a long, b long")).distinct()
+    return (pairs.join(shorts[1], "b").join(shorts[0], "a").select("a", "b", "sa", "sb")
+            .mapInArrow(_alike(_least(perms, percent)), "a long, b long")).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
     one, two = (sets.select(F.col("node").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
     both = pairs.join(two, "b").join(one, "a")
     inter = F.size(F.array_intersect("ha", "hb"))
@@ -162,7 +174,7 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, perms: int = PER
     star = (buckets.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b"))
             .union(buckets.where("node <> high and low <> node")
                    .select(F.col("node").alias("a"), F.col("high").alias("b"))).distinct())
-    links = stash(_confirmed(star, nodes, sets, percent, perms), "minmax-links")
+    links = stash(_confirmed(_promising(star, nodes, percent, perms), sets, percent), "minmax-links")
     found = components(links)
 
     # Buckets whose nodes do not yet form one component.
@@ -173,10 +185,10 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, perms: int = PER
     small = open_.where(F.col("size") <= SMALL_BUCKET).select("key", "node", "component")
     pairs = (small.withColumnsRenamed({"node": "a", "component": "ca"})
              .join(small.withColumnsRenamed({"node": "b", "component": "cb"}), "key")
-             .where("ca < cb").select("a", "b"))
-    large = open_.where(F.col("size") > SMALL_BUCKET).select("node", "component").distinct()
-    more = stash(_confirmed(pairs.union(_across(large, sets, percent)).distinct(),
-                            nodes, sets, percent, perms), "minmax-links")
+             .where("ca < cb").select("a", "b").distinct())
+    large = open_.where(F.col("size") > SMALL_BUCKET).select("key", "node", "component", "size")
+    more = stash(_confirmed(_promising(pairs, nodes, percent, perms), sets, percent).union(
+        _across(large, nodes, sets, _least(perms, percent), percent)), "minmax-links")
     found = components(links.union(more))
 
     placed = members.join(found, "node", "left").select(
@@ -188,31 +200,72 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, perms: int = PER
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def _across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of open nodes of different components that may be linked.
+def _across(large: DataFrame, nodes: DataFrame, sets: DataFrame, least: int, percent: int) -> DataFrame:
+    """Links between nodes of different components in large open buckets.
 
-    Shingles are ordered from rare to frequent.  Two sets that reach the
-    threshold share a shingle among the n - ceil(p * n) + 1 rarest of each, so
-    only those prefixes are joined.
+    Only nodes outside their bucket's largest component ask; they meet the
+    bucket's nodes block by block (``BLOCK`` nodes each).  A pair whose
+    signatures allow a link is compared on its full sets there and then, in
+    its first common bucket, and only links leave a block.
     """
-    own = open_.join(sets, "node")
-    each = own.select("node", "component", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
-    # A shingle of one component only links nothing, but keeps its place in
-    # the order.
-    often = attach_group(each.withColumn("one", F.lit(1).cast("long")), ["h"],
-                         {"often": ("sum", "one"), "c0": ("min", "component"), "c1": ("max", "component")},
-                         F.col("node"))
-    ranked = (often
-              .groupBy("node", "component", "n")
-              .agg(F.sort_array(F.collect_list(F.struct(
-                  "often", "h", (F.col("c0") != F.col("c1")).alias("shared")))).alias("by_rarity")))
-    need = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1
-    prefix = (ranked.withColumn("prefix", F.slice("by_rarity", F.lit(1), need.cast("int")))
-              .select("node", "component", "n", F.explode("prefix").alias("p"))
-              .where("p.shared").select("node", "component", "n", F.col("p.h").alias("h")))
-    left = prefix.select("h", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    right = prefix.select("h", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    return (left.join(right, "h")
-            .where((F.col("ca") < F.col("cb"))
-                   & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
-            .select("a", "b").distinct())
+    one = large.withColumn("one", F.lit(1))
+    held = attach_group(one, ["key", "component"], {"n": ("sum", "one")}, F.col("node"))
+    main = attach_group(held.withColumn("rank", F.struct("n", "component")), ["key"],
+                        {"main": ("max", "rank")}, F.col("node"))
+    spread = F.xxhash64("node")
+    rows = stash(main.select(
+        "key", "node", "component", (F.col("component") != F.col("main.component")).alias("asks"),
+        F.ceil(F.col("size") / BLOCK).alias("parts"),
+        F.ceil((F.col("size") - F.col("main.n")) / BLOCK).alias("ask_parts")), "minmax-large")
+    known = nodes.select(F.col("doc_id").alias("node"), "short", "bands").join(sets, "node")
+    dealt = [
+        rows.where("asks").withColumn("q", F.pmod(spread, "ask_parts")).withColumn(
+            "_others", F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)),
+        rows.withColumn("p", F.pmod(spread, "parts")).withColumn(
+            "_others", F.sequence(F.lit(0).cast("long"), F.col("ask_parts") - 1))]
+    cols = ["key", "p", "q", "node", "component", "short", "bands", "hashes"]
+    ask, have = (
+        side.join(known, "node").withColumn(other, F.explode("_others"))
+        .select(*[F.col(c).alias(f"{other}_{c}") for c in cols])
+        .groupBy(f"{other}_key", f"{other}_p", f"{other}_q")
+        for side, other in zip(dealt, "pq"))
+    return ask.cogroup(have).applyInArrow(_block_links(least, percent), "a long, b long").distinct()
+
+
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column one after the other, and each row's range."""
+    lists = column.combine_chunks()
+    at = np.asarray(lists.offsets, np.int64)
+    return np.asarray(lists.values)[at[0]: at[-1]], at - at[0]
+
+
+def _block_links(least: int, percent: int):
+    def run(ask: pa.Table, have: pa.Table) -> pa.Table:
+        ask, have = (t.rename_columns([c[2:] for c in t.column_names]) for t in (ask, have))
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if ask.num_rows and have.num_rows:
+            key = ask.column("key")[0].as_py()
+            node, comp = (np.asarray(have.column(c)) for c in ("node", "component"))
+            short, shorts = (_bytes(t.column("short"), t.num_rows) for t in (have, ask))
+            bands, asked = (_lists(t.column("bands"))[0].reshape(t.num_rows, -1) for t in (have, ask))
+            flat, at = _lists(have.column("hashes"))
+            own_flat, own_at = _lists(ask.column("hashes"))
+            size = np.diff(at)
+            for r, (x, c) in enumerate(zip(ask.column("node").to_pylist(), ask.column("component").to_pylist())):
+                same = bands == asked[r]
+                first = bands[np.arange(len(bands)), same.argmax(axis=1)] == key
+                some = np.flatnonzero((comp != c) & first & ((short == shorts[r]).sum(axis=1) >= least))
+                if not len(some):
+                    continue
+                own = np.sort(own_flat[own_at[r]: own_at[r + 1]])
+                n = size[some]
+                start = np.cumsum(n) - n
+                other = flat[np.repeat(at[some] - start, n) + np.arange(n.sum())]
+                hit = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
+                inter = np.add.reduceat(hit.astype(np.int64), start)
+                linked = some[inter * 100 >= (n + len(own) - inter) * percent]
+                out_a.append(np.full(len(linked), x, np.int64))
+                out_b.append(node[linked])
+        a, b = np.concatenate(out_a), np.concatenate(out_b)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    return run
