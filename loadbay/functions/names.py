@@ -7,6 +7,7 @@ as long as the pattern says (tables, partitions), never as long as the data.
 from __future__ import annotations
 
 import datetime as _dt
+import itertools
 import re
 
 from pyspark.sql import Column
@@ -14,7 +15,13 @@ from pyspark.sql import functions as F
 
 from loadbay.functions.text import ColumnOrName, _c
 
-_RANGE = re.compile(r"(\w+)\[(\d+)-(\d+)\](.*)", re.ASCII)
+def _counted(low: int, high: int, step: int, width: int, base: str = "d") -> list[str]:
+    """Numbers low..high as text, zero-padded to ``width`` (0: as they are)."""
+    return [format(k, f"0{width}{base}" if width else base) for k in range(low, high + 1, step)]
+
+
+def _product(pieces: list[list[str]]) -> list[str]:
+    return ["".join(choice) for choice in itertools.product(*pieces)]
 
 
 def expand_shards(tables: str) -> list[str]:
@@ -24,50 +31,53 @@ def expand_shards(tables: str) -> list[str]:
     lower bound when it starts with ``0``; items without a range stay as they
     are.
     """
-    out: list[str] = []
-    for item in tables.split(","):
-        item = item.strip()
-        m = _RANGE.fullmatch(item)
-        if not m:
-            out.append(item)
+    names: list[str] = []
+    for item in map(str.strip, tables.split(",")):
+        name, opened, rest = item.partition("[")
+        bounds, closed, tail = rest.partition("]")
+        low, _, high = bounds.partition("-")
+        ranged = (opened and closed and all(x.isascii() and x.isdigit() for x in (low, high))
+                  and name.isascii() and name.replace("_", "a").isalnum())
+        if not ranged:
+            names.append(item)
             continue
-        head, a, b, tail = m.group(1), m.group(2), m.group(3), m.group(4).strip()
-        if int(a) > int(b):
-            a, b = b, a
-        width = len(a)
-        for k in range(int(a), int(b) + 1):
-            num = f"{k:0{width}d}" if a.startswith("0") else str(k)
-            out.append(f"{head.strip()}{num}{tail}")
-    return out
-
-
-_BRACES = re.compile(
-    r"\{(?:[a-z]\.\.[a-z]|\d+\.\.\d+|0x[0-9a-f]+\.\.0x[0-9a-f]+)(?:\.\.\d+)?\}", re.I)
-
-
-def _brace_values(body: str) -> list[str]:
-    parts = body.split("..")
-    beg, end = parts[0], parts[1]
-    step = int(parts[2]) if len(parts) == 3 else 1
-    if beg.isdigit():
-        fmt = f"%0{len(beg)}d" if len(beg) == len(end) else "%d"
-        return [fmt % x for x in range(int(beg, 10), int(end, 10) + 1, step)]
-    if beg.lower().startswith("0x"):
-        fmt = f"%0{len(beg) - 2}x" if len(beg) == len(end) else "%x"
-        return [fmt % x for x in range(int(beg, 16), int(end, 16) + 1, step)]
-    return [chr(x) for x in range(ord(beg), ord(end) + 1, step)]
+        low, high = sorted((low, high), key=int)
+        width = len(low) if low.startswith("0") else 0
+        names += _product([[name], _counted(int(low), int(high), 1, width), [tail.strip()]])
+    return names
+
+
+def _brace_choices(body: str) -> list[str] | None:
+    """The values of ``a..b`` or ``a..b..step``; None when it is no range."""
+    bounds = body.split("..")
+    if len(bounds) not in (2, 3) or not all(x.isascii() and x.isalnum() for x in bounds):
+        return None
+    low, high, step = bounds[0], bounds[1], bounds[2] if len(bounds) == 3 else "1"
+    if not step.isdigit():
+        return None
+    for base, radix, lead in (("x", 16, "0x"), ("d", 10, "")):
+        if not all(x.lower().startswith(lead) for x in (low, high)):
+            continue
+        digits = [x[len(lead):] for x in (low, high)]
+        try:
+            first, last = (int(x, radix) for x in digits)
+        except ValueError:
+            continue
+        width = len(digits[0]) if len(digits[0]) == len(digits[1]) else 0
+        return _counted(first, last, int(step), width, base)
+    if len(low) == len(high) == 1 and low.isalpha() and high.isalpha():
+        return [chr(k) for k in range(ord(low), ord(high) + 1, int(step))]
+    return None
 
 
 def expand_pattern(text: str) -> list[str]:
     """Brace lists: ``x{1..10..2}``, ``{a..g}``, ``{0x01..0xff}``; several
     braces give their cartesian product; equal-width bounds keep the width."""
-    m = _BRACES.search(text)
-    if not m:
-        return [text]
-    head = text[: m.start()]
-    values = _brace_values(text[m.start() + 1: m.end() - 1])
-    rest = expand_pattern(text[m.end():]) if text[m.end():] else [""]
-    return [head + v + r for v in values for r in rest]
+    pieces: list[list[str]] = []
+    for part in re.split(r"(\{[^{}]*\})", text):
+        choices = _brace_choices(part[1:-1]) if part.startswith("{") else None
+        pieces.append([part] if choices is None else choices)
+    return _product(pieces)
 
 
 def work_date_macros(text: str, work_date: _dt.date | str | None = None) -> str:

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadbay.sinks.swap import swap_in
+
 # The two duplicate-key policies; IGNORE is the default.
 POLICIES = ("ignore", "replace")
 
@@ -52,11 +54,10 @@ def load_with_key_policy(target: DataFrame, incoming: DataFrame, key: str | Sequ
                          policy: str = "ignore", order_col: str | None = None) -> DataFrame:
     """K9: the target table after loading ``incoming`` under ``policy``.
 
-    One full outer join of the target with the per-key pick decides each
-    key: IGNORE keeps the target's row when there is one, REPLACE takes the
-    incoming row when there is one.  The pick is already hash-partitioned by
-    the key, so only the target is shuffled for the join; NULL-key rows of
-    either side never match and pass through unchanged.
+    IGNORE adds the picked rows whose keys the target does not hold (an anti
+    join against the target's keys); REPLACE keeps the target's rows whose
+    keys were not picked and adds the picked ones.  NULL-key rows of either
+    side take no part in the join and pass through unchanged.
     """
     policy = policy.lower()
     if policy not in POLICIES:
@@ -69,18 +70,11 @@ def load_with_key_policy(target: DataFrame, incoming: DataFrame, key: str | Sequ
     has_key = _all_not_null(keys)
     null_key_rows = incoming.filter(~has_key)
     picked = pick_per_key(incoming.filter(has_key), keys, order_col, last=(policy == "replace"))
-    t = target.select(*[F.col(f"`{c}`").alias(f"t_{c}") for c in cols], F.lit(True).alias("_in_t"))
-    i = picked.select(*[F.col(f"`{c}`").alias(f"i_{c}") for c in cols], F.lit(True).alias("_in_i"))
-    cond = None
-    for k in keys:
-        term = F.col(f"t_{k}") == F.col(f"i_{k}")
-        cond = term if cond is None else (cond & term)
-    joined = t.join(i, cond, "full_outer")
-    use_incoming = (F.col("_in_i").isNotNull() if policy == "replace"
-                    else F.col("_in_t").isNull())
-    merged = joined.select([F.when(use_incoming, F.col(f"i_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
-                            for c in cols])
-    return merged.unionByName(null_key_rows)
+    if policy == "ignore":
+        known = target.filter(has_key).select(*keys)
+        return target.unionByName(picked.join(known, keys, "left_anti")).unionByName(null_key_rows)
+    kept = target.filter(has_key).join(picked.select(*keys), keys, "left_anti").select(cols)
+    return (kept.unionByName(target.filter(~has_key)).unionByName(picked).unionByName(null_key_rows))
 
 
 def load_into_files(incoming: DataFrame, target_path: str, key: str | Sequence[str],
@@ -104,22 +98,27 @@ def load_into_files(incoming: DataFrame, target_path: str, key: str | Sequence[s
     result = load_with_key_policy(target, incoming, key, policy, order_col)
     tag = uuid.uuid4().hex[:12]
     fresh = f"{target_path.rstrip('/')}._new_{tag}"
-    old = f"{target_path.rstrip('/')}._old_{tag}"
     result.write.format(fmt).mode("errorifexists").save(fresh)
-    fresh_p, old_p = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(old)
-    had_target = fs.exists(target_p)
-    if had_target and not fs.rename(target_p, old_p):
-        raise RuntimeError(f"could not move {target_path} aside")
-    if not fs.rename(fresh_p, target_p):
-        if had_target:
-            fs.rename(old_p, target_p)
-        raise RuntimeError(f"could not move {fresh} to {target_path}")
-    if had_target:
-        fs.delete(old_p, True)
+    swap_in(spark, fresh, target_path)
     return target_path
 
 
 BUCKET_COL = "_bucket"
+BUCKET_COUNT = "_bucket_count"
+
+
+def _same_buckets(fs, marker, buckets: int) -> None:
+    """Note the table's bucket count beside its buckets; another count is an error."""
+    if fs.exists(marker):
+        held = fs.open(marker)
+        known = int(held.readLine())
+        held.close()
+        if known != buckets:
+            raise ValueError(f"the table has {known} buckets, not {buckets}")
+        return
+    out = fs.create(marker)
+    out.writeBytes(f"{buckets}\n")
+    out.close()
 
 
 def key_bucket(keys: Sequence[str], buckets: int) -> Column:
@@ -152,10 +151,15 @@ def load_into_bucketed_files(incoming: DataFrame, target_path: str, key: str | S
     Path = jvm.org.apache.hadoop.fs.Path
     root = Path(target_path)
     fs = root.getFileSystem(conf)
+    _same_buckets(fs, Path(root, BUCKET_COUNT), buckets)
     cols = incoming.columns
-    if fs.exists(root):
+    # NULL keys match nothing: their bucket is appended to, never rewritten.
+    null_keys = tagged.filter(F.col(BUCKET_COL) == buckets)
+    tagged = tagged.filter(F.col(BUCKET_COL) < buckets)
+    keyed = [b for b in touched if b < buckets]
+    if any(fs.exists(Path(root, f"{BUCKET_COL}={b}")) for b in keyed):
         current = (spark.read.option("basePath", target_path).parquet(target_path)
-                   .filter(F.col(BUCKET_COL).isin(touched)))
+                   .filter(F.col(BUCKET_COL).isin(keyed)))
         target = current.select(*cols, BUCKET_COL)
     else:
         target = tagged.limit(0)
@@ -164,7 +168,7 @@ def load_into_bucketed_files(incoming: DataFrame, target_path: str, key: str | S
     staging = f"{target_path.rstrip('/')}._new_{tag}"
     merged.write.partitionBy(BUCKET_COL).mode("errorifexists").parquet(staging)
     fs.mkdirs(root)
-    for b in touched:
+    for b in keyed:
         name = f"{BUCKET_COL}={b}"
         fresh, live, old = Path(f"{staging}/{name}"), Path(root, name), Path(root, f".old_{tag}_{b}")
         had = fs.exists(live)
@@ -178,4 +182,6 @@ def load_into_bucketed_files(incoming: DataFrame, target_path: str, key: str | S
         if had:
             fs.delete(old, True)
     fs.delete(Path(staging), True)
+    if len(keyed) < len(touched):
+        null_keys.select(cols).write.mode("append").parquet(f"{target_path.rstrip('/')}/{BUCKET_COL}={buckets}")
     return touched

@@ -13,6 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loadbay.sinks.swap import swap_in
 from loadbay.functions import text as tx
 
 DIRTY_REASON = "_dirty_reason"
@@ -93,25 +94,30 @@ def check_limit(df: DataFrame, is_bad: Column, limit: float, inclusive: bool = F
 # Q5: transfer statistics
 # --------------------------------------------------------------------------
 
+# Units of the speed texts, largest first.
+SPEED_UNITS = ((1_000_000, "MB/s"), (1_000, "KB/s"), (1, "B/s"))
+LINE_UNITS = ((1, "L/s"),)
+
+
+def _per_second(amount: Column, seconds: Column, units: tuple[tuple[int, str], ...]) -> Column:
+    """``amount`` per second in the largest unit that gives at least 1.
+
+    Whole seconds, at least one; something moved counts as at least 1."""
+    rate = F.floor(amount.cast("bigint") / F.greatest(seconds, F.lit(1)).cast("bigint"))
+    rate = F.greatest(rate, F.least(amount, F.lit(1)).cast("bigint"))
+    shown = [F.when(rate >= size, F.concat(F.floor(rate / size).cast("string"), F.lit(name)))
+             for size, name in units]
+    return F.coalesce(*shown, F.concat(rate.cast("string"), F.lit(units[-1][1])))
+
+
 def speed_text(amount: Column, seconds: Column) -> Column:
-    """Bytes per second as ``nMB/s``, ``nKB/s`` or ``nB/s`` (integer steps of
-    1000; at least 1 B/s when anything moved; 0 seconds counts as 1)."""
-    secs = F.when(seconds <= 0, F.lit(1)).otherwise(seconds).cast("bigint")
-    per = (amount.cast("bigint") / secs).cast("bigint")
-    mb = (per / 1000000).cast("bigint")
-    kb = (per / 1000).cast("bigint")
-    b = F.when((amount > 0) & (per <= 0), F.lit(1)).otherwise(per)
-    return (F.when(mb > 0, F.concat(mb.cast("string"), F.lit("MB/s")))
-             .when(kb > 0, F.concat(kb.cast("string"), F.lit("KB/s")))
-             .otherwise(F.concat(b.cast("string"), F.lit("B/s"))))
+    """Bytes per second as ``nMB/s``, ``nKB/s`` or ``nB/s`` (steps of 1000)."""
+    return _per_second(amount, seconds, SPEED_UNITS)
 
 
 def line_speed_text(lines: Column, seconds: Column) -> Column:
-    """Rows per second as ``nL/s`` (at least 1 when anything moved)."""
-    secs = F.when(seconds <= 0, F.lit(1)).otherwise(seconds).cast("bigint")
-    per = (lines.cast("bigint") / secs).cast("bigint")
-    per = F.when((lines > 0) & (per <= 0), F.lit(1)).otherwise(per)
-    return F.concat(per.cast("string"), F.lit("L/s"))
+    """Rows per second as ``nL/s``."""
+    return _per_second(lines, seconds, LINE_UNITS)
 
 
 def transfer_stats(df: DataFrame, is_dirty: Column | None = None,
@@ -255,8 +261,10 @@ def load_checked(df: DataFrame, rules: Mapping[str, Column], limit: float, targe
 
     Good rows are written by one job into a staging folder next to the
     target; the same job counts all rows and dirty rows (an observation
-    placed before the filter).  The staging folder replaces the target by a
-    rename, so readers never see a partial or rejected load.  ``dirty_path``
+    placed before the filter).  The target is moved aside, the staging folder
+    moved in, and the old target deleted; if a move fails the old target is
+    put back and the staged load is kept.  Readers never see a partial or
+    rejected load, but for the moment between two renames there is none.  ``dirty_path``
     also keeps the dirty rows with their reason (the marked rows are
     persisted on disk for that second write).
     """
@@ -281,14 +289,11 @@ def load_checked(df: DataFrame, rules: Mapping[str, Column], limit: float, targe
             raise LoadRejected(f"{rejected} of {rows} rows rejected, limit {limit}")
         if dirty_path:
             marked.filter(F.col(DIRTY_REASON).isNotNull()).write.mode("overwrite").parquet(dirty_path)
-        _, target_p = _fs(spark, target)
-        if fs.exists(target_p):
-            fs.delete(target_p, True)
-        if not fs.rename(stage_p, target_p):
-            raise RuntimeError(f"could not move {staging} to {target}")
+        swap_in(spark, staging, target)
+    except LoadRejected:
+        fs.delete(stage_p, True)
+        raise
     finally:
-        if fs.exists(stage_p):
-            fs.delete(stage_p, True)
         if dirty_path:
             marked.unpersist()
     return {"rows": rows, "rejected": rejected, "ok": True, "target": target}

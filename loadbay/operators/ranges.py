@@ -10,6 +10,10 @@ is as small as the partition count, so broadcasting it is safe at any scale.
 
 from __future__ import annotations
 
+import itertools
+from datetime import date
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,9 +87,12 @@ def chunk_predicates(bounds: list[tuple], key: str, where: str | None = None) ->
     one predicate reading everything.
     """
     def lit(v):
-        return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+        if isinstance(v, bool) or not isinstance(v, (str, int, float, Decimal, date)):
+            raise TypeError(f"no SQL literal for a bound of type {type(v).__name__}")
+        return str(v) if isinstance(v, (int, float, Decimal)) else "'" + str(v).replace("'", "''") + "'"
 
-    los = sorted({lo for lo, _hi in bounds if lo is not None})
+    # The database's own order: its collation may differ from ours.
+    los = [lo for lo, _ in itertools.groupby(lo for lo, _hi in bounds if lo is not None)]
     preds = []
     for i, lo in enumerate(los):
         parts = []

@@ -229,12 +229,14 @@ def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "stream")
     inbox = f"{root}/inbox"
     table(spark, sf_dir, "documents").select("text").write.text(inbox)
-    stream = read_line_stream(spark, inbox, field_split="\t", null_string="", num_fields=1)
+    stream = read_line_stream(spark, inbox, field_split="\x01", null_string="", num_fields=1)
     out_a, out_b = f"{root}/out_a", f"{root}/out_b"
     query = fan_out_stream(stream, {"a": parquet_sink(out_a), "b": parquet_sink(out_b)},
                            checkpoint=f"{root}/checkpoint")
     query.awaitTermination()
-    return spark.read.schema("_c0 string, _epoch int").parquet(out_a).select("_c0")
+    got = [spark.read.schema("_c0 string, _epoch int").parquet(out).select("_c0") for out in (out_a, out_b)]
+    odd = got[0].exceptAll(got[1]).unionAll(got[1].exceptAll(got[0]))
+    return got[0].unionAll(odd)  # a row on one side only would show
 
 
 def detect_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -394,7 +394,7 @@ FROM orders
 
 ORACLE_SQL["load_file_round_trip"] = """
 SELECT CAST(doc_id AS VARCHAR) AS _c0,
-       replace(replace(replace(replace(text, chr(1), ''), chr(2), ''), chr(13), ''), chr(10), '') AS _c1,
+       replace(replace(text, chr(1), ''), chr(2), '') AS _c1,
        CASE WHEN lang = 'en' THEN NULL ELSE lang END AS _c2
 FROM documents
 """

@@ -264,7 +264,7 @@ def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.write_files(c, scratch(spark, "csv"), file_format="csv",
                              header=["key", "name", "segment"], field_split=",",
                              write_mode="truncate")
-    return spark.read.option("header", "true").schema("key string, name string, segment string") \
+    return spark.read.option("header", "true").option("escape", '"').schema("key string, name string, segment string") \
         .csv(path)
 
 
@@ -293,7 +293,7 @@ def remote_text_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name",
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None)).otherwise(F.col("c_mktsegment"))
-        .alias("seg")).repartition(4)
+        .alias("seg"))
     path = sinks.write_files(c, scratch(spark, "remote"), file_format="text",
                              header=["key", "name", "segment"], field_split="\x01",
                              null_char="\\N")

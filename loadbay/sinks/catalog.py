@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadbay.functions.text import sanitize_hdfs
 from loadbay.functions.names import route_shard_name
 
 # File type of the writer -> table storage.
@@ -100,7 +101,10 @@ def load_hive(df: DataFrame, table: str, partition: Mapping[str, str] | None = N
     # A static partition insert: the partition values are part of the
     # statement, so no dynamic-partition mode is needed in either catalog.
     view = f"loadbay_load_{uuid.uuid4().hex[:12]}"
-    df.select([F.col(f"`{c}`").cast("string").alias(c) for c in cols]).createOrReplaceTempView(view)
+    texts = [F.col(f"`{c}`").cast("string") for c in cols]
+    if ft == "TXT":  # a field may not hold what ends fields and lines
+        texts = [sanitize_hdfs(t, field_split, "\n") for t in texts]
+    df.select([t.alias(c) for t, c in zip(texts, cols)]).createOrReplaceTempView(view)
     try:
         spec = ", ".join(f"{_ident(k)} = '{_sql_value(v)}'" for k, v in partition.items())
         part_clause = f" PARTITION ({spec})" if partition else ""

@@ -78,37 +78,23 @@ def text_lines(df: DataFrame, field_split: str = "\x01", line_split: str = "\n",
     return df.select(tx.join_fields(cols, field_split, null_char).alias("value"))
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin a DataFrame whose input has fewer partitions than the
-    cluster has task slots, so a small or unsplittable input (one gzip file,
-    one Parquet row group) is not written by a single task.  Inputs with
-    enough partitions (any large table) pass through without a shuffle."""
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    parts = df.rdd.getNumPartitions()
-    return df.repartition(slots) if parts < slots else df
-
-
 def write_delimited(df: DataFrame, dir_: str, prefix: str | None = None,
                     field_split: str = "\x01", line_split: str = "\n", null_char: str = "",
                     compression: str | None = None, del_mode: int | None = None,
                     write_mode: str | None = None, file_count: int | None = None,
-                    encoding: str | None = None, spread: bool = True,
+                    encoding: str | None = None,
                     number_files: bool = False) -> str:
     """K1/K2/K5/K6: delimited text (optionally compressed) into ``dir/prefix``.
 
     ``compression``: ``gzip``, ``bzip2``, ``deflate`` ... (``"default"`` =
     deflate).  ``file_count`` repartitions to that many files (never
-    ``coalesce(1)`` by default); ``number_files`` names them ``prefix-i``;
-    ``spread`` spreads an input narrower than the cluster before the text
-    conversion.  ``encoding`` other than UTF-8 writes the encoded bytes
+    ``coalesce(1)`` by default); ``number_files`` names them ``prefix-i``.
+    ``encoding`` other than UTF-8 writes the encoded bytes
     (P18).  Returns the dataset path.
     """
     spark = df.sparkSession
     target = _join(dir_, prefix)
     mode = _save_mode(spark, target, dir_, del_mode, write_mode)
-    if spread and not file_count:
-        df = spread_if_narrow(df)
     lines = text_lines(df, field_split, line_split, null_char)
     if encoding and encoding.lower().replace("-", "") != "utf8":
         from loadbay.sources.files import enable_java_charsets
@@ -209,8 +195,7 @@ def parquet_column_name(name: str) -> str:
 def write_parquet_typed(df: DataFrame, dir_: str, types: dict[str, str] | Sequence[str] | None = None,
                         prefix: str | None = None, del_mode: int | None = None,
                         compression: str = "snappy",
-                        parquet_schema: T.StructType | str | None = None,
-                        spread: bool = False) -> str:
+                        parquet_schema: T.StructType | str | None = None) -> str:
     """K4: text columns typed by Hive type names (P17), written as Parquet.
 
     Decimal/number -> double, small integers -> int, bigint -> long, unknown
@@ -221,13 +206,10 @@ def write_parquet_typed(df: DataFrame, dir_: str, types: dict[str, str] | Sequen
     spark = df.sparkSession
     target = _join(dir_, prefix)
     mode = _save_mode(spark, target, dir_, del_mode, None)
-    if spread:
-        df = spread_if_narrow(df)
     if parquet_schema is not None:
         schema = (parquet_schema if isinstance(parquet_schema, T.StructType)
                   else T._parse_datatype_string(parquet_schema))
-        typed = df.select([tx.typed_column(F.col(f"`{c}`").cast("string"), f.dataType.simpleString())
-                           .cast(f.dataType).alias(f.name)
+        typed = df.select([F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")).try_cast(f.dataType).alias(f.name)
                            for c, f in zip(df.columns, schema.fields)])
     else:
         typed = tx.typed_by_hive(df, types)
@@ -312,7 +294,8 @@ def write_files(df: DataFrame, path: str, prefix: str | None = None, file_format
             raise ValueError("header does not match the number of columns")
         out = out.select([F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(out.columns, names)])
         w = (out.write.mode(mode).option("header", "true" if header else "false")
-             .option("sep", field_split).option("quote", '"').option("nullValue", null_char)
+             .option("sep", field_split).option("quote", '"').option("escape", '"')
+             .option("nullValue", null_char)
              .option("emptyValue", "")
              .option("encoding", encoding))
         if compression:
@@ -330,9 +313,12 @@ def write_files(df: DataFrame, path: str, prefix: str | None = None, file_format
          .option("sep", _NEVER_SEP).option("quote", "\u0002").option("escape", "\u0002")
          .option("escapeQuotes", "false").option("quoteAll", "false")
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-         .option("encoding", encoding).csv(target))
+         .option("emptyValue", "").option("encoding", encoding)
+         .options(**({"compression": compression} if compression else {})).csv(target))
         return target
-    lines.write.mode(mode).text(target)
+    if encoding.lower().replace("-", "") != "utf8":
+        lines = lines.select(tx.encode_text("value", encoding).cast("string").alias("value"))
+    lines.write.mode(mode).options(**({"compression": compression} if compression else {})).text(target)
     return target
 
 

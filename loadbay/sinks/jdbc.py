@@ -9,6 +9,8 @@ Statements run on the driver through a plain JDBC connection.
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +51,14 @@ def map_columns(df: DataFrame, colorder: Sequence[str] | str | None = None,
     return df.select(cols)
 
 
+# Quoted text and names stay as they are; ``@name`` outside them is a load variable.
+_LOAD_VARS = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|@(\w+)""", re.S)
+
+
+def _var_column(m: re.Match) -> str:
+    return f"__var_{m[1]}" if m[1] else m[0]
+
+
 def set_exprs(df: DataFrame, sets: str | Mapping[str, str] | None,
               target_cols: Sequence[str] | None = None) -> DataFrame:
     """``"c = expr, d = expr"`` derived columns (may use ``@var``
@@ -65,7 +75,7 @@ def set_exprs(df: DataFrame, sets: str | Mapping[str, str] | None,
         for c in df.columns:
             if c.startswith("@"):
                 renamed = renamed.withColumnRenamed(c, "__var_" + c[1:])
-        exprs = {k: F.expr(v.replace("@", "__var_")) for k, v in pairs.items()}
+        exprs = {k: F.expr(_LOAD_VARS.sub(_var_column, v)) for k, v in pairs.items()}
         df = renamed.withColumns(exprs)
         df = df.toDF(*[("@" + c[6:]) if c.startswith("__var_") else c for c in df.columns])
     keep = [c for c in df.columns if not c.startswith("@")]
@@ -268,11 +278,11 @@ def write_load_file(df: DataFrame, path: str, dialect: str = "mysql",
                     mode: str = "overwrite", compression: str | None = None) -> str:
     """The data file a bulk loader reads (``LOAD DATA`` / ``COPY`` text).
 
-    Every field: backslash doubled, the layout's field and line ends (and CR,
-    LF) removed, NULL written as ``\\N`` (P13b/P14).  MySQL: fields end with
+    Every field: backslash doubled, the layout's field and line ends removed,
+    NULL written as ``\\N`` (P13b/P14).  MySQL: fields end with
     ``\\001``, lines with ``\\002``; PostgreSQL: ``\\001`` and newline."""
     field_end, line_end = LOAD_FILE_LAYOUTS[dialect]
-    strip = "".join(dict.fromkeys(field_end + line_end + "\r\n"))
+    strip = field_end + line_end
     fields = [tx.escape_load(F.col(f"`{c}`").cast("string"), strip) for c in df.columns]
     lines = df.select(F.concat_ws(field_end, *fields).alias("value"))
     w = lines.write.mode(mode).option("lineSep", line_end)

@@ -9,6 +9,8 @@ else one ``fields`` array column.
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -187,11 +189,11 @@ def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str | No
 
 
 def expand_paths(spark: SparkSession, root: str, max_depth: int | None = None,
-                 pattern: str | None = None, on_too_deep: str = "skip") -> DataFrame:
+                 pattern: str | None = None, on_too_deep: str = "error") -> DataFrame:
     """Files below ``root`` with their depth (1 = directly in ``root``).
 
-    ``max_depth`` limits the walk; ``on_too_deep="error"`` fails when a file
-    lies deeper (the check is one aggregate over the listing).
+    ``root`` may hold globs.  ``max_depth`` limits the walk: a deeper file is
+    an error unless ``on_too_deep="skip"`` asks for it to be left out.
     """
     root_uri = root.rstrip("/")
     files = list_files(spark, root_uri, pattern)
@@ -225,9 +227,13 @@ def list_remote(spark: SparkSession, path: str, max_depth: int = REMOTE_MAX_DEPT
 
 
 def _root_tail(root: str) -> str:
-    import re as _re
-    tail = root.split("://", 1)[-1]
-    return _re.escape(tail)
+    """Pattern of the root's path in a listed URI; globs match inside one name."""
+    out, braces = "", 0
+    for ch in root.split("://", 1)[-1]:
+        braces += (ch == "{") - (ch == "}")
+        out += {"*": "[^/]*", "?": "[^/]", "[": "[", "]": "]", "{": "(?:", "}": ")"}.get(
+            ch, "|" if ch == "," and braces else re.escape(ch))
+    return out
 
 
 def detect_format(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
@@ -247,12 +253,9 @@ def detect_format(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
         for pdf in batches:
             heads = []
             for p in pdf["path"]:
-                try:
-                    fs, inner = pafs.FileSystem.from_uri(p)
-                    with fs.open_input_stream(inner) as fh:
-                        heads.append(fh.read(4))
-                except Exception:  # noqa: BLE001 - unreadable -> no magic, suffix decides
-                    heads.append(b"")
+                fs, inner = pafs.FileSystem.from_uri(p)
+                with fs.open_input_stream(inner, compression=None) as fh:
+                    heads.append(fh.read(4))
             yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "head": heads})
 
     heads = files.mapInPandas(head_bytes, "path string, length bigint, head binary")

@@ -109,7 +109,7 @@ def ntile_bounds_sql(table: str, key: str, n: int = 200, where: str | None = Non
     w = f" WHERE {where}" if where else ""
     return (f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM "
             f"(SELECT {key}, NTILE({n}) OVER (ORDER BY {key}) AS g FROM {table}{w}) t "
-            f"GROUP BY g")
+            f"GROUP BY g ORDER BY g")
 
 
 def read_jdbc_chunked(spark: SparkSession, url: str, table: str, key: str, n: int = 200,
@@ -122,7 +122,7 @@ def read_jdbc_chunked(spark: SparkSession, url: str, table: str, key: str, n: in
     AND-ed with ``where``.  No rows -> one full read.
     """
     bounds_df = read_jdbc_query(spark, url, ntile_bounds_sql(table, key, n, where), dialect, **props)
-    bounds = [(r[0], r[1]) for r in bounds_df.limit(n).collect()]
+    bounds = [(r[0], r[1]) for r in bounds_df.collect()]
     preds = chunk_predicates(bounds, key, where)
     cols = columns if isinstance(columns, str) else ", ".join(columns)
     props = dict(props)

@@ -65,11 +65,11 @@ def fan_out_stream(stream: DataFrame, sinks: Mapping[str, Callable[[DataFrame, i
                 sink(good, epoch)
             if dirty_path and rules:
                 (marked.filter(F.col(DIRTY_REASON).isNotNull())
-                 .withColumn("_epoch", F.lit(epoch)).write.mode("append").parquet(dirty_path))
+                 .write.mode("overwrite").parquet(f"{dirty_path.rstrip('/')}/_epoch={epoch}"))
             if stats_path:
                 stats = _epoch_stats(marked, batch.columns, bool(rules))
-                (stats.select(F.lit(epoch).alias("epoch"), "*", F.lit(len(sinks)).alias("sinks"))
-                 .write.mode("append").parquet(stats_path))
+                (stats.select("*", F.lit(len(sinks)).alias("sinks"))
+                 .write.mode("overwrite").parquet(f"{stats_path.rstrip('/')}/epoch={epoch}"))
         finally:
             marked.unpersist()
 
@@ -93,11 +93,11 @@ def _epoch_stats(marked: DataFrame, columns: list[str], has_rules: bool) -> Data
 
 
 def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` sink appending each epoch to a Parquet folder,
-    tagged with its epoch (a replayed epoch can be recognised)."""
+    """A ``foreachBatch`` sink writing each epoch to its own ``_epoch=N``
+    folder, so a replayed epoch overwrites itself."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("_epoch", F.lit(epoch)).write.mode("append").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/_epoch={epoch}")
 
     return write
 
