@@ -12,6 +12,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,8 @@ from loadbay.llm import words as W
 from loadbay.llm.common import stash
 from loadbay.llm.tokens import encoder, pre_tokens
 
-BLOCK = 4 << 20
+#: Text bytes per block: the larger, the fewer repeats of a pre-token.
+BLOCK = 24 << 20
 LIMIT = 2048
 
 _PARTS = ("block long, place int, word string, doc_ids array<long>, n_bytes array<long>, "
@@ -35,8 +37,15 @@ _SCHEMA = pa.schema([
     ("times", pa.binary())])
 
 
-def _small(x: np.ndarray) -> np.ndarray:
-    return x.astype(np.uint8 if x.max(initial=0) < 256 else np.uint16 if x.max() < 65536 else np.uint32)
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers below 2**32 as compressed byte planes (mostly small numbers)."""
+    planes = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zlib.compress(planes.tobytes(), 3)
+
+
+def _unpacked(x: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(x), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,14 +60,17 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = np.repeat(np.arange(j - i), np.diff(at))
             pair, times = np.unique(text * max(len(names), 1) + code, return_counts=True)
             n = np.bincount(pair // max(len(names), 1), minlength=j - i)
-            place = _small(pair % max(len(names), 1))
-            times = _small(times)
+            place = pair % max(len(names), 1)
+            # Frequent pre-tokens get small numbers.
+            order = np.argsort(-np.bincount(place, minlength=len(names)), kind="stable")
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            place, names = rank[place], [names[k] for k in order]
             yield pa.RecordBatch.from_pydict({
                 "block": [block], "place": [None], "word": [None],
                 "doc_ids": [batch.column(0).slice(i, j - i).to_pylist()],
                 "n_bytes": [np.diff(off[i: j + 1])], "n_words": [n.astype(np.int32)],
-                "places": [bytes([place.itemsize]) + place.tobytes()],
-                "times": [bytes([times.itemsize]) + times.tobytes()]}, _SCHEMA)
+                "places": [_packed(place)], "times": [_packed(times)]}, _SCHEMA)
             for s in range(0, len(names), 8192):
                 part = pa.array(names[s: s + 8192], pa.string())
                 m = len(part)
@@ -68,18 +80,19 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _piece_counter(path: str):
+    """Rows (block, place, word), sorted by word -> (block, place, pieces); the
+    library sees every distinct word of a batch once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = encoder(path).counted(batch.column(0).to_pylist())[1]
+            coded = batch.column(2).dictionary_encode()
+            n = encoder(path).counted(coded.dictionary.to_pylist())[1]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n.astype(np.int32))], names=["word", "pieces"])
+                [batch.column(0), batch.column(1),
+                 pa.array(n[np.asarray(coded.indices, np.int64)].astype(np.int32))],
+                names=["block", "place", "pieces"])
     return run
 
 
-def _wide(x: bytes) -> np.ndarray:
-    return np.frombuffer(x, {1: np.uint8, 2: np.uint16, 4: np.uint32}[x[0]], offset=1).astype(np.int64)
-
-
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, size, n_words, places, times, counts = (batch.column(c) for c in range(6))
@@ -89,7 +102,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if known is not None:
                 pieces[np.asarray(known.field("place"))] = np.asarray(known.field("pieces"))
             n = np.asarray(n_words[r].values, np.int64)
-            each = np.concatenate([[0], np.cumsum(pieces[_wide(places[r].as_py())] * _wide(times[r].as_py()))])
+            each = np.concatenate([[0], np.cumsum(pieces[_unpacked(places[r].as_py())] * _unpacked(times[r].as_py()))])
             end = np.concatenate([[0], np.cumsum(n)])
             yield pa.RecordBatch.from_arrays(
                 [ids[r].values, size[r].values, pa.array(each[end[1:]] - each[end[:-1]])],
@@ -101,8 +114,10 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     parts = stash(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                   .mapInArrow(_frequencies, _PARTS), "token-parts")
     words = parts.where("word is not null").select("block", "place", "word")
-    pieces = words.select("word").distinct().mapInArrow(_piece_counter(path), "word string, pieces int")
-    counted = (words.join(pieces, "word").groupBy("block")
+    # All blocks' rows of a pre-token meet in one task, one row per block.
+    pieces = words.repartition("word").sortWithinPartitions("word").mapInArrow(
+        _piece_counter(path), "block long, place int, pieces int")
+    counted = (pieces.groupBy("block")
                .agg(F.collect_list(F.struct("place", "pieces")).alias("counts")))
     blocks = parts.where("word is null").join(counted, "block", "left")
     return (blocks.select("doc_ids", "n_bytes", "n_words", "places", "times", "counts")
