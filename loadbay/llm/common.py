@@ -18,7 +18,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back: the lineage
     is cut there, and a lost executor re-reads files instead of redoing work."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
