@@ -8,6 +8,8 @@ a failed task, and the result never depends on the session time zone.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,12 +51,47 @@ def dialect_text(col: Column, data_type: T.DataType, dialect: str) -> Column:
     """P10 for one column of a known type."""
     rules = DATE_TEXT_DIALECTS[dialect.lower()]
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)) and rules["timestamp"]:
-        return F.date_format(col, rules["timestamp"])
+        return format_ntz(col, rules["timestamp"])
     if isinstance(data_type, T.DateType) and rules["date"]:
-        return F.date_format(col.cast("timestamp_ntz"), rules["date"])
+        return format_ntz(col.cast("timestamp_ntz"), rules["date"])
     return col.cast("string")
 
 
+# A pattern's pieces: quoted text, a run of one letter, or other characters.
+_RUNS = re.compile(r"'([^']*)'|([A-Za-z])\2*|[^A-Za-z']+")
+
+
+def format_ntz(col: ColumnOrName, pattern: str) -> Column:
+    """A timestamp printed by ``pattern`` from its own text, so a wall time
+    inside a DST gap prints as it is.  Patterns with letters other than
+    y M d H h m s S a go to Spark's ``date_format``, which uses the session
+    zone."""
+    t = _c(col)
+    text = t.cast("string")  # yyyy-MM-dd HH:mm:ss[.ffffff]
+    if "yyyy-MM-dd HH:mm:ss".startswith(pattern):
+        return F.substring(text, 1, len(pattern))
+    hour = F.substring(text, 12, 2).cast("int")
+    known = {
+        "yyyy": F.substring(text, 1, 4), "yy": F.substring(text, 3, 2), "MM": F.substring(text, 6, 2),
+        "dd": F.substring(text, 9, 2), "HH": F.substring(text, 12, 2), "mm": F.substring(text, 15, 2),
+        "ss": F.substring(text, 18, 2), "MMM": F.monthname(t.cast("date")),
+        "hh": F.lpad(((hour + 11) % 12 + 1).cast("string"), 2, "0"),
+        "a": F.when(hour < 12, "AM").otherwise("PM"),
+    }
+    pieces = []
+    for m in _RUNS.finditer(pattern):
+        run = m[0]
+        if m[2] is None:
+            pieces.append(F.lit(run if m[1] is None else m[1] or "'"))
+        elif run in known:
+            pieces.append(known[run])
+        elif m[2] == "S":
+            pieces.append(F.substring(F.rpad(F.substring(text, 21, 9), len(run), "0"), 1, len(run)))
+        else:
+            return F.date_format(t, pattern)
+    return F.concat(*pieces)
+
+
 # The trial formats of the JDBC loader, in trial order.
 LONG_DATE_FORMATS = ("yyyyMMdd HH:mm:ss", "yyyy-MM-dd HH:mm:ss")
 SHORT_DATE_FORMATS = ("yyyyMMdd", "yyyy-MM-dd", "HH:mm:ss")
@@ -73,12 +110,15 @@ _DEFAULT_PART = (1970, 1, 1, 0, 0, 0)
 
 
 def parse_with(col: ColumnOrName, pattern: str) -> Column:
-    """Text -> TIMESTAMP_NTZ by one pattern; no match or impossible -> NULL."""
+    """Text -> TIMESTAMP_NTZ by one pattern; no match or impossible -> NULL.
+
+    ``RR`` is a two-digit year of 1950 to 2049.  Patterns with letters that
+    are not in ``_PART_SHAPES`` go to Spark's own parser, which uses the
+    session zone."""
     c = _c(col)
     shape = _SHAPES.get(pattern)
     if shape is None:
-        # Any other Spark pattern: parse, then drop the zone again.
-        return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
+        return _parse_parts(c, pattern)
 
     regex, starts = shape
 
@@ -93,6 +133,60 @@ def parse_with(col: ColumnOrName, pattern: str) -> Column:
     return F.when(c.rlike(regex), made)
 
 
+# Pattern run -> shape of its text.
+_PART_SHAPES = {"yyyy": r"\d{4}", "yy": r"\d{2}", "RR": r"\d{2}", "MM": r"\d{2}", "MMM": "[A-Za-z]{3}",
+                "MMMM": "[A-Za-z]{3,9}", "dd": r"\d{2}", "HH": r"\d{2}", "hh": r"\d{2}", "mm": r"[0-5]\d",
+                "ss": r"[0-5]\d", "a": "[AaPp][Mm]"}
+_MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september",
+           "october", "november", "december")
+
+
+def _parse_parts(c: Column, pattern: str) -> Column:
+    """The parts of a pattern's shape, put together without a time zone."""
+    regex, runs = "", []
+    for m in _RUNS.finditer(pattern):
+        run = m[0]
+        if m[2] is None:
+            regex += re.escape(run if m[1] is None else m[1] or "'")
+            continue
+        shape = rf"\d{{1,{len(run)}}}" if m[2] == "S" else _PART_SHAPES.get(run)
+        if shape is None or run in runs:
+            return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
+        regex += f"({shape})"
+        runs.append("S" if m[2] == "S" else run)
+    regex = rf"\A{regex}\z"
+    part = {run: F.regexp_extract(c, regex, k) for k, run in enumerate(runs, 1)}
+
+    def number(run: str) -> Column:
+        return part[run].try_cast("int")
+
+    year, month, hour = F.lit(1970), F.lit(1), F.lit(0)
+    if "yyyy" in part:
+        year = number("yyyy")
+    elif "yy" in part:
+        year = number("yy") + 2000
+    elif "RR" in part:
+        year = number("RR") + F.when(number("RR") < 50, 2000).otherwise(1900)
+    if "MM" in part:
+        month = number("MM")
+    for run, names in (("MMM", [n[:3] for n in _MONTHS]), ("MMMM", list(_MONTHS))):
+        if run in part:
+            month = F.array_position(F.array(*[F.lit(n) for n in names]), F.lower(part[run])).cast("int")
+    if "HH" in part:
+        hour = number("HH")
+    elif "hh" in part:
+        hour = F.when(number("hh").between(1, 12), number("hh") % 12)
+        if "a" in part:
+            hour = hour + F.when(F.lower(part["a"]) == "pm", 12).otherwise(0)
+    second = part.get("ss", F.lit("0"))
+    if "S" in part:
+        second = F.concat(second, F.lit("."), F.substring(F.rpad(part["S"], 6, "0"), 1, 6))
+    made = F.try_make_timestamp_ntz(
+        year, month, number("dd") if "dd" in part else F.lit(1), hour,
+        number("mm") if "mm" in part else F.lit(0), second.try_cast("decimal(8,6)"))
+    return F.when(c.rlike(regex), made)
+
+
 def _canonical(t: Column, formats: tuple[str, ...]) -> Column:
     """The first format whose exact shape ``t`` has, rewritten to the one
     canonical shape ``yyyyMMdd HH:mm:ss`` (the shapes exclude each other, so
@@ -148,7 +242,7 @@ def reformat_date(col: ColumnOrName, src: str, dst: str) -> Column:
     if not src or not dst:
         return F.lit("")
     parsed = parse_with(c, src)
-    out = F.date_format(parsed, dst)
+    out = format_ntz(parsed, dst)
     return F.when(c.isNull() | (c == F.lit("")), F.lit("")).otherwise(F.coalesce(out, F.lit("")))
 
 

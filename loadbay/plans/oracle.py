@@ -387,11 +387,38 @@ ORACLE_SQL["load_buckets_replace"] = ORACLE_SQL["load_replace"]
 ORACLE_SQL["date_masks"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
        strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d %H:%M:%S') AS d,
-       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ts,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.') || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0') AS ts,
        o_orderpriority
 FROM orders
 """
 
+ORACLE_SQL["columns_where"] = """
+SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders
+WHERE o_orderstatus <> 'P' AND o_totalprice > 1000
+"""
+
+ORACLE_SQL["expand_paths_glob"] = """
+SELECT o_orderstatus AS status, 1::INTEGER AS depth, count(*) AS rows FROM orders GROUP BY o_orderstatus
+"""
+
+ORACLE_SQL["numbered_files"] = """
+SELECT o_orderkey AS _c0, o_custkey AS _c1, o_orderstatus AS _c2, o_totalprice AS _c3,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS _c4, o_orderpriority AS _c5, 'orders' AS _file
+FROM orders
+"""
+
+ORACLE_SQL["del_modes"] = """
+SELECT f.folder, f.prefix, count(*) AS rows, CAST(sum(c_custkey) AS BIGINT) AS keys
+FROM customer, (VALUES ('own', 'a'), ('own', 'b'), ('all', 'b')) AS f(folder, prefix)
+GROUP BY f.folder, f.prefix
+"""
+
+ORACLE_SQL["write_modes"] = """
+SELECT f.prefix, f.times * count(*) AS rows, CAST(f.times * sum(c_custkey) AS BIGINT) AS keys
+FROM customer, (VALUES ('truncate', 1), ('append', 2), ('nonConflict', 1)) AS f(prefix, times)
+GROUP BY f.prefix, f.times
+"""
+
 ORACLE_SQL["load_file_round_trip"] = """
 SELECT CAST(doc_id AS VARCHAR) AS _c0,
        replace(replace(text, chr(1), ''), chr(2), '') AS _c1,

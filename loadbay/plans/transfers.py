@@ -145,7 +145,7 @@ def _date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Date texts of many shapes parsed by the trial formats."""
     texts = _date_texts(spark, sf_dir)
-    cols = [F.date_format(dt.parse_dates(F.col(f"t{i}")), "yyyy-MM-dd HH:mm:ss").alias(f"p{i}")
+    cols = [dt.format_ntz(dt.parse_dates(F.col(f"t{i}")), "yyyy-MM-dd HH:mm:ss").alias(f"p{i}")
             for i in range(1, 9)]
     return texts.select("o_orderkey", *cols)
 
@@ -310,12 +310,84 @@ def date_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("o_orderkey"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("d"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"),
+        F.concat(dt.format_ntz("o_orderdate", "yyyy-MM-dd HH:mm:ss."),
+                 F.lpad((F.col("o_orderkey") % 1000).cast("string"), 3, "0")).alias("ts"),
         F.col("o_orderpriority"))
     rows = prepare_rows_with_masks(o, ["number", "date", "timestamp", "varchar"],
                                    "yyyymmdd,yyyy-mm-dd hh24:mi:ss")
-    return rows.select("o_orderkey", F.date_format("d", "yyyy-MM-dd HH:mm:ss").alias("d"),
-                       F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "o_orderpriority")
+    return rows.select("o_orderkey", dt.format_ntz("d", "yyyy-MM-dd HH:mm:ss").alias("d"),
+                       dt.format_ntz("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"), "o_orderpriority")
+
+
+def columns_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listed columns of orders under the user's condition; both
+    reach the scan."""
+    from loadbay.sources.catalog import read_query
+
+    return read_query(spark, tables=f"parquet.`{sf_dir}/orders.parquet`",
+                      columns="o_orderkey, o_totalprice, o_orderpriority",
+                      where="o_orderstatus <> 'P' AND o_totalprice > 1000")
+
+
+def expand_paths_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text in one folder per status; the files a glob root
+    lists are met with the files the rows come from, rows counted per folder
+    and depth."""
+    o = table(spark, sf_dir, "orders")
+    root = scratch(spark, "globbed")
+    o.select(F.to_json(F.struct(*o.columns)).alias("value"), "o_orderstatus") \
+        .write.partitionBy("o_orderstatus").text(root)
+    listed = sources.expand_paths(spark, f"{root}/o_orderstatus=*", max_depth=1).select(
+        F.substring_index("path", "/", -2).alias("file"), "depth")
+    rows = spark.read.text(root).select(F.substring_index(F.col("_metadata.file_path"), "/", -2).alias("file"))
+    per_file = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    return (per_file.join(listed, "file")
+            .groupBy(F.regexp_extract("file", "=([^/]*)/", 1).alias("status"), "depth")
+            .agg(F.sum("n").alias("rows")))
+
+
+def numbered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5/K6: orders written twice (the second write clears the first) as
+    eight numbered files, read back with the prefix of the file names."""
+    o = dt.dates_to_text(table(spark, sf_dir, "orders"), "mysql")
+    folder = scratch(spark, "numbered")
+    for _ in range(2):
+        path = sinks.write_delimited(o, folder, prefix="orders", del_mode=3, file_count=8, number_files=True)
+    rows = sources.read_delimited(spark, path, field_split="\x01", num_fields=6, with_file=True)
+    return _typed_back(rows.withColumn("_file", F.regexp_extract("_file", r"([^/]+)-[0-9]+\.txt$", 1)),
+                       {"_c0": "bigint", "_c1": "bigint", "_c3": "double"})
+
+
+def _rows_per_prefix(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and sum of the first field per prefix (sub-folder) of a folder."""
+    lines = spark.read.text(f"{folder}/*").select("value", F.col("_metadata.file_path").alias("_file"))
+    return (lines.groupBy(F.substring_index(F.substring_index("_file", "/", -2), "/", 1).alias("prefix"))
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.sum(F.substring_index("value", "\x01", 1).cast("bigint")).alias("keys")))
+
+
+def del_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: two prefixes share a folder; mode 3 clears its own prefix only,
+    mode 4 the whole folder."""
+    c = table(spark, sf_dir, "customer")
+    root = scratch(spark, "delmodes")
+    for folder, last in (("own", 3), ("all", 4)):
+        sinks.write_delimited(c, f"{root}/{folder}", prefix="a", del_mode=1)
+        sinks.write_delimited(c, f"{root}/{folder}", prefix="b", del_mode=1)
+        sinks.write_delimited(c, f"{root}/{folder}", prefix="b", del_mode=last)
+    own, all_ = (_rows_per_prefix(spark, f"{root}/{f}").withColumn("folder", F.lit(f)) for f in ("own", "all"))
+    return own.unionByName(all_)
+
+
+def write_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer written twice to each of two prefixes in one folder,
+    truncated in one and appended in the other, and once under nonConflict."""
+    c = table(spark, sf_dir, "customer")
+    folder = scratch(spark, "writemodes")
+    for mode, times in (("truncate", 2), ("append", 2), ("nonConflict", 1)):
+        for _ in range(times):
+            sinks.write_files(c, folder, prefix=mode, file_format="text", field_split="\x01", write_mode=mode)
+    return _rows_per_prefix(spark, folder)
 
 
 def load_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,24 +215,26 @@ def null_escape_columns(df: DataFrame) -> list[Column]:
 
 # Oracle date-mask elements and the Spark pattern letters for
 # them (longest element first when reading a mask).
-ORACLE_MASK_ELEMENTS = [("hh24", "HH"), ("yyyy", "yyyy"), ("mm", "MM"), ("dd", "dd"),
-                        ("hh", "hh"), ("mi", "mm"), ("ss", "ss"), ("ff", "SSSSSSSSS")]
+ORACLE_MASK_ELEMENTS = [("hh24", "HH"), ("hh12", "hh"), ("month", "MMMM"), ("yyyy", "yyyy"),
+                        ("mon", "MMM"), ("mm", "MM"), ("dd", "dd"), ("rr", "RR"), ("yy", "yy"),
+                        ("hh", "hh"), ("mi", "mm"), ("ss", "ss"), ("ff", "SSSSSSSSS"),
+                        ("am", "a"), ("pm", "a")]
 DEFAULT_ORACLE_MASK = "yyyy-mm-dd"
 
+# Text in double quotes, an element, or any one character.
+_MASK_PIECES = re.compile(r'"([^"]*)"|(' + "|".join(e for e, _ in ORACLE_MASK_ELEMENTS) + r")|(.)",
+                          re.I | re.S)
+
 
 def oracle_mask_to_spark(mask: str) -> str:
-    """An Oracle date mask (``yyyy-mm-dd hh24:mi:ss.ff``) as a Spark pattern."""
-    out, i, low = [], 0, mask.lower()
-    while i < len(mask):
-        for elem, spark_letters in ORACLE_MASK_ELEMENTS:
-            if low.startswith(elem, i):
-                out.append(spark_letters)
-                i += len(elem)
-                break
-        else:
-            ch = mask[i]
-            out.append(f"'{ch}'" if ch.isalpha() else ch)
-            i += 1
+    """An Oracle date mask (``yyyy-mm-dd hh24:mi:ss.ff``) as a pattern of
+    ``dates.parse_with``.  An element that is not in the list is an error."""
+    letters = dict(ORACLE_MASK_ELEMENTS)
+    out = []
+    for quoted, element, other in _MASK_PIECES.findall(mask):
+        if other.isalpha():
+            raise ValueError(f"date mask {mask!r}: unknown element at {other!r}")
+        out.append(letters[element.lower()] if element else other or f"'{quoted}'" * bool(quoted))
     return "".join(out)
 
 

@@ -277,27 +277,51 @@ def folder_kind(spark: SparkSession, path: str) -> str:
     """The one kind (R5) of the data files in ``path``; a folder mixing
     kinds is an error.  Only the distinct kinds (at most four values) reach
     the driver."""
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    data = detect_format(spark, path).filter(~name.startswith("_") & ~name.startswith("."))
-    kinds = sorted(r[0] for r in data.select("kind").distinct().collect())
+    kinds = _kinds(spark, path)
     if len(kinds) != 1:
         raise ValueError(f"{path} holds files of kinds {kinds}")
     return kinds[0]
 
 
+def _data_files(spark: SparkSession, path: str) -> DataFrame:
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    return detect_format(spark, path).filter(~name.startswith("_") & ~name.startswith("."))
+
+
+def _kinds(spark: SparkSession, path: str) -> list[str]:
+    return sorted(r[0] for r in _data_files(spark, path).select("kind").distinct().collect())
+
+
 def read_detected(spark: SparkSession, path: str, field_split: str = "\x01",
                   null_string: str | None = "", num_fields: int | None = None) -> DataFrame:
     """R5 driving the read: the folder's files are read with the reader of
     their kind (text, compressed text, SequenceFile with its key, Parquet as
-    text)."""
-    kind = folder_kind(spark, path)
-    if kind == "PARQUET":
-        return read_parquet_as_text(spark, path, null_string=null_string)
-    if kind == "SEQ":
-        return read_sequence(spark, path, field_split=field_split, null_string=null_string,
-                             ignore_key=False, num_fields=num_fields)
-    return read_delimited(spark, path, field_split=field_split, null_string=null_string,
-                          num_fields=num_fields)
+    text).  A folder of several kinds needs ``num_fields``; every file is read
+    by its own kind (the file names of such a folder are listed on the driver,
+    as Spark's own listing is) and the rows are united by position."""
+    def one(kind: str, paths: list[str]) -> DataFrame:
+        if kind == "PARQUET":
+            return read_parquet_as_text(spark, paths, null_string=null_string)
+        if kind == "SEQ":
+            return read_sequence(spark, ",".join(paths), field_split=field_split, null_string=null_string,
+                                 ignore_key=False, num_fields=num_fields)
+        return read_delimited(spark, paths, field_split=field_split, null_string=null_string,
+                              num_fields=num_fields)
+
+    kinds = {"TXT" if k == "COMP_TXT" else k for k in _kinds(spark, path)}
+    if len(kinds) == 1:
+        return one(kinds.pop(), [path])
+    if num_fields is None:
+        raise ValueError(f"{path} holds files of kinds {sorted(kinds)}: num_fields is needed")
+    by_kind: dict[str, list[str]] = {}
+    for file, kind in _data_files(spark, path).collect():
+        by_kind.setdefault("TXT" if kind == "COMP_TXT" else kind, []).append(file)
+    out = None
+    for kind in sorted(by_kind):
+        rows = one(kind, by_kind[kind])
+        rows = rows.toDF(*[f"_c{i}" for i in range(num_fields)])
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 # --------------------------------------------------------------------------

@@ -85,6 +85,49 @@ def test_explicit_schema_keeps_digits(spark, tmp_dir):
     assert row.a == Decimal("12345678901234567.89") and row.b is None
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_dates_do_not_depend_on_the_zone(spark, zone):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from loadbay.functions import dates
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # 02:30 does not exist on this day in New York.
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00.120' t, '2024-03-10 02:30:05' s, "
+                       "'10-MAR-24 02:30:05.5 PM' o, 'March 10' m, '10/13/24' b")
+        mask = kj.oracle_mask_to_spark("dd-mon-rr hh12:mi:ss.ff am")
+        got = df.select(
+            dates.dialect_text(F.col("t"), T.TimestampNTZType(), "mysql"),
+            dates.format_ntz("t", "yyMMdd'T'hh:mm a SSS"),
+            dates.reformat_date("s", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm"),
+            dates.parse_with("o", mask).cast("string"),
+            dates.parse_with("m", "MMMM dd").cast("string"),
+            dates.parse_with("b", "dd/MM/yy").cast("string")).first()
+        assert list(got) == ["2024-03-10 02:30:00", "240310T02:30 AM 120", "2024/03/10 02:30",
+                             "2024-03-10 14:30:05.5", "1970-03-10 00:00:00", None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_unknown_mask_element():
+    with pytest.raises(ValueError):
+        kj.oracle_mask_to_spark("yyyy-q")
+    assert kj.oracle_mask_to_spark('dd" of "month') == "dd' of 'MMMM"
+
+
+def test_mixed_folder(spark, tmp_dir):
+    df = spark.createDataFrame([("a", "b")], "x string, y string")
+    for k, compression in enumerate((None, "gzip")):
+        sk.write_delimited(df, f"{tmp_dir}/m", prefix=f"t{k}", compression=compression)
+    df.write.parquet(f"{tmp_dir}/m/p")
+    sk.write_sequence(df, f"{tmp_dir}/m", prefix="s", key_index=0)
+    rows = src.read_detected(spark, f"{tmp_dir}/m", num_fields=2).collect()
+    assert [tuple(r) for r in rows] == [("a", "b")] * 4
+
+
 def test_names():
     assert names.expand_pattern("x{1..5..2}y{a..b}") == ["x1ya", "x1yb", "x3ya", "x3yb", "x5ya", "x5yb"]
     assert names.expand_pattern("{0x01..0x03}{nothing}") == ["01{nothing}", "02{nothing}", "03{nothing}"]
