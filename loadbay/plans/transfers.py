@@ -340,8 +340,11 @@ def expand_paths_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = sources.expand_paths(spark, f"{root}/o_orderstatus=*", max_depth=1).select(
         F.substring_index("path", "/", -2).alias("file"), "depth")
     rows = spark.read.text(root).select(F.substring_index(F.col("_metadata.file_path"), "/", -2).alias("file"))
-    per_file = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-    return (per_file.join(listed, "file")
+    # One grouping instead of a join: a file that was not listed has no depth.
+    both = listed.withColumn("n", F.lit(0)).unionByName(
+        rows.select("file", F.lit(None).cast("int").alias("depth"), F.lit(1).alias("n")))
+    per_file = both.groupBy("file").agg(F.max("depth").alias("depth"), F.sum("n").alias("n"))
+    return (per_file.where("depth is not null")
             .groupBy(F.regexp_extract("file", "=([^/]*)/", 1).alias("status"), "depth")
             .agg(F.sum("n").alias("rows")))
 
