@@ -165,6 +165,23 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, groups:
     return Model(langs, weights, bias, temperature, threshold)
 
 
+def _trainer(langs: list[str]):
+    """All bags of the sample -> one row with the model, whatever their order."""
+    number = {lang: k for k, lang in enumerate(langs)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = sorted((row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))),
+                     key=lambda r: (r[0], r[2], r[3]))
+        if got:
+            model = train([(np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32)) for r in got],
+                          np.array([number[r[1]] for r in got], np.int64),
+                          np.array([r[0] for r in got], np.int64), langs)
+            yield pa.RecordBatch.from_pydict(
+                {"weights": [model.weights.tobytes()], "bias": [model.bias.tobytes()],
+                 "temperature": [model.temperature], "threshold": [float(model.threshold)]})
+    return run
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE, seed: int = 17) -> Model | None:
     """Train on a bounded sample of (doc_id, text, lang)."""
     sizes = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
@@ -178,12 +195,15 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, seed: int = 17) -> Model | No
     for lang in langs:
         rate = min(1.0, share / sizes[lang])
         keep = keep | ((F.col("lang") == lang) & (place < int(rate * parts)))
-    got = labelled.where(keep).select("doc_id", "text", "lang").mapInArrow(
-        _bags, "doc_id long, lang string, at binary, freq binary").collect()
-    got.sort(key=lambda r: (r[0], r[2], r[3]))
-    number = {lang: k for k, lang in enumerate(langs)}
-    return train([(np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32)) for r in got],
-                 np.array([number[r[1]] for r in got], np.int64), np.array([r[0] for r in got], np.int64), langs)
+    # The bags of the sample (bounded by ``sample`` documents and ``BUCKETS``
+    # entries a bag) meet in one task; the driver gets the model only.
+    got = (labelled.where(keep).select("doc_id", "text", "lang")
+           .mapInArrow(_bags, "doc_id long, lang string, at binary, freq binary").repartition(1)
+           .mapInArrow(_trainer(langs), "weights binary, bias binary, temperature double, threshold double").collect())
+    if not got:
+        return None
+    weights, bias = (np.frombuffer(got[0][c], np.float32) for c in ("weights", "bias"))
+    return Model(langs, weights.reshape(BUCKETS, -1), bias, got[0]["temperature"], got[0]["threshold"])
 
 
 def classify(texts: pa.Array, lettered: np.ndarray, model: Model | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
