@@ -135,7 +135,7 @@ def _dealer(bounds: list[int], first: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0))
-            own = np.searchsorted(edges, ids, "right").astype(np.int64)
+            own = np.searchsorted(edges, ids, "right").astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own), pa.array(np.zeros(len(ids), bool)), batch.column(0), batch.column(1)],
                 names=["range", "after", "id", "text"])
@@ -143,7 +143,7 @@ def _dealer(bounds: list[int], first: int):
             if rows:
                 part = batch.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([heads[i] for i in part.column(0).to_pylist()], pa.int64()),
+                    [pa.array([heads[i] for i in part.column(0).to_pylist()], pa.int32()),
                      pa.array(np.ones(len(rows), bool)), part.column(0), part.column(1)],
                     names=["range", "after", "id", "text"])
     return run
@@ -186,7 +186,7 @@ def next_document_likeness(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next per document.
 
-    The only shuffle deals the texts by ranges of doc_id.  Range bounds are
+    The only shuffle deals the texts by ranges of doc_id, one task a range.  Range bounds are
     doc_ids themselves, so a range's first row is known beforehand and is sent
     to the range before it as well.
     """
@@ -198,8 +198,8 @@ def next_document_likeness(docs: DataFrame) -> DataFrame:
         cut = rows.agg(F.percentile_approx("id", [k / n for k in range(1, n)], 100 * n)).first()[0]
         bounds = [b for b in sorted(set(cut)) if b != known[1]]
     dealt = rows.mapInArrow(_dealer(bounds, known[1] if known[1] is not None else 0),
-                            "range long, after boolean, id long, text string")
-    return (dealt.repartition(len(bounds) + 1, "range")
+                            "range int, after boolean, id long, text string")
+    return (dealt.repartitionById(len(bounds) + 1, "range")
             .sortWithinPartitions("range", "after", "id", F.coalesce("text", F.lit("")))
             .mapInArrow(_in_order, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                                    "edited_fingerprint string, near_edited double, near_next double"))
