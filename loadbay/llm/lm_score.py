@@ -5,12 +5,17 @@ corpus have one each, every other word shares one of ``SHARED`` ids by its hash.
 The network sees the ids of the two words to the left and the two to the
 right of a masked word: it adds one embedding per position, applies tanh, and
 predicts the word's id in two steps (its group, then its place in the group).
+Given a shared id, a word has its share of that id's occurrences, from the full
+table of word counts: log P(word | context) = log P(id | context) + log P(word | id).
 A document's score is the sum of the log-probabilities of all its words.
 
 All documents are counted and all are trained on: every task makes one pass
 of mini-batch gradient descent in numpy over its texts, from the same start,
 and the parameters of all tasks are averaged by words seen (in rounds of
-``FAN_IN``, slice by slice).  The parameters have a fixed size.
+``FAN_IN``, slice by slice).  The parameters have a fixed size; the word table
+grows with the corpus and is never collected: the words with a shared id are
+listed once per ``LOOKUP_BYTES`` of text, joined to their counts, and the shares
+go back to the block.
 
 A null or empty text has no words: score 0.0 and a null mean.  Null and
 repeated doc_ids are kept, row by row.  Extra columns are ignored.
@@ -22,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +45,10 @@ BATCH = 8192
 RATE = 0.5
 SLICES = 32
 FAN_IN = 64
+#: Text bytes whose words are looked up together (or one longer text).
+LOOKUP_BYTES = 16 << 20
+#: Words of a block in one row.
+LISTED = 1 << 14
 
 _SHAPES = {"near": (len(SIDES), IDS + 1, DIMS), "bias": (DIMS,), "group": (DIMS + 1, GROUPS),
            "place": (GROUPS, DIMS + 1, PER_GROUP)}
@@ -152,9 +162,10 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["word", "n"])
 
 
-def vocabulary(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted hashes of the most frequent words, their ids, and the frequency
-    of every id (shared ones included), from all documents."""
+def vocabulary(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, DataFrame]:
+    """Sorted hashes of the most frequent words, their ids, the frequency of
+    every id (shared ones included), and the counts of all words (word, n),
+    from all documents."""
     counts = stash(docs.select("text").mapInArrow(_word_counts, "word long, n long")
                    .groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
@@ -167,14 +178,14 @@ def vocabulary(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for h, n in zip(known.tolist(), frequency[: len(top)].tolist()):
         frequency[FREQUENT + h % SHARED] -= n
     order = np.argsort(known)
-    return known[order], order.astype(np.int64), frequency
+    return known[order], order.astype(np.int64), frequency, counts
 
 
 def _blocks(batch: pa.RecordBatch, column: int, known: np.ndarray, ids: np.ndarray):
     data, off = W.buffers(batch.column(column))
     for i, j in W.blocks(off):
         h, at = W.word_hashes(data[off[i]: off[j]], off[i: j + 1] - off[i])
-        yield i, j, to_ids(h, known, ids), at
+        yield i, j, to_ids(h, known, ids), at, h
 
 
 def _trainer(flat: np.ndarray, known: np.ndarray, ids: np.ndarray):
@@ -182,7 +193,7 @@ def _trainer(flat: np.ndarray, known: np.ndarray, ids: np.ndarray):
         own = flat.copy()
         p, seen = unpack(own), 0
         for batch in batches:
-            for _, _, w, at in _blocks(batch, 0, known, ids):
+            for _, _, w, at, _ in _blocks(batch, 0, known, ids):
                 near = contexts(w, at)
                 for s in range(0, len(w), BATCH):
                     step(p, w[s: s + BATCH], [c[s: s + BATCH] for c in near], RATE / (1 + seen / 2e6))
@@ -216,24 +227,70 @@ def averaged(parts: DataFrame, tasks: int) -> DataFrame:
         parts, tasks = stash(parts, "lm-means"), bins
 
 
+_SCORED = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
+                     ("log_likelihood", pa.float64()), ("places", pa.binary()),
+                     ("first", pa.int32()), ("words", pa.list_(pa.int64()))])
+
+
 def _scorer(flat: np.ndarray, known: np.ndarray, ids: np.ndarray):
+    """Rows of two kinds.  A document: its ids' log-likelihood, and the place of
+    each of its words with a shared id in the list of its block.  A part of
+    that list, from place ``first`` on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = unpack(flat)
+        block = (TaskContext.get().partitionId() << 32) - 1
         for batch in batches:
-            for i, j, w, at in _blocks(batch, 1, known, ids):
-                near = contexts(w, at)
-                each = [step(p, w[s: s + BATCH], [c[s: s + BATCH] for c in near], None)
-                        for s in range(0, len(w), BATCH)]
-                sums = np.concatenate([[0.0], np.cumsum(np.concatenate(each))]) if each else np.zeros(1)
+            _, off = W.buffers(batch.column(1))
+            for i, j in W.blocks(off, LOOKUP_BYTES):
+                block += 1
+                part = batch.slice(i, j - i)
+                counts, scores, rare, ends = [], [], [], []
+                for _, _, w, at, h in _blocks(part, 1, known, ids):
+                    near = contexts(w, at)
+                    each = [step(p, w[s: s + BATCH], [c[s: s + BATCH] for c in near], None)
+                            for s in range(0, len(w), BATCH)]
+                    sums = np.concatenate([[0.0], np.cumsum(np.concatenate(each))]) if each else np.zeros(1)
+                    counts.append(np.diff(at))
+                    scores.append(sums[at[1:]] - sums[at[:-1]])
+                    is_rare = w >= FREQUENT
+                    rare.append(h[is_rare])
+                    ends.append(np.diff(np.concatenate([[0], np.cumsum(is_rare)])[at]))
+                words, places = np.unique(np.concatenate(rare), return_inverse=True)
+                at = np.concatenate([[0], np.cumsum(np.concatenate(ends))])
+                places = places.astype(np.int32)
+                n = j - i
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(np.diff(at)), pa.array(sums[at[1:]] - sums[at[:-1]])],
-                    names=["doc_id", "n_words", "log_likelihood"])
+                    [pa.array(np.full(n, block, np.int64)), part.column(0), pa.array(np.concatenate(counts)),
+                     pa.array(np.concatenate(scores)),
+                     pa.array([places[at[r]: at[r + 1]].tobytes() for r in range(n)], pa.binary()),
+                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.int64()))], schema=_SCORED)
+                cut = np.arange(0, len(words), LISTED, dtype=np.int32)
+                n = len(cut)
+                if n:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, block, np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+                         pa.nulls(n, pa.float64()), pa.nulls(n, pa.binary()), pa.array(cut),
+                         pa.ListArray.from_arrays(np.append(cut, np.int32(len(words))),
+                                                  pa.array(words.view(np.int64)))], schema=_SCORED)
     return run
 
 
-def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Parameters, sorted word hashes and their ids, from all documents."""
-    known, ids, frequency = vocabulary(docs)
+def _with_shares(scored: pa.Table, shares: pa.Table) -> pa.Table:
+    """One block: every document's score with its words' shares of their ids."""
+    place = np.asarray(shares.column("place"))
+    share = np.full(place.max() + 1 if len(place) else 0, np.nan)
+    share[place] = np.asarray(shares.column("share"))
+    places = scored.column("places").to_pylist()
+    # A word without a count would leave a NaN in the score.
+    more = [share[np.frombuffer(b, np.int32)].sum() if b else 0.0 for b in places]
+    return pa.table({"doc_id": scored.column("doc_id"), "n_words": scored.column("n_words"),
+                     "log_likelihood": pa.array(np.asarray(scored.column("log_likelihood")) + more)})
+
+
+def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, DataFrame]:
+    """Parameters, sorted word hashes and their ids, the frequency of every id
+    and the counts of all words, from all documents."""
+    known, ids, frequency, counts = vocabulary(docs)
     flat = start(frequency)
     parts = stash(docs.select("text").mapInArrow(
         _trainer(flat, known, ids), "slice int, weight double, part binary"), "lm-parts")
@@ -241,13 +298,24 @@ def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if tasks:
         means = averaged(parts, tasks).orderBy("slice").collect()
         flat = np.concatenate([np.frombuffer(r["part"], np.float32) for r in means])
-    return flat, known, ids
+    return flat, known, ids, frequency, counts
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, log_likelihood (summed), mean_log_likelihood per document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    flat, known, ids = fit(docs)
-    return (docs.mapInArrow(_scorer(flat, known, ids), "doc_id long, n_words long, log_likelihood double")
+    flat, known, ids, frequency, counts = fit(docs)
+    scored = stash(docs.mapInArrow(
+        _scorer(flat, known, ids), "block long, doc_id long, n_words long, log_likelihood double, "
+                                   "places binary, first int, words array<long>"), "lm-scored")
+    totals = F.array(*[F.lit(float(n)) for n in frequency[FREQUENT:]])
+    shares = (scored.where("words is not null").select("block", "first", F.posexplode("words").alias("pos", "word"))
+              .select(F.col("block").alias("of"), (F.col("first") + F.col("pos")).alias("place"), "word")
+              .join(counts, "word")
+              .select("of", "place", F.log(F.col("n") / F.get(
+                  totals, F.pmod(F.col("word"), F.lit(SHARED)).cast("int"))).alias("share")))
+    rows = scored.where("places is not null").select("block", "doc_id", "n_words", "log_likelihood", "places")
+    return (rows.groupBy("block").cogroup(shares.groupBy("of"))
+            .applyInArrow(_with_shares, "doc_id long, n_words long, log_likelihood double")
             .withColumn("mean_log_likelihood",
                         F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))))

@@ -256,6 +256,21 @@ def test_pseudo_likelihood(docs):
     assert all(r.mean_log_likelihood < 0 for r in got.values() if r.n_words)
 
 
+def test_pseudo_likelihood_tells_rare_words_apart(spark, monkeypatch):
+    # Few bytes per block, so that one word is looked up by several blocks.
+    monkeypatch.setattr(lm_score, "LOOKUP_BYTES", 4096)
+    fill = " ".join(f"f{i} " * 12 for i in range(lm_score.FREQUENT))
+    hashed = lambda t: lm_score.W.word_hashes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0][0]
+    place = lambda t: int(hashed(t) % np.uint64(lm_score.SHARED))
+    often = "often"
+    once = next(f"r{i}" for i in range(100_000) if place(f"r{i}") == place(often))
+    rows = [(0, fill)] + [(None, often)] * 9 + [(1, once)]
+    got = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    one = {r.doc_id: r.log_likelihood for r in got}
+    assert len(got) == len(rows) and abs(one[None] - one[1] - np.log(9)) < 1e-5
+    assert one[1] < np.log(0.1 + 1e-6)
+
+
 def test_quotes(spark):
     rows = [(1, 0, "user", "Where is the key?\nUnder the mat I think."), (1, 1, "assistant", "Which mat?"),
             (1, 2, "user", "On Monday you wrote:\n> under  the MAT i think.\nNot there."),
