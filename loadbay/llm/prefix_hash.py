@@ -5,7 +5,10 @@ polynomial modulo two primes.  Differences of two entries give the hash of any
 span, so span equality takes constant time, and the longest common prefix or
 suffix of two texts is found by binary search.  The fingerprint is the length
 and the hash of the whole; the likeness of two fingerprints is the share of
-the longer text that their common prefix and suffix cover.
+the longer text that their common spans cover: prefix, suffix, and between
+edits the spans found anew from anchors, in the same order in both texts.  Any
+common span of ``WIDTH + STEP - 1`` code points holds an anchor; shorter ones
+count where they touch a prefix, a suffix or an anchor.
 
 ``next_document_likeness`` compares every document with an edited copy of
 itself and with the next document in order of doc_id.  A null text is empty;
@@ -15,6 +18,7 @@ with the same doc_id are ordered by their text.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -28,6 +32,9 @@ BASES = (131071, 1048583)
 #: Text bytes per range of doc_ids, for the next-document pass.
 RANGE_BYTES = 16 << 20
 LAST_ID = (1 << 63) - 1
+#: Code points of an anchor, and from one anchor to the next.
+WIDTH = 12
+STEP = 4
 
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -75,9 +82,11 @@ class PrefixHash:
                 return False
         return True
 
-    def common(self, i: int, other: PrefixHash, k: int) -> int:
+    def common(self, i: int, other: PrefixHash, k: int, most: int | None = None) -> int:
         """Longest common extension to the right from i here and k there."""
         low, high = 0, min(self.n - i, other.n - k)
+        if most is not None:
+            high = min(high, most)
         while low < high:
             mid = (low + high + 1) // 2
             if self.equal(i, other, k, mid):
@@ -86,17 +95,29 @@ class PrefixHash:
                 high = mid - 1
         return low
 
-    def common_end(self, other: PrefixHash) -> int:
-        """Longest common suffix."""
-        low, high = 0, min(self.n, other.n)
+    def common_end(self, other: PrefixHash, i: int | None = None, k: int | None = None,
+                   most: int | None = None) -> int:
+        """Longest common extension to the left from i here and k there (the ends)."""
+        i, k = self.n if i is None else i, other.n if k is None else k
+        low, high = 0, min(i, k) if most is None else min(i, k, most)
         while low < high:
             mid = (low + high + 1) // 2
-            if self.equal(self.n - mid, other, other.n - mid, mid):
+            if self.equal(i - mid, other, k - mid, mid):
                 low = mid
             else:
                 high = mid - 1
         return low
 
+    def windows(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the ``WIDTH`` code points at each offset, all shifted to
+        base**length, so that they compare between texts."""
+        keys = []
+        for w in (0, 1):
+            prime = np.uint64(PRIMES[w])
+            span = (self.sums[w][at + WIDTH] + prime - self.sums[w][at]) % prime
+            keys.append(span * powers(w, length + 1)[length - at] % prime)
+        return keys[0] << np.uint64(31) | keys[1]
+
     def fingerprint(self) -> str:
         return f"{self.n:x}-{int(self.sums[0][-1]):08x}{int(self.sums[1][-1]):08x}"
 
@@ -112,13 +133,86 @@ class PrefixHash:
         return PrefixHash(np.concatenate([self.points[:keep], other.points[:take]]), sums)
 
 
+def _rising(values: list[int]) -> list[int]:
+    """Places of a longest strictly rising subsequence."""
+    ends, tops, before = [], [], []
+    for r, v in enumerate(values):
+        at = bisect.bisect_left(tops, v)
+        before.append(ends[at - 1] if at else -1)
+        if at == len(ends):
+            ends.append(r)
+            tops.append(v)
+        else:
+            ends[at], tops[at] = r, v
+    out, r = [], ends[-1] if ends else -1
+    while r >= 0:
+        out.append(r)
+        r = before[r]
+    return out[::-1]
+
+
+def anchors(a: PrefixHash, i0: int, i1: int, b: PrefixHash, k0: int, k1: int) -> list[tuple[int, int]]:
+    """Offsets in a and b of equal windows between these bounds, rising in both.
+
+    b is read every ``STEP`` code points and a everywhere.  Windows that a has
+    once go first; if there are none, each one of b takes the nearest of a."""
+    length = max(a.n, b.n)
+    here, there = np.arange(i0, i1 - WIDTH + 1), np.arange(k0, k1 - WIDTH + 1, STEP)
+    keys = a.windows(here, length)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    asked = b.windows(there, length)
+    low, high = np.searchsorted(keys, asked, "left"), np.searchsorted(keys, asked, "right")
+    once = np.flatnonzero(high - low == 1)
+    if len(once):
+        i, k = here[order[low[once]]], there[once]
+    else:
+        some = np.flatnonzero(high > low)
+        if not len(some):
+            return []
+        # Offsets rise within a key, so (key, offset) is sorted.
+        k, low, high = there[some], low[some], high[some]
+        start = np.concatenate([[True], keys[1:] != keys[:-1]])
+        number = np.cumsum(start) - 1
+        sorted_ = number * len(here) + order
+        goal = number[low] * len(here) + np.minimum(k - k0, len(here) - 1)
+        right = np.clip(np.searchsorted(sorted_, goal), low, high - 1)
+        left = np.maximum(right - 1, low)
+        near = np.where(np.abs(sorted_[left] - goal) <= np.abs(sorted_[right] - goal), left, right)
+        i = here[order[near]]
+    if (np.diff(i) <= 0).any():
+        rising = _rising(i.tolist())
+        i, k = i[rising], k[rising]
+    # The next window on the same diagonal is covered by the extension of the one before.
+    first = np.concatenate([[True], (np.diff(k) != STEP) | (np.diff(i) != STEP)])
+    return list(zip(i[first].tolist(), k[first].tolist()))
+
+
+def matched(a: PrefixHash, b: PrefixHash) -> int:
+    """Code points of the common spans of both texts, in order."""
+    total, boxes = 0, [(0, a.n, 0, b.n)]
+    while boxes:
+        i0, i1, k0, k1 = boxes.pop()
+        head = a.common(i0, b, k0, min(i1 - i0, k1 - k0))
+        i0, k0 = i0 + head, k0 + head
+        tail = a.common_end(b, i1, k1, min(i1 - i0, k1 - k0))
+        i1, k1 = i1 - tail, k1 - tail
+        total += head + tail
+        if min(i1 - i0, k1 - k0) >= WIDTH:
+            found = anchors(a, i0, i1, b, k0, k1)
+            if found:
+                # A box ends where the next anchor begins: its common suffix is that
+                # anchor's extension to the left, the next one's prefix that to the right.
+                edges = [(i0, k0), *found, (i1, k1)]
+                boxes += [(x[0], y[0], x[1], y[1]) for x, y in zip(edges, edges[1:])]
+    return total
+
+
 def likeness(a: PrefixHash, b: PrefixHash) -> float:
-    """Share of the longer text covered by common prefix and suffix, 0 to 1."""
+    """Share of the longer text covered by common spans, 0 to 1."""
     if a.n == b.n == 0:
         return 1.0
-    head = a.common(0, b, 0)
-    tail = min(a.common_end(b), min(a.n, b.n) - head)
-    return (head + tail) / max(a.n, b.n)
+    return matched(a, b) / max(a.n, b.n)
 
 
 def _hashed(text: str | None) -> PrefixHash:

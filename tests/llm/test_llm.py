@@ -198,6 +198,44 @@ def test_prefix_hash_query(docs, monkeypatch):
         assert prints.setdefault(_texts()[r.doc_id], r.fingerprint) == r.fingerprint
 
 
+def test_likeness_of_scattered_edits():
+    rng = np.random.default_rng(3)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(3, 9))) for _ in range(4000)]
+    text, other = words[:600], words[2000:2600]
+    like = lambda x, y: prefix_hash.likeness(*(prefix_hash._hashed(" ".join(t)) for t in (x, y)))
+    ends = ["changed", *text[1:-1], "changed"]
+    some = [w if i % 30 else f"new{i}" for i, w in enumerate(text)]
+    many = [w if i % 6 else "" for i, w in enumerate(text)]
+    longer = text[:200] + other[:50] + text[200:400] + other[50:60] + text[420:]
+    for copy, least in ((ends, 0.97), (some, 0.94), (many, 0.8), (longer, 0.85)):
+        assert least < like(text, copy) < 1 and least < like(copy, text) < 1
+    kept = sum(len(w) + 1 for i, w in enumerate(text) if i % 6)
+    assert like(text, many) >= (kept - 1) / len(" ".join(text)) - 0.01
+    assert like(text, other) < 0.05
+    # Repeated lines have no window of their own.
+    lines = (" ".join(text[:8]) + "\n") * 60
+    edited = "".join("Z" + c[1:] if i % 100 == 50 else c for i, c in enumerate(lines.splitlines(True) * 2))
+    assert prefix_hash.likeness(*(prefix_hash._hashed(t) for t in (lines * 2, "x" + edited + "y"))) > 0.97
+
+
+@given(st.text("ab", max_size=80), st.text("ab", max_size=80))
+@settings(max_examples=100, deadline=None)
+def test_matched_spans_are_common(a, b):
+    got = prefix_hash.matched(*(prefix_hash._hashed(t) for t in (a, b)))
+    row = [0] * (len(b) + 1)  # longest common subsequence: no set of common spans is longer
+    for x in a:
+        row = _lcs_row(row, x, b)
+    ends = prefix_hash._hashed(a).common(0, prefix_hash._hashed(b), 0)
+    assert ends <= got <= row[-1]
+
+
+def _lcs_row(row, x, b):
+    out = [0]
+    for k, y in enumerate(b):
+        out.append(row[k] + 1 if x == y else max(out[k], row[k + 1]))
+    return out
+
+
 def test_mixing(docs):
     size = Counter()
     for i, t, _, s in _rows():
