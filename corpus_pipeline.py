@@ -5,21 +5,35 @@ it as Parquet below the shared checkpoint folder and reads it back for the
 next one.  All stages but the last return the columns of ``documents``.  Null
 texts and texts without a letter have no language and go in the first stage;
 an empty table stays empty through all stages; extra columns are carried along
-until packing.
+until packing.  The dedup stages decide row by row: rows without a doc_id and
+rows that share one are documents of their own, null doc_ids last in the order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loadbay.llm import exact_dedup, langid, minmax_dedup, mixing, packing
 from loadbay.llm.common import stash
 from loadbay.llm.queries import tokenizer_path
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with these doc_ids, equal rows once."""
-    return docs.join(ids, "doc_id", "left_semi").dropDuplicates()
+ROW = "_row_of_stage"
+
+
+def _first_rows(docs: DataFrame, groups: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of ``docs`` that ``groups`` keeps, each decided on its own.
+
+    Every row has a key that rises with its doc_id (null last; rows that share
+    a doc_id by their hash), and takes the doc_id's place in the groups.  The keyed rows
+    are written once, so the groups and the rows have the same keys."""
+    rows = stash(docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64(*docs.columns))
+                 .withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    kept = groups(rows.select(F.col(ROW).alias("doc_id"), "text")).where("kept")
+    return rows.join(kept.select(F.col("doc_id").alias(ROW)), ROW, "left_semi").drop(ROW)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +46,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document (by doc_id) of every group of equal texts."""
-    return _only(docs, exact_dedup.exact_groups(docs).where("kept").select("doc_id"))
+    return _first_rows(docs, exact_dedup.exact_groups)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document (by doc_id) of every near-duplicate group: sets of
     five-word shingles with a similarity of 0.8 or more."""
-    return _only(docs, minmax_dedup.near_groups(docs, k=5, percent=80).where("kept").select("doc_id"))
+    return _first_rows(docs, lambda rows: minmax_dedup.near_groups(rows, k=5, percent=80))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -358,3 +358,21 @@ def test_pipeline(docs, tmp_dir, spark):
         whole[r.doc_id] += r.length
     ids = _ids()
     assert whole == {i: n * (len(ids[i]) + 1) for i, n in stage["mixing"].items()}
+
+
+def test_pipeline_decides_row_by_row(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(60)]
+    base, near = " ".join(words), " ".join([*words[:-1], "end"])
+    alone = {x: f"{x} one two three four five six seven" for x in "abcdef"}
+    rows = [(5, base), (None, alone["a"]), (None, alone["b"]), (None, alone["a"].replace(" one", "  one")), (None, near), (7, near),
+            (7, alone["c"]), (3, alone["d"]), (3, alone["e"]), (3, alone["d"]), (9, alone["e"]), (9, alone["f"]), (9, base)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(3)
+    at = corpus_pipeline.exact(spark, docs, "")
+    got = Counter((r.doc_id, " ".join(r.text.split())) for r in at.collect())
+    left = {(5, base), (None, alone["a"]), (None, alone["b"]), (7, near), (7, alone["c"]),
+            (3, alone["d"]), (3, alone["e"]), (9, alone["f"])}
+    assert at.columns == docs.columns and got == Counter(left)
+    got = Counter((r.doc_id, " ".join(r.text.split())) for r in corpus_pipeline.near(spark, at, "").collect())
+    assert got == Counter(left - {(7, near)})
