@@ -358,3 +358,18 @@ def test_read_detected_picks_reader_and_refuses_mixed_folders(spark, tmp_dir):
     sk.write_delimited(df, f"{tmp_dir}/mixed", prefix="txt")
     with pytest.raises(ValueError):
         src.read_detected(spark, f"{tmp_dir}/mixed")
+
+
+def test_numbered_files_follow_the_input(spark, tmp_dir, monkeypatch):
+    from loadbay.plans import transfers
+    from loadbay.sinks import files
+
+    made, write = [], files.write_delimited
+    monkeypatch.setattr(transfers.sinks, "write_delimited", lambda *a, **k: made.append(write(*a, **k)) or made[-1])
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    monkeypatch.setattr(transfers, "table", lambda spark, sf_dir, name: orders.repartition(11))
+    assert transfers.numbered_files(spark, tmp_dir).count() == orders.count()
+    count = lambda path: spark.read.text(path).select("_metadata.file_path").distinct().count()
+    assert count(made[-1]) == 11
+    path = write(orders, f"{tmp_dir}/three", prefix="o", file_count=3, number_files=True)
+    assert count(path) == 3 and spark.read.text(path).count() == orders.count()
