@@ -8,7 +8,7 @@ are aliased exactly like the DuckDB oracle in ``loadbay.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadbay.functions import dates as dt
@@ -349,16 +349,25 @@ def expand_paths_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.sum("n").alias("rows")))
 
 
+def _file_prefix(path: str) -> Column:
+    """The prefix of a numbered file's path: ``prefix-0.txt`` where the folder
+    has several, ``prefix.txt`` where it has one (the folder is named alike)."""
+    folder = F.element_at(F.split(path, "/"), -2)
+    name = F.element_at(F.split(path, "/"), -1)
+    rest = F.substring(name, F.length(folder) + 1, F.length(name))
+    return F.when(F.startswith(name, folder) & rest.rlike(r"^(-[0-9]+)?\.txt$"), folder).otherwise(F.lit(""))
+
+
 def numbered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5/K6: orders written twice (the second write clears the first) as
-    numbered files, as many as Spark writes by itself, read back with the
-    prefix of the file names."""
+    numbered files, as many as Spark writes by itself (``orders.txt`` where it
+    is one), read back with the prefix of the file names."""
     o = dt.dates_to_text(table(spark, sf_dir, "orders"), "mysql")
     folder = scratch(spark, "numbered")
     for _ in range(2):
         path = sinks.write_delimited(o, folder, prefix="orders", del_mode=3, number_files=True)
     rows = sources.read_delimited(spark, path, field_split="\x01", num_fields=6, with_file=True)
-    return _typed_back(rows.withColumn("_file", F.regexp_extract("_file", r"([^/]+)-[0-9]+\.txt$", 1)),
+    return _typed_back(rows.withColumn("_file", _file_prefix("_file")),
                        {"_c0": "bigint", "_c1": "bigint", "_c3": "double"})
 
 

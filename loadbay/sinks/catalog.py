@@ -17,6 +17,9 @@ HIVE_STORAGE = {"TXT": "TEXTFILE", "SEQ": "SEQUENCEFILE", "PARQUET": "PARQUET"}
 # Without a Hive catalog: the data source that stores the same files.
 SPARK_STORAGE = {"TXT": "csv", "PARQUET": "parquet"}
 
+# Property of a text table without a Hive catalog: what separates its fields.
+FIELD_SPLIT = "loadbay.field_split"
+
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -75,6 +78,12 @@ def load_hive(df: DataFrame, table: str, partition: Mapping[str, str] | None = N
     catalog the table is ``STORED AS`` TEXTFILE / SEQUENCEFILE / PARQUET;
     otherwise it is a Spark data source table over the same kind of files
     (``\\001``-separated text or Parquet).  ``post`` runs only after success.
+
+    In text files only the separator and line ends are replaced; blanks,
+    quotes and backslashes stay.  NULL is written as ``\\N``, so a field that
+    is this text reads as NULL, as in any Hive text table.  ``read_hive_location``
+    gives empty text back as empty text; Spark's own reader of such a table
+    shows it as NULL.
     """
     spark = df.sparkSession
     partition = dict(partition or {})
@@ -94,9 +103,12 @@ def load_hive(df: DataFrame, table: str, partition: Mapping[str, str] | None = N
         all_cols = ", ".join([f"{_ident(c)} STRING" for c in cols] +
                              [f"{_ident(p)} STRING" for p in partition])
         part = f" PARTITIONED BY ({', '.join(_ident(p) for p in partition)})" if partition else ""
-        opts = (f" OPTIONS (sep '{_sql_char(field_split)}', quote '', escape '', nullValue '\\\\N')"
-                if ft == "TXT" else "")
-        ddl = f"CREATE TABLE IF NOT EXISTS {table} ({all_cols}) USING {SPARK_STORAGE[ft]}{opts}{part}{loc}"
+        opts = props = ""
+        if ft == "TXT":
+            opts = (f" OPTIONS (sep '{_sql_char(field_split)}', quote '', escape '', nullValue '\\\\N', emptyValue '', "
+                    "ignoreLeadingWhiteSpace 'false', ignoreTrailingWhiteSpace 'false')")
+            props = f" TBLPROPERTIES ('{FIELD_SPLIT}' = '{_sql_char(field_split)}')"
+        ddl = f"CREATE TABLE IF NOT EXISTS {table} ({all_cols}) USING {SPARK_STORAGE[ft]}{opts}{part}{loc}{props}"
     spark.sql(ddl)
     # A static partition insert: the partition values are part of the
     # statement, so no dynamic-partition mode is needed in either catalog.

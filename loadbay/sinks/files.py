@@ -268,13 +268,18 @@ def write_files(df: DataFrame, path: str, prefix: str | None = None, file_format
                 header: Sequence[str] | None = None, field_split: str = "\t",
                 write_mode: str = "truncate", null_char: str = "", encoding: str = "utf-8",
                 skip_empty_rows: bool = True, must_contain: str | None = None,
-                compression: str | None = None) -> str:
+                compression: str | None = None, trim: bool = False, empty_text: str = '""') -> str:
     """CSV (quoted) or plain text files on any Hadoop URI.
 
     ``header`` is the user's list of names written as the first line of every
     non-empty part file.  Rows whose fields are all NULL are skipped.
     ``write_mode``: truncate / append / nonConflict.  ``must_contain`` is an
     optional guard on the target path.
+
+    CSV keeps the blanks around a field unless ``trim``, and writes an empty
+    text as ``empty_text`` (quoted, so that it differs from a NULL written as
+    ``null_char``; pass ``""`` to write nothing).  Spark's CSV reader tells the
+    two apart when its ``nullValue`` is not empty.
     """
     if must_contain and must_contain not in path:
         raise ValueError(f"target path must contain {must_contain!r}")
@@ -295,8 +300,8 @@ def write_files(df: DataFrame, path: str, prefix: str | None = None, file_format
         out = out.select([F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(out.columns, names)])
         w = (out.write.mode(mode).option("header", "true" if header else "false")
              .option("sep", field_split).option("quote", '"').option("escape", '"')
-             .option("nullValue", null_char)
-             .option("emptyValue", "")
+             .option("nullValue", null_char).option("emptyValue", empty_text)
+             .option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
              .option("encoding", encoding))
         if compression:
             w = w.option("compression", compression)
