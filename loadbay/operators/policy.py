@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadbay.sinks.swap import swap_in
@@ -29,7 +29,8 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _all_not_null(keys: list[str]) -> Column:
+def all_not_null(keys: Sequence[str]) -> Column:
+    """Whether a key conflicts at all: none of its columns is NULL."""
     cond = None
     for k in keys:
         term = F.col(k).isNotNull()
@@ -67,7 +68,7 @@ def load_with_key_policy(target: DataFrame, incoming: DataFrame, key: str | Sequ
     keys = _keys(key)
     cols = target.columns
     incoming = incoming.select(cols)
-    has_key = _all_not_null(keys)
+    has_key = all_not_null(keys)
     null_key_rows = incoming.filter(~has_key)
     picked = pick_per_key(incoming.filter(has_key), keys, order_col, last=(policy == "replace"))
     if policy == "ignore":
@@ -79,11 +80,12 @@ def load_with_key_policy(target: DataFrame, incoming: DataFrame, key: str | Sequ
 
 def load_into_files(incoming: DataFrame, target_path: str, key: str | Sequence[str],
                     policy: str = "ignore", order_col: str | None = None,
-                    fmt: str = "parquet") -> str:
+                    fmt: str = "parquet", epoch: int | None = None) -> str:
     """K9 on a file table: the new version of the table is written to a
     fresh folder next to it and then swapped in by renames, so the job never
     overwrites the files it is reading and readers never see half a load.
-    A missing target is created from the incoming rows under the policy."""
+    A missing target is created from the incoming rows under the policy.
+    ``epoch`` is noted in the new version (``applied_epoch``)."""
     import uuid
 
     spark = incoming.sparkSession
@@ -99,10 +101,37 @@ def load_into_files(incoming: DataFrame, target_path: str, key: str | Sequence[s
     tag = uuid.uuid4().hex[:12]
     fresh = f"{target_path.rstrip('/')}._new_{tag}"
     result.write.format(fmt).mode("errorifexists").save(fresh)
+    if epoch is not None:
+        note_epoch(spark, fresh, epoch)
     swap_in(spark, fresh, target_path)
     return target_path
 
 
+#: Beside the data files: the last streaming epoch that a table holds.
+EPOCH_NOTE = "_applied_epoch"
+
+
+def note_epoch(spark: SparkSession, path: str, epoch: int) -> None:
+    note = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, EPOCH_NOTE)  # noqa: SLF001
+    fs = note.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    out = fs.create(note, True)
+    out.writeBytes(f"{epoch}\n")
+    out.close()
+
+
+def applied_epoch(spark: SparkSession, path: str) -> int | None:
+    """The last epoch noted in a file table, or None."""
+    note = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, EPOCH_NOTE)  # noqa: SLF001
+    fs = note.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    if not fs.exists(note):
+        return None
+    held = fs.open(note)
+    try:
+        return int(held.readLine())
+    finally:
+        held.close()
+
+
 BUCKET_COL = "_bucket"
 BUCKET_COUNT = "_bucket_count"
 
@@ -124,7 +153,7 @@ def _same_buckets(fs, marker, buckets: int) -> None:
 def key_bucket(keys: Sequence[str], buckets: int) -> Column:
     """Bucket of a row: hash of its key columns; NULL keys (never matched,
     always inserted) get the extra bucket ``buckets``."""
-    return F.when(_all_not_null(list(keys)),
+    return F.when(all_not_null(keys),
                   F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
                   ).otherwise(F.lit(buckets)).cast("int")
 

@@ -19,7 +19,8 @@ _TRANSFERS = ["flagship_totals", "delimited_round_trip", "compressed_round_trip"
               "expand_paths_glob", "numbered_files", "del_modes", "write_modes"]
 _LOADS = ["key_range_chunks", "partition_ranges", "extent_span", "clip_ranges",
           "key_range_scan", "rows_to_cells", "cells_to_rows", "load_ignore", "load_replace",
-          "load_files_replace", "load_buckets_replace", "split_dirty", "check_limit", "checked_load", "transfer_stats",
+          "load_files_replace", "load_buckets_replace", "load_versions_replace", "load_ignore_two_keys",
+          "load_replace_two_keys", "region_scan", "catalog_load_documents", "split_dirty", "check_limit", "checked_load", "transfer_stats",
           "reconcile", "exchange_report", "catalog_load", "line_stream", "detect_format",
           "row_lengths"]
 

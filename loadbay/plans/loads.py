@@ -133,6 +133,68 @@ def load_buckets_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop(pol.BUCKET_COL)
 
 
+def load_versions_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 on a versioned file table: customer rows are its first version, the
+    event batch is loaded under REPLACE as one epoch, and the epoch is replayed;
+    the newest version is read."""
+    from loadbay.operators.versions import load_version
+    from loadbay.sinks.manifest import read_version
+
+    target, incoming = _target_incoming(spark, sf_dir)
+    root = scratch(spark, "versions")
+    load_version(target, root, "id", "ignore", "seq")
+    for _ in range(2):
+        load_version(incoming, root, "id", "replace", "seq", epoch=1, writer="events")
+    return read_version(spark, root)
+
+
+def _two_key_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers with two unique keys (id and code), and events that meet them
+    and each other under either one; some keys are NULL."""
+    target = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("code"), F.col("c_mktsegment").alias("v"),
+        F.lit(0).cast("bigint").alias("seq"))
+    number = F.pmod(F.col("event_id") * 7 + F.col("user_id"), F.lit(2000)).cast("string")
+    incoming = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("user_id") * 13).cast("bigint").alias("id"),
+        F.when(F.col("value") < 5, F.lit(None)).otherwise(
+            F.concat(F.lit("Customer#"), F.lpad(number, 9, "0"))).alias("code"),
+        F.col("event_type").alias("v"), F.col("event_id").alias("seq"))
+    return target, incoming
+
+
+def load_ignore_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 IGNORE with two unique keys: a row is added unless a row that is there
+    shares either key."""
+    from loadbay.operators.unique_keys import load_with_unique_keys
+
+    target, incoming = _two_key_tables(spark, sf_dir)
+    return load_with_unique_keys(target, incoming, [["id"], ["code"]], "ignore", "seq")
+
+
+def load_replace_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 REPLACE with two unique keys: a row pushes out every row that shares
+    either key."""
+    from loadbay.operators.unique_keys import load_with_unique_keys
+
+    target, incoming = _two_key_tables(spark, sf_dir)
+    return load_with_unique_keys(target, incoming, [["id"], ["code"]], "replace", "seq")
+
+
+def region_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event cells loaded into region files in two loads, the
+    second beside the first, compacted to the newest version of each cell, and
+    scanned over a range of row keys."""
+    from loadbay.operators import regions
+
+    cells = _event_cells(spark, sf_dir)
+    root = scratch(spark, "regions")
+    regions.write_regions(cells.where("ts % 2 = 0"), root, del_mode=1)
+    regions.write_regions(cells.where("ts % 2 = 1"), root, del_mode=0)
+    regions.compact_regions(spark, root)
+    return regions.region_scan(spark, root, "12", "5")
+
+
 def _event_rules():
     k = F.regexp_extract(F.col("props"), r"(\d+)", 1).try_cast("int")
     return {"k_high": k > 90, "low_value": F.col("value") < 2.0}
@@ -221,6 +283,19 @@ def catalog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_hive_location(spark, "", name, partition={"ds": "20240101"})
 
 
+def catalog_load_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents loaded into an all-text catalog table and read
+    back: only the separator and line ends of a text are replaced."""
+    import uuid
+
+    from loadbay.sinks.catalog import load_hive
+    from loadbay.sources.catalog import read_hive_location
+
+    name = f"loadbay_k7d_{uuid.uuid4().hex[:10]}"
+    load_hive(table(spark, sf_dir, "documents"), name, file_type="TXT", location=scratch(spark, "catalogdocs"))
+    return read_hive_location(spark, "", name)
+
+
 def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R17 + streaming fan-out: document lines arriving as text files are
     read as a stream, split, and written to two sinks per micro-batch."""

@@ -274,6 +274,47 @@ UNION ALL
 SELECT id, v, seq FROM i WHERE id IS NULL
 """
 
+ORACLE_SQL["load_versions_replace"] = ORACLE_SQL["load_replace"]
+
+_TWO_KEYS = """
+WITH t AS (SELECT c_custkey AS id, c_name AS code, c_mktsegment AS v, CAST(0 AS BIGINT) AS seq FROM customer),
+i AS (SELECT CAST(CASE WHEN event_type = 'error' THEN NULL ELSE user_id * 13 END AS BIGINT) AS id,
+             CASE WHEN value < 5 THEN NULL
+                  ELSE 'Customer#' || lpad(CAST((event_id * 7 + user_id) % 2000 AS VARCHAR), 9, '0') END AS code,
+             event_type AS v, event_id AS seq FROM events)
+"""
+
+ORACLE_SQL["load_ignore_two_keys"] = _TWO_KEYS.replace("WITH t", "WITH RECURSIVE t") + """
+, open_rows AS (
+    SELECT id, code, v, seq, false AS taken FROM i
+    WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.id = i.id) AND NOT EXISTS (SELECT 1 FROM t WHERE t.code = i.code)
+    UNION ALL
+    SELECT id, code, v, seq, first AS taken
+    FROM (SELECT *, bool_or(first) OVER (PARTITION BY id) AS id_gone, bool_or(first) OVER (PARTITION BY code) AS code_gone
+          FROM (SELECT *, (id IS NULL OR seq = min(seq) OVER (PARTITION BY id))
+                      AND (code IS NULL OR seq = min(seq) OVER (PARTITION BY code)) AS first
+                FROM open_rows WHERE NOT taken))
+    WHERE first OR NOT ((id IS NOT NULL AND id_gone) OR (code IS NOT NULL AND code_gone)))
+SELECT id, code, v, seq FROM t
+UNION ALL
+SELECT id, code, v, seq FROM open_rows WHERE taken
+"""
+
+ORACLE_SQL["load_replace_two_keys"] = _TWO_KEYS + """
+SELECT id, code, v, seq FROM t
+WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.id = t.id) AND NOT EXISTS (SELECT 1 FROM i WHERE i.code = t.code)
+UNION ALL
+SELECT id, code, v, seq FROM i
+WHERE NOT EXISTS (SELECT 1 FROM i AS j WHERE j.id = i.id AND j.seq > i.seq)
+  AND NOT EXISTS (SELECT 1 FROM i AS j WHERE j.code = i.code AND j.seq > i.seq)
+"""
+
+ORACLE_SQL["region_scan"] = """
+SELECT CAST(user_id AS VARCHAR) AS rowkey, 'ev' AS family, event_type AS qualifier, max(event_id) AS ts,
+       arg_max(props, event_id) AS value
+FROM events WHERE CAST(user_id AS VARCHAR) >= '12' AND CAST(user_id AS VARCHAR) < '5' GROUP BY 1, 2, 3
+"""
+
 _REASON = """
 CASE WHEN TRY_CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER) > 90 THEN 'k_high'
      WHEN value < 2.0 THEN 'low_value' END
@@ -327,6 +368,13 @@ ORACLE_SQL["catalog_load"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment, '20240101' AS ds FROM customer
 """
 
+_KEPT = "regexp_replace({}, '[' || chr(1) || chr(10) || chr(13) || ']', ' ', 'g')"
+
+ORACLE_SQL["catalog_load_documents"] = f"""
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, {_KEPT.format("text")} AS text, lang, source,
+       CAST(n_chars AS VARCHAR) AS n_chars FROM documents
+"""
+
 ORACLE_SQL["line_stream"] = """
 SELECT nullif(unnest(string_split(text, chr(10))), '') AS _c0 FROM documents
 """

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -42,6 +42,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/loadbay-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame once to the shared scratch folder and read it back: its
+    lineage ends there, and a lost executor reads files again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "loadbay") -> SparkSession:
     """Session used by tests and the bench (UI off, AQE on, UTC)."""

@@ -108,14 +108,38 @@ def key_policy_sink(path: str, key: str | list[str], policy: str = "replace",
     """A ``foreachBatch`` sink that loads each micro-batch into a file table
     under IGNORE / REPLACE (K9), one swapped-in version per epoch.  With
     ``buckets`` the table is key-bucketed and an epoch rewrites only the
-    buckets its rows touch."""
-    from loadbay.operators.policy import load_into_bucketed_files, load_into_files
+    buckets its rows touch.
+
+    The table notes the last epoch it has applied, and a replayed one is not
+    applied again.  The note of a plain table moves in with its version; that
+    of a bucketed one is written after the load, so a failure just between
+    the two replays the epoch (NULL keys twice).  ``version_sink`` has no such
+    gap."""
+    from loadbay.operators.policy import applied_epoch, load_into_bucketed_files, load_into_files, note_epoch
 
     def load(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        last = applied_epoch(spark, path)
+        if last is not None and epoch <= last:
+            return
         if buckets:
             load_into_bucketed_files(batch, path, key, policy, order_col, buckets)
+            note_epoch(spark, path, epoch)
         else:
-            load_into_files(batch, path, key, policy, order_col)
+            load_into_files(batch, path, key, policy, order_col, epoch=epoch)
+
+    return load
+
+
+def version_sink(root: str, key: str | list[str], policy: str = "replace", order_col: str | None = None,
+                 writer: str = "stream") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink that loads each micro-batch into a versioned file
+    table (``operators.versions``): rows and epoch are published at once, and an
+    epoch rewrites only files that hold one of its keys."""
+    from loadbay.operators.versions import load_version
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        load_version(batch, root, key, policy, order_col, epoch=epoch, writer=writer)
 
     return load
 
