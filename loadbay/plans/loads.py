@@ -21,6 +21,26 @@ def key_range_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rg.key_range_chunks(table(spark, sf_dir, "orders"), "o_orderkey", 200)
 
 
+def key_range_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ranges from histograms refined at the wanted ranks, without
+    sorting the keys."""
+    from loadbay.operators.bounds import key_range_select as select
+
+    return select(table(spark, sf_dir, "orders"), "o_orderkey", 200)
+
+
+def extent_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem in small row groups, packed into 8 chunks from the
+    footers alone and read back chunk by chunk; all rows."""
+    from loadbay.operators import extents as ex
+
+    path = scratch(spark, "extents")
+    table(spark, sf_dir, "lineitem").write.option("parquet.block.size", 64 * 1024).option(
+        "parquet.page.size.row.check.min", 100).parquet(path)
+    chunks = ex.extent_chunks(ex.file_extents(spark, path), 8)
+    return ex.read_extents(spark, chunks, path, 8).drop("chunk")
+
+
 def partition_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R13 per-partition mode: key range of orders per order status."""
     return rg.partition_ranges(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderkey")

@@ -200,6 +200,10 @@ FROM (SELECT o_orderkey, ntile(200) OVER (ORDER BY o_orderkey) AS g FROM orders)
 GROUP BY g
 """
 
+ORACLE_SQL["key_range_select"] = ORACLE_SQL["key_range_chunks"]
+
+ORACLE_SQL["extent_chunks"] = "SELECT * FROM lineitem"
+
 ORACLE_SQL["extent_span"] = """
 SELECT l_suppkey, min(block) AS first_block,
        max(block) + arg_max(l_linenumber, block) - 1 AS last_block,
