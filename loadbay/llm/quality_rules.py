@@ -5,9 +5,10 @@ text; a text with too few words or mostly repeated three-word windows fails.
 
 The verdict on the others compares two multinomials over hashed n-grams (single
 tokens and pairs; a token is a run of ASCII letters, digits and non-ASCII
-characters, or a run of other visible ASCII characters; A-Z lower-cased; an
-n-gram's bucket is its CRC-32 modulo ``buckets``): trusted texts against all
-documents.  A bucket's gain is the logarithm of the ratio of its shares in
+characters, or a run of other visible ASCII characters, as it stands, so that
+shouting and symbols are features; a token's bucket is its CRC-32 modulo
+``buckets``, a pair's 31 times the first CRC plus the second): trusted texts
+against all documents.  A bucket's gain is the logarithm of the ratio of its shares in
 thousandths, rounded down, so a document's sum is an exact integer, whatever
 the order.  The sum divided by the number of n-grams is compared with a fixed
 threshold, for every document alike.
@@ -31,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadbay.llm.common import WHITE, WORD
+from loadbay.llm.common import WORD
 
 #: Labelled documents that the trusted multinomial is learned from, at most.
 TRUSTED = 20_000
@@ -42,15 +43,15 @@ LEAST_WORDS = 50
 #: Highest kept share of words in repeated windows, per cent.
 MOST_REPEATED = 50
 SYMBOLS = "#*$%&|<>"
-TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
+_BLANKS = "".join(map(chr, (0x20, *range(9, 14))))
 
 
-def _windows(words: Column) -> Column:
-    """Hashes of the three-word windows of a text, in order."""
-    return F.transform(
-        F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
-        lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+def _windows() -> Column:
+    """Hashes of the three-word windows of a text, in order; a word is hashed once."""
+    h = F.col("_hashes")
+    return F.transform(F.slice(h, 1, F.greatest(F.size(h) - 2, F.lit(0))),
+                       lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2)))
 
 
 def _covered() -> Column:
@@ -68,11 +69,10 @@ def _covered() -> Column:
 def base_rules(docs: DataFrame, least_words: int = LEAST_WORDS, most_repeated: int = MOST_REPEATED) -> DataFrame:
     """doc_id, text, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed per document."""
-    text = F.col("text")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    rows = (rows.withColumn("_words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
-            .withColumn("_lines", lines).withColumn("_windows", _windows(F.col("_words"))))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    lines = F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(_BLANKS)) != "")
+    rows = (rows.withColumn("_words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).withColumn("_lines", lines).withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+            .withColumn("_windows", _windows()))
     # Most texts repeat no window: only the others are sorted.
     repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
     rows = rows.withColumn("_sorted", F.when(repeats, F.sort_array(F.transform(
@@ -81,8 +81,8 @@ def base_rules(docs: DataFrame, least_words: int = LEAST_WORDS, most_repeated: i
     n_repeat = F.when(F.col("_sorted").isNull(), F.lit(0).cast("long")).otherwise(_covered())
     return rows.select(
         "doc_id", "text", n_words.alias("n_words"),
-        F.length(F.regexp_replace(text, WHITE, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.regexp_count("text", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         n_repeat.alias("n_repeat_words")).withColumn(
         "base_failed", (F.col("n_words") < least_words)
@@ -91,13 +91,13 @@ def base_rules(docs: DataFrame, least_words: int = LEAST_WORDS, most_repeated: i
 
 def with_buckets(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Adds ``_buckets``: the bucket of every n-gram of the text (null: none)."""
-    lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), _UPPER, _LOWER)
-    out = rows.withColumn("_tokens", F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0)))
-    tokens = F.col("_tokens")
-    bucket = lambda c: (F.crc32(c) % buckets).cast("int")
-    pairs = F.transform(F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))),
-                        lambda t, i: bucket(F.concat_ws(" ", F.get(tokens, i), t)))
-    return out.withColumn("_buckets", F.concat(F.transform(tokens, bucket), pairs)).drop("_tokens")
+    tokens = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TOKEN), F.lit(0))
+    out = rows.withColumn("_crcs", F.transform(tokens, lambda w: F.crc32(w)))
+    crcs = F.col("_crcs")
+    pairs = F.transform(F.slice(crcs, 2, F.greatest(F.size(crcs) - 1, F.lit(0))),
+                        lambda c, i: ((F.get(crcs, i) * 31 + c) % buckets).cast("int"))
+    single = F.transform(crcs, lambda c: (c % buckets).cast("int"))
+    return out.withColumn("_buckets", F.concat(single, pairs)).drop("_crcs")
 
 
 def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:

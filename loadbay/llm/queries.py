@@ -168,19 +168,19 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= able * 10 // 100 TH
     "op13_quality_rules": rf"""
 WITH base AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row FROM documents),
 cut AS (SELECT row, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
-    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '{quality_rules.TOKEN}') AS tokens FROM base),
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM base),
 spans AS (SELECT row, unnest(range(1, len(words) - 1)) AS i,
     unnest([words[k:k + 2] for k in range(1, len(words) - 1)]) AS span FROM cut WHERE len(words) > 2),
 twice AS (SELECT row, i, count(*) OVER (PARTITION BY row, span) AS times FROM spans),
 covered AS (SELECT row, count(DISTINCT p)::BIGINT AS n_repeat_words FROM (
     SELECT row, unnest([i, i + 1, i + 2]) AS p FROM twice WHERE times > 1) GROUP BY row),
-each AS (SELECT row, unnest(list_concat(tokens, [tokens[k] || ' ' || tokens[k + 1] for k in range(1, len(tokens))])) AS term
-    FROM cut),
+each AS (SELECT row, unnest(tokens) AS term, unnest(range(len(tokens))) AS i
+    FROM (SELECT row, regexp_extract_all(text, '{quality_rules.TOKEN}') AS tokens FROM base)),
 terms AS (SELECT DISTINCT term FROM each),
 {_CRCS},
-placed AS (SELECT row, crc % {quality_rules.BUCKETS} AS bucket FROM each JOIN crcs USING (term)),
+hashed AS (SELECT row, crc, lead(crc) OVER (PARTITION BY row ORDER BY i) AS after FROM each JOIN crcs USING (term)),
+placed AS (SELECT row, crc % {quality_rules.BUCKETS} AS bucket FROM hashed
+    UNION ALL SELECT row, (crc * 31 + after) % {quality_rules.BUCKETS} FROM hashed WHERE after IS NOT NULL),
 trusted AS (SELECT doc_id FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL)
     ORDER BY sha256(doc_id::VARCHAR) LIMIT {quality_rules.TRUSTED}),
 counts AS (SELECT bucket, count(*) AS s, count(*) FILTER (doc_id IN (SELECT doc_id FROM trusted)) AS t

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from loadbay.llm import fill_middle, importance, quality_rules
 
-SCHEMA = ("doc_id long, text string, n int, form string, h1 int, _words string, _at int, _buckets int, rank int, "
+SCHEMA = ("doc_id long, text string, n int, form string, h1 int, _words string, _at int, _buckets int, _crcs string, rank int, "
           "n_words int, _trusted int, weight string")
 EN = "the quick brown fox jumps over the lazy dog while seven wise men watch from the old stone bridge at noon"
 
@@ -33,7 +33,7 @@ def _rows():
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame([(*r, *[None] * 10) for r in _rows()], SCHEMA).repartition(3).cache()
+    return spark.createDataFrame([(*r, *[None] * 11) for r in _rows()], SCHEMA).repartition(3).cache()
 
 
 @pytest.fixture(scope="module")
@@ -162,10 +162,8 @@ def _base(text):
 
 
 def _grams(text):
-    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    tokens = re.findall(quality_rules.TOKEN, low)
-    return [zlib.crc32(x.encode()) % quality_rules.BUCKETS
-            for x in tokens + [f"{a} {b}" for a, b in zip(tokens, tokens[1:])]]
+    crcs = [zlib.crc32(w.encode()) for w in re.findall(quality_rules.TOKEN, text or "")]
+    return [x % quality_rules.BUCKETS for x in crcs + [31 * a + b for a, b in zip(crcs, crcs[1:])]]
 
 
 def test_quality_rules(docs, labels):
