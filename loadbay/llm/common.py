@@ -1,5 +1,5 @@
 """Shared pieces: lineage cuts in the shared folder, group attributes without
-hot tasks, ranks inside groups without hot tasks, connected components."""
+broadcasts, ranks inside groups without hot tasks, connected components."""
 
 from __future__ import annotations
 
@@ -23,54 +23,61 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 
 
 def attach_group(rows: DataFrame, keys: Sequence[str], aggs: dict[str, tuple[str, str | Column]],
-                 spread: Column, salts: int = 64) -> DataFrame:
+                 hot: str | None = None) -> DataFrame:
     """Give every row the aggregates of its group, however large the group.
 
     ``aggs`` maps an output name to (function, column) with function in min,
-    max, sum.  Groups are first reduced per (group, salt), then per group; the
-    totals go back to the at most ``salts`` parts of each group, and rows meet
-    them on (group, salt).  So no task holds more than one part of a group.
+    max, sum.  Groups are reduced with partial sums per task, so each is one
+    row; rows meet it in a sort-merge join, which streams them past that one
+    row.  Never a broadcast: nothing of the size of the data passes through
+    the driver.  Where groups may hold a large share of all rows, ``hot`` names
+    a table the totals are written to: adaptive execution splits a hot group's
+    rows only if both sides of the join come straight from a shuffle.
     """
     fn = {"min": F.min, "max": F.max, "sum": F.sum}
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    part = salted.groupBy(*keys, "_salt").agg(
-        *[fn[f](c).alias(f"_p_{o}") for o, (f, c) in aggs.items()])
-    whole = part.groupBy(*keys).agg(
-        *[fn[f](f"_p_{o}").alias(o) for o, (f, _) in aggs.items()])
-    back = part.select(*keys, "_salt").join(whole, list(keys))
-    return salted.join(back, [*keys, "_salt"]).drop("_salt")
+    whole = rows.groupBy(*keys).agg(*[fn[f](c).alias(o) for o, (f, c) in aggs.items()])
+    if hot:
+        whole = stash(whole, hot)
+    return rows.join(whole.hint("merge"), list(keys))
 
 
-def running_total(rows: DataFrame, group: Sequence[str], order: Sequence[str],
-                  value: Column, out: str) -> DataFrame:
-    """Sum of ``value`` over the rows before each row of its group, by ``order``.
+def running_totals(rows: DataFrame, group: Sequence[str], order: Sequence[str],
+                   values: dict[str, Column]) -> DataFrame:
+    """Sums of ``values`` (integers, by output name) over the rows before each
+    row of its group, by ``order``.
 
     The rows are dealt by range over (group, order), so a group of any size
     is spread over many tasks.  Each (task, group) has one sum; running sums
     of those (one row per task and group) give every task its offset.  The
     dealt rows are written once, so both uses see the same dealing.
     """
+    given = [f"_v_{o}" for o in values]
     dealt = stash(
-        rows.withColumn("_value", value.cast("long"))
+        rows.select("*", *[c.cast("long").alias(v) for v, c in zip(given, values.values())])
         .repartitionByRange(*[F.col(c) for c in (*group, *order)])
         .withColumn("_task", F.spark_partition_id()), "dealt")
-    sums = dealt.groupBy("_task", *group).agg(F.sum("_value").alias("_n"))
+    sums = dealt.groupBy("_task", *group).agg(*[F.sum(v).alias(f"_n{v}") for v in given])
     before = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         F.col("_task").alias("_t"), *[F.col(g).alias(f"_g_{g}") for g in group],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        *[F.coalesce(F.sum(f"_n{v}").over(before), F.lit(0)).alias(f"_b{v}") for v in given])
     inside = (Window.partitionBy("_task", *group).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1))
-    placed = dealt.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+    placed = dealt.select("*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_i{v}") for v in given])
     on = F.col("_task") == F.col("_t")
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return (placed.join(offsets, on)
-            .withColumn(out, F.col("_before") + F.col("_inside"))
-            .drop("_task", "_t", "_before", "_inside", "_value", *[f"_g_{g}" for g in group]))
+    return placed.join(offsets, on).select(
+        *rows.columns, *[(F.col(f"_b{v}") + F.col(f"_i{v}")).alias(o) for o, v in zip(values, given)])
+
+
+def running_total(rows: DataFrame, group: Sequence[str], order: Sequence[str],
+                  value: Column, out: str) -> DataFrame:
+    """One ``running_totals`` column."""
+    return running_totals(rows, group, order, {out: value})
 
 
-def components(links: DataFrame, salts: int = 64) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """Connected components of undirected links (a, b): rows (node, component)
     with component the smallest node reachable.  Nodes without links are not
     listed.
@@ -78,11 +85,11 @@ def components(links: DataFrame, salts: int = 64) -> DataFrame:
     Alternates two star steps (each node's larger neighbours, then its
     smaller ones, are hung on its smallest neighbour) until the links no
     longer change; rounds grow with the logarithm of the longest chain.  A
-    node's minimum is reduced per (node, salt) first, so a hub with very many
-    links does not land in one task.
+    node with very many links has them reduced to their smallest per task
+    first (``attach_group``).
     """
     def smallest(pairs: DataFrame) -> DataFrame:
-        return attach_group(pairs, ["u"], {"m": ("min", "v")}, F.col("v"), salts)
+        return attach_group(pairs, ["u"], {"m": ("min", "v")})
 
     edges = stash(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                   .where("u <> v").distinct(), "edges")
@@ -90,15 +97,12 @@ def components(links: DataFrame, salts: int = 64) -> DataFrame:
     while True:
         both = edges.union(edges.select("v", "u"))
         # Large star: every larger neighbour v of u is hung on min(u, its neighbours).
-        large = (smallest(both).withColumn("m", F.least("m", "u"))
-                 .where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+        large = (smallest(both).where("v > u")
+                 .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
         # Small star: u and its smaller neighbours are hung on the smallest.
         down = smallest(large)
-        new = stash(
-            down.select("u", F.col("m").alias("v"))
-            .union(down.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-            .distinct(), "edges")
+        hung = F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        new = stash(down.select(F.explode(hung).alias("e")).select("e.u", "e.v").where("u <> v").distinct(), "edges")
         state = new.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31)))).first()
         edges = new
         if state == seen:  # the same links as in the round before

@@ -10,7 +10,10 @@ fingerprint collision) is classed by its SHA-256 instead.
 
 A null text counts as empty.  Null doc_ids sort last: they are the keeper only
 of a group without any doc_id, and keep_id is then null.  Repeated rows are
-separate rows of their group.  Extra columns are ignored.
+separate rows of their group; of rows that share the smallest doc_id (or have
+none) exactly one is kept.  A very long text is hashed and compared chunk by
+chunk.  Extra columns are ignored, whatever their names; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadbay.llm import words as W
-from loadbay.llm.common import attach_group, stash
+from loadbay.llm.common import WHITE, attach_group, stash
 
 CHUNK = 1 << 16
 PRIMES = (2147483647, 2147483629)
@@ -124,37 +127,42 @@ def _chunk_batch(batch: pa.RecordBatch, rows: list, nos: list, parts: list) -> p
 def exact_groups(docs: DataFrame, primes: tuple[int, int] = PRIMES) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), "text")
+    # Rows are numbered as they are written: the number tells rows of one id apart.
     printed = stash(texts.mapInArrow(
-        _prints(primes), "id long, text_sha256 string, n_bytes long, f long").withColumn("one", F.lit(1)),
-        "exact-prints")
+        _prints(primes), "id long, text_sha256 string, n_bytes long, f long")
+        .select("*", F.monotonically_increasing_id().alias("row"), F.lit(1).alias("one")), "exact-prints")
     group = ["n_bytes", "f"]
-    alike = stash(attach_group(printed, group, {"first": ("min", "id"), "alike": ("sum", "one")}, F.col("id")),
-                  "exact-alike")
+    found = {"first": ("min", F.struct("id", "row")), "alike": ("sum", "one")}
+    alike = stash(attach_group(printed, group, found, "exact-groups"), "exact-alike")
 
     # Copies are dealt into parts; each part gets its own copy of the keeper's chunks.
     parts = F.ceil(F.col("alike") / F.lit(COMPARE)).cast("int")
-    is_first = F.col("id") == F.col("first")
+    is_first = F.col("row") == F.col("first.row")
     to_compare = alike.where("alike > 1").select(
-        "id", *group, "first", is_first.alias("is_first"),
+        "id", *group, F.col("first.id").alias("first"), is_first.alias("is_first"),
         F.explode(F.when(is_first, F.sequence(F.lit(0), parts - 1))
                   .otherwise(F.array(F.pmod(F.xxhash64("id"), parts).cast("int")))).alias("part"),
         "text_sha256").distinct()
+    # A text is found by its id and its SHA-256, so rows that share an id (or
+    # have none) do not meet each other's texts.
+    clean = F.regexp_replace(F.coalesce("text", F.lit("")), WHITE, " ")
+    asked = texts.select("id", F.sha2(clean, 256).alias("text_sha256"), "text")
     streamed = stash(
-        to_compare.join(texts, "id")
+        to_compare.hint("merge").join(asked, ["id", "text_sha256"])
         .select("id", *group, "first", "is_first", "part", "text_sha256", "text")
         .mapInArrow(_chunks, "id long, n_bytes long, f long, first long, is_first boolean, part int, "
                              "text_sha256 string, chunk_no int, chunk binary"), "exact-chunks")
     keys = ["first", *group, "part", "chunk_no"]
     keeper = streamed.where("is_first").select(*keys, F.col("chunk").alias("kept_chunk")).dropDuplicates(keys)
-    odd = stash(streamed.where("not is_first").join(keeper, keys, "left")
+    odd = stash(streamed.where("not is_first").join(keeper.hint("merge"), keys, "left")
                 .where(~F.col("chunk").eqNullSafe(F.col("kept_chunk")))
                 .select("id", "text_sha256").distinct(), "exact-odd")
-    whole = alike.withColumnsRenamed({"first": "keep", "alike": "group_size"})
+    whole = alike
     if not odd.isEmpty():  # fingerprints collided: those rows are classed by their SHA-256
-        classed = printed.join(odd.withColumn("odd", F.col("text_sha256")), ["id", "text_sha256"], "left")
+        classed = printed.join(odd.withColumn("odd", F.col("text_sha256")).hint("merge"), ["id", "text_sha256"], "left")
         classed = classed.withColumn("odd", F.coalesce("odd", F.lit("")))
-        whole = attach_group(classed, [*group, "odd"],
-                             {"keep": ("min", "id"), "group_size": ("sum", "one")}, F.col("id"))
+        whole = attach_group(classed, [*group, "odd"], found, "exact-groups")
     back = lambda c: F.nullif(F.col(c), F.lit(LAST_ID))
-    return whole.select(back("id").alias("doc_id"), back("keep").alias("keep_id"), "group_size",
-                        (F.col("id") == F.col("keep")).alias("kept"), "text_sha256")
+    return whole.select(back("id").alias("doc_id"), back("first.id").alias("keep_id"),
+                        F.col("alike").alias("group_size"), (F.col("row") == F.col("first.row")).alias("kept"),
+                        "text_sha256")

@@ -14,7 +14,8 @@ Groups of any size never meet in one task and are never expanded into pairs:
 * buckets that still hold several components afterwards are searched again:
   those of at most ``SMALL_BUCKET`` nodes pair by pair; in larger ones the
   nodes outside the largest component are compared with the others block by
-  block, and only links leave a block.
+  block, signatures first and full sets where those allow a link, and a block
+  returns one link for every two components it joins, never all links.
 
 Null or empty texts have an empty set and link with nothing.  Rows with a
 null doc_id are returned with their set size and link with nothing.  Rows that
@@ -37,8 +38,10 @@ PERMUTATIONS = 32
 BAND_ROWS = 3
 #: A bucket of so many nodes may be expanded into pairs of different components.
 SMALL_BUCKET = 16
-#: Nodes of a larger bucket that are compared at a time.
-BLOCK = 1024
+#: Nodes of a larger bucket that are compared at a time, and the shingles that
+#: they may have together (or one larger set).
+BLOCK = 512
+MASS = 1 << 21
 
 
 def _signer(k: int, perms: int, rows: int):
@@ -131,15 +134,15 @@ def _alike(least: int):
 
 def _promising(pairs: DataFrame, nodes: DataFrame, percent: int, perms: int) -> DataFrame:
     """The pairs (a, b) whose signatures allow a link."""
-    shorts = [nodes.select(F.col("doc_id").alias(x), F.col("short").alias(f"s{x}")) for x in "ab"]
-    return (pairs.join(shorts[1], "b").join(shorts[0], "a").select("a", "b", "sa", "sb")
-            .mapInArrow(_alike(_least(perms, percent)), "a long, b long")).distinct()
+    a, b = (nodes.select(F.col("doc_id").alias(x), F.col("short").alias(f"s{x}")).hint("merge") for x in "ab")
+    return (pairs.join(b, "b").join(a, "a").select("a", "b", "sa", "sb")
+            .mapInArrow(_alike(_least(perms, percent)), "a long, b long"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
-    one, two = (sets.select(F.col("node").alias(x), F.col("hashes").alias(f"h{x}")) for x in "ab")
-    both = pairs.join(two, "b").join(one, "a")
+    a, b = (sets.select(F.col("node").alias(x), F.col("hashes").alias(f"h{x}")).hint("merge") for x in "ab")
+    both = pairs.join(b, "b").join(a, "a")
     inter = F.size(F.array_intersect("ha", "hb"))
     union = F.size("ha") + F.size("hb") - inter
     return both.where(inter * 100 >= union * percent).select("a", "b")
@@ -157,17 +160,18 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, perms: int = PER
 
     # Documents with equal sets are one node, named by the smallest doc_id.
     members = stash(attach_group(
-        usable.select("doc_id", "f1", "f2"), ["f1", "f2"], {"node": ("min", "doc_id")},
-        F.col("doc_id")).select("doc_id", "node").distinct(), "minmax-members")
-    named = members.where("doc_id = node").select("doc_id")
-    nodes = stash(usable.join(named, "doc_id", "left_semi"), "minmax-nodes")
+        usable.select("doc_id", "f1", "f2"), ["f1", "f2"], {"node": ("min", "doc_id")}, "minmax-equal")
+        .select("doc_id", "node").distinct(), "minmax-members")
+    named = members.where("doc_id = node").select("doc_id").hint("merge")
+    nodes = stash(usable.join(named, "doc_id", "left_semi").select("doc_id", "bands", "short", "n_shingles"),
+                  "minmax-nodes")
 
-    keyed = nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
+    keyed = nodes.select(F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("key"))
     buckets = stash(
         attach_group(keyed.withColumn("one", F.lit(1)), ["key"],
-                     {"low": ("min", "node"), "high": ("max", "node"), "size": ("sum", "one")}, F.col("node"))
-        .where("low <> high").drop("one"), "minmax-buckets")
-    sets = stash(docs.join(buckets.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+                     {"low": ("min", "node"), "high": ("max", "node"), "size": ("sum", "one"), "mass": ("sum", "n_shingles")},
+                     "minmax-bucket-sizes").where("low <> high").drop("one", "n_shingles"), "minmax-buckets")
+    sets = stash(docs.join(buckets.select(F.col("node").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
                  .select("doc_id", "text").mapInArrow(_set_maker(k), "node long, hashes array<long>"),
                  "minmax-sets")
 
@@ -178,46 +182,49 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, perms: int = PER
     found = components(links)
 
     # Buckets whose nodes do not yet form one component.
-    placed = (buckets.select("key", "node", "size").join(found, "node", "left")
+    placed = (buckets.select("key", "node", "size", "mass").join(found.hint("merge"), "node", "left")
               .withColumn("component", F.coalesce("component", "node")))
     open_ = stash(attach_group(placed, ["key"], {"c0": ("min", "component"), "c1": ("max", "component")},
-                               F.col("node")).where("c0 <> c1"), "minmax-open")
+                               "minmax-bucket-parts").where("c0 <> c1"), "minmax-open")
     small = open_.where(F.col("size") <= SMALL_BUCKET).select("key", "node", "component")
     pairs = (small.withColumnsRenamed({"node": "a", "component": "ca"})
-             .join(small.withColumnsRenamed({"node": "b", "component": "cb"}), "key")
+             .join(small.withColumnsRenamed({"node": "b", "component": "cb"}).hint("merge"), "key")
              .where("ca < cb").select("a", "b").distinct())
-    large = open_.where(F.col("size") > SMALL_BUCKET).select("key", "node", "component", "size")
-    more = stash(_confirmed(_promising(pairs, nodes, percent, perms), sets, percent).union(
-        _across(large, nodes, sets, _least(perms, percent), percent)), "minmax-links")
-    found = components(links.union(more))
-
-    placed = members.join(found, "node", "left").select(
+    large = open_.where(F.col("size") > SMALL_BUCKET).select("key", "node", "component", "size", "mass")
+    more = _confirmed(_promising(pairs, nodes, percent, perms), sets, percent)
+    if not large.isEmpty():
+        more = more.union(_across(large, nodes, sets, _least(perms, percent), percent))
+    more = stash(more, "minmax-links")
+    if not more.isEmpty():  # the components found so far are stars already
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+
+    placed = members.join(found.hint("merge"), "node", "left").select(
         "doc_id", F.coalesce("component", "node").alias("component_id"))
     # Rows of one doc_id with several sets: its smallest component.
     placed = placed.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    return (signed.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
+    return (signed.select("doc_id", "n_shingles").join(placed.hint("merge"), "doc_id", "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def _across(large: DataFrame, nodes: DataFrame, sets: DataFrame, least: int, percent: int) -> DataFrame:
-    """Links between nodes of different components in large open buckets.
+    """Links that join the components of large open buckets.
 
     Only nodes outside their bucket's largest component ask; they meet the
-    bucket's nodes block by block (``BLOCK`` nodes each).  A pair whose
-    signatures allow a link is compared on its full sets there and then, in
-    its first common bucket, and only links leave a block.
+    bucket's nodes block by block.  A pair is compared in its first common
+    bucket only.
     """
     one = large.withColumn("one", F.lit(1))
-    held = attach_group(one, ["key", "component"], {"n": ("sum", "one")}, F.col("node"))
-    main = attach_group(held.withColumn("rank", F.struct("n", "component")), ["key"],
-                        {"main": ("max", "rank")}, F.col("node"))
+    held = one.groupBy("key", "component").agg(F.sum("one").alias("n"))
+    main = stash(held.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main")), "minmax-main")
     spread = F.xxhash64("node")
-    rows = stash(main.select(
+    heavy = F.ceil(F.col("mass") / MASS)
+    rows = stash(large.join(main.hint("merge"), "key").select(
         "key", "node", "component", (F.col("component") != F.col("main.component")).alias("asks"),
-        F.ceil(F.col("size") / BLOCK).alias("parts"),
-        F.ceil((F.col("size") - F.col("main.n")) / BLOCK).alias("ask_parts")), "minmax-large")
-    known = nodes.select(F.col("doc_id").alias("node"), "short", "bands").join(sets, "node")
+        F.greatest(F.ceil(F.col("size") / BLOCK), heavy).alias("parts"),
+        F.greatest(F.ceil((F.col("size") - F.col("main.n")) / BLOCK), heavy).alias("ask_parts")), "minmax-large")
+    known = nodes.select(F.col("doc_id").alias("node"), "short", "bands").join(sets.hint("merge"), "node")
+    known = stash(known.join(rows.select("node").distinct().hint("merge"), "node", "left_semi"), "minmax-known")
     dealt = [
         rows.where("asks").withColumn("q", F.pmod(spread, "ask_parts")).withColumn(
             "_others", F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)),
@@ -225,11 +232,11 @@ def _across(large: DataFrame, nodes: DataFrame, sets: DataFrame, least: int, per
             "_others", F.sequence(F.lit(0).cast("long"), F.col("ask_parts") - 1))]
     cols = ["key", "p", "q", "node", "component", "short", "bands", "hashes"]
     ask, have = (
-        side.join(known, "node").withColumn(other, F.explode("_others"))
+        side.join(known.hint("merge"), "node").withColumn(other, F.explode("_others"))
         .select(*[F.col(c).alias(f"{other}_{c}") for c in cols])
         .groupBy(f"{other}_key", f"{other}_p", f"{other}_q")
         for side, other in zip(dealt, "pq"))
-    return ask.cogroup(have).applyInArrow(_block_links(least, percent), "a long, b long").distinct()
+    return ask.cogroup(have).applyInArrow(_block_links(least, percent), "a long, b long")
 
 
 def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,19 +249,21 @@ def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 def _block_links(least: int, percent: int):
     def run(ask: pa.Table, have: pa.Table) -> pa.Table:
         ask, have = (t.rename_columns([c[2:] for c in t.column_names]) for t in (ask, have))
-        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        out_a, out_b = [], []
         if ask.num_rows and have.num_rows:
             key = ask.column("key")[0].as_py()
-            node, comp = (np.asarray(have.column(c)) for c in ("node", "component"))
+            node, asking = (np.asarray(t.column("node")) for t in (have, ask))
+            comp, own_comp = (np.asarray(t.column("component")).copy() for t in (have, ask))
             short, shorts = (_bytes(t.column("short"), t.num_rows) for t in (have, ask))
             bands, asked = (_lists(t.column("bands"))[0].reshape(t.num_rows, -1) for t in (have, ask))
             flat, at = _lists(have.column("hashes"))
             own_flat, own_at = _lists(ask.column("hashes"))
             size = np.diff(at)
-            for r, (x, c) in enumerate(zip(ask.column("node").to_pylist(), ask.column("component").to_pylist())):
-                same = bands == asked[r]
-                first = bands[np.arange(len(bands)), same.argmax(axis=1)] == key
-                some = np.flatnonzero((comp != c) & first & ((short == shorts[r]).sum(axis=1) >= least))
+            for r in range(len(asking)):
+                apart = np.flatnonzero(comp != own_comp[r])  # components joined in this block are one by now
+                apart = apart[(short[apart] == shorts[r]).sum(axis=1) >= least]
+                same = bands[apart] == asked[r]
+                some = apart[bands[apart, same.argmax(axis=1)] == key]
                 if not len(some):
                     continue
                 own = np.sort(own_flat[own_at[r]: own_at[r + 1]])
@@ -264,8 +273,11 @@ def _block_links(least: int, percent: int):
                 hit = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
                 inter = np.add.reduceat(hit.astype(np.int64), start)
                 linked = some[inter * 100 >= (n + len(own) - inter) * percent]
-                out_a.append(np.full(len(linked), x, np.int64))
-                out_b.append(node[linked])
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
+                joined, first = np.unique(comp[linked], return_index=True)
+                out_a += [int(asking[r])] * len(joined)
+                out_b += node[linked[first]].tolist()
+                comp[np.isin(comp, joined)] = own_comp[r]
+                own_comp[np.isin(own_comp, joined)] = own_comp[r]
+        a, b = np.array(out_a, np.int64), np.array(out_b, np.int64)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
     return run

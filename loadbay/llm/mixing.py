@@ -4,12 +4,16 @@ Every source has a weight and a target number of words; all documents of a
 source have the same expected number of copies, target / size of the source.
 Expected copies are summed in order of (size, doc_id) inside the source, one
 random offset per source is added, and a document is emitted once per integer
-boundary its interval crosses.  Ordered by size, the words taken differ from the target
-by at most the source's largest document.
-
-Only DataFrame functions are used.  A null text has size 0, a null source is a
-source of its own (last in order), a null doc_id sorts first inside its
-source.  Extra columns are ignored by ``plan_copies`` and kept by ``mixed``.
+boundary its interval crosses.  The offset is drawn, never chosen, so every
+document's expected copies are what the mix asks for; ordered by size, the words
+taken differ from the target by at most the source's largest document.
+
+Only DataFrame functions are used, and no task holds all sources or all rows of
+one.  A null text has size 0, a null source is a source of its own (last in
+order), a null doc_id sorts first inside its source.  Repeated rows are rows of
+their own.  A very long text is read once for its size.  Extra columns are
+ignored by ``plan_copies`` and kept by ``mixed``, whatever their names; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,11 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadbay.llm.common import WORD, running_total, stash
+from loadbay.llm.common import WORD, running_total, running_totals, stash
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-TURNS = 16
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -31,25 +34,26 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     ``most`` times its source's size and the excess goes to the others by
     weight.  With sources in order of ``most * size / weight``, the level at
     which the rest are served is the size left over after the capped ones
-    divided by the weight left, so one pass of running sums settles it.
+    divided by the weight left, so one pass of running sums settles it.  Both
+    orders are dealt by range: there may be as many sources as hosts.
     """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
     cycle = F.element_at(F.array(*[F.lit(w) for w in weights]),
-                         (F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))) + 1).cast("int"))
-    by_room = Window.orderBy("room", F.col("source").asc_nulls_last())
-    upto = by_room.rowsBetween(Window.unboundedPreceding, -1)
-    rest = by_room.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    every = Window.partitionBy()
-    weighed = (sizes.withColumn("weight", cycle.cast("double"))
-               .withColumn("ceiling", F.col("source_size") * F.lit(float(most)))
+                         (F.pmod(F.col("nth"), F.lit(len(weights))) + 1).cast("int"))
+    named = sizes.withColumn("unnamed", F.col("source").isNull())
+    weighed = (running_total(named, [], ["unnamed", "source"], F.lit(1), "nth")
+               .withColumn("weight", cycle.cast("double"))
+               .withColumn("ceiling", F.col("source_size") * F.lit(most))
                .withColumn("room", F.col("ceiling") / F.col("weight")))
-    level = ((F.sum("source_size").over(every) - F.coalesce(F.sum("ceiling").over(upto), F.lit(0.0)))
-             / F.sum("weight").over(rest))
-    served = weighed.withColumn("level", level).withColumn(
-        "settled", F.max(F.when(F.col("level") <= F.col("room"), F.col("level"))).over(every))
-    return served.select("source", "source_size", F.when(
-        F.col("settled").isNull() | (F.col("room") < F.col("settled")), F.col("ceiling")
-    ).otherwise(F.col("settled") * F.col("weight")).alias("target"))
+    served = stash(running_totals(weighed, [], ["room", "unnamed", "source"], {
+        "ceiling_before": F.col("ceiling"), "weight_before": F.col("weight")}), "mix-levels")
+    whole = served.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    level = (F.lit(float(whole["size"] or 0)) - F.col("ceiling_before")) / (
+        F.lit(float(whole["weight"] or 0)) - F.col("weight_before"))
+    settled = served.agg(F.max(F.when(level <= F.col("room"), level)).alias("level")).first()["level"]
+    target = F.col("ceiling").cast("double")
+    if settled is not None:
+        target = F.when(F.col("room") < settled, target).otherwise(F.lit(settled) * F.col("weight"))
+    return served.select("source", "source_size", target.alias("target"))
 
 
 def offset(source: Column, seed: int) -> Column:
@@ -68,26 +72,15 @@ def _copies(start: Column) -> Column:
 
 def plan_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
                 seed: int = 1, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, size, source_size, target, copies, taken (and ``carry``) per document.
-
-    A source's offset is drawn once, turned to ``TURNS`` equally spaced
-    places, and the place whose words come nearest the target is used."""
+    """doc_id, size, source_size, target, copies, taken (and ``carry``) per document."""
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *carry)
     placed = stash(running_total(sized, ["source"], ["size", "doc_id"], F.lit(1), "at"), "mix-placed")
     goal = stash(targets(placed.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most),
                  "mix-targets").withColumnRenamed("source", "of")
-    turned = [F.pmod(offset(F.col("source"), seed) + F.lit(k / TURNS), F.lit(1.0)) for k in range(TURNS)]
-    joined = placed.join(goal, F.col("source").eqNullSafe(F.col("of")))
-    tried = joined.groupBy("of", "target").agg(
-        *[F.sum(_copies(u) * F.col("size")).alias(f"taken_{k}") for k, u in enumerate(turned)])
-    nearest = F.array_min(F.array(*[
-        F.struct(F.abs(F.col(f"taken_{k}") - F.col("target")).alias("miss"), F.lit(k).alias("turn"))
-        for k in range(TURNS)]))
-    chosen = stash(tried.select("of", nearest["turn"].alias("turn")), "mix-turns").withColumnRenamed("of", "by")
-    copies = _copies(F.element_at(F.array(*turned), F.col("turn") + 1))
-    return (joined.join(chosen, F.col("source").eqNullSafe(F.col("by")))
+    copies = _copies(offset(F.col("source"), seed))
+    return (placed.join(goal, F.col("source").eqNullSafe(F.col("of")))
             .select("doc_id", "size", "source_size", "target", copies.alias("copies"),
                     (copies * F.col("size")).alias("taken"), *carry))
 
@@ -95,14 +88,19 @@ def plan_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = 1) -> DataFrame:
     """The mix itself: each document as often as it is taken, with all its columns.
 
-    Documents are found again by doc_id and a number given to repeated
-    doc_ids' rows, so every row has its own count."""
-    columns = docs.columns
-    again = Window.partitionBy("doc_id").orderBy("_hash")
-    named = docs.withColumn("_hash", F.xxhash64(*columns)).withColumn("_nth", F.row_number().over(again))
-    plan = plan_copies(named.select("doc_id", "source", "text", "_hash"), weights, most, seed, ("_hash",))
-    plan = plan.withColumn("_nth", F.row_number().over(again)).select(
-        F.col("doc_id").alias("_id"), F.col("_nth").alias("_n"), "copies").where("copies > 0")
-    return (named.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_nth") == F.col("_n")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select(*columns))
+    Rows find their plan by a hash of all their columns; rows equal in all of
+    them are numbered.  Until then a row is one struct, so no column of the
+    input meets one of ours."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    key = F.xxhash64(*columns).alias("key")
+    same = Window.partitionBy("key").orderBy("doc_id")
+    rows = (docs.select(key, F.col("doc_id").cast("long").alias("doc_id"), F.struct(*columns).alias("row"))
+            .withColumn("nth", F.row_number().over(same)))
+    plan = plan_copies(docs.select("doc_id", "source", "text", key), weights, most, seed, ("key",))
+    plan = plan.withColumn("n", F.row_number().over(same)).select(F.col("key").alias("of"), "n", "copies").where(
+        "copies > 0")
+    # Both sides are dealt by key for their numbers; the join needs no other dealing.
+    on = (F.col("key") == F.col("of")) & (F.col("nth") - F.col("n") == 0)
+    return (rows.join(plan.hint("merge"), on)
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+            .select("row.*"))

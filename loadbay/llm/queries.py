@@ -90,13 +90,6 @@ _CRCS = """crcs AS (SELECT term, xor(list_reduce(list_concat([4294967295::BIGINT
     for i in range(4 * length(hex(term)))]),
     lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295::BIGINT) AS crc FROM terms)"""
 _SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
-_TRIED = ", ".join(
-    f"abs(sum(({c}) * size) - target) AS m{k}"
-    for k in range(mixing.TURNS)
-    for c in [f"least(floor(((u + {k / mixing.TURNS}) % 1.0) + rate * (prior + 1)) "
-              f"- floor(((u + {k / mixing.TURNS}) % 1.0) + rate * prior), ceil(rate))"])
-_NEAREST = ", ".join(f"m{k}" for k in range(mixing.TURNS))
-
 ORACLE_SQL: dict[str, str] = {
     "op3_systematic_mix": f"""
 WITH sized AS (SELECT doc_id, source, {_SIZE}::BIGINT AS size FROM documents),
@@ -116,17 +109,13 @@ placed AS (SELECT s.doc_id, s.source, s.size, g.source_size, g.target, g.u,
     CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0::DOUBLE END AS rate,
     row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.doc_id) - 1 AS prior
     FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source),
-tried AS (SELECT source, [{_NEAREST}] AS miss FROM (
-    SELECT source, target, {_TRIED} FROM placed GROUP BY source, target)),
-turned AS (SELECT p.*, (p.u + (list_position(miss, list_min(miss)) - 1) / {mixing.TURNS}.0::DOUBLE) % 1.0::DOUBLE AS v
-    FROM placed p JOIN tried t ON p.source IS NOT DISTINCT FROM t.source),
-counted AS (SELECT *, least(floor(v + rate * (prior + 1)) - floor(v + rate * prior), ceil(rate))::BIGINT AS copies
-    FROM turned)
+counted AS (SELECT *, least(floor(u + rate * (prior + 1)) - floor(u + rate * prior), ceil(rate))::BIGINT AS copies
+    FROM placed)
 SELECT doc_id, size, source_size, target, copies, (copies * size)::BIGINT AS taken FROM counted""",
     "op6_exact_dedup": r"""
 WITH cleaned AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS clean FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-    doc_id = min(doc_id) OVER w AS kept, sha256(clean) AS text_sha256
+    row_number() OVER (PARTITION BY clean ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(clean) AS text_sha256
 FROM cleaned WINDOW w AS (PARTITION BY clean)""",
     "op11_fill_middle": r"""
 WITH drawn AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h,

@@ -17,8 +17,10 @@ of its parent's run.
 Only DataFrame functions are used; searches by time work on blocks of turns,
 so one conversation of any length spans many tasks.  Null texts are empty.
 Rows with a null conv_id or turn are returned unlinked (null parent and order).
-Rows that repeat (conv_id, turn) share their links and follow one another.
-Extra columns are ignored.
+Rows that repeat (conv_id, turn) share their links and follow one another; equal
+ones are read once, different ones line by line on their own.  A very long
+message is one message's lines.  Extra columns are ignored, whatever their
+names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -61,22 +63,25 @@ def _normal(c: Column | str) -> Column:
 
 
 def read_lines(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, pos, level, line (normalised) of every message's lines."""
-    cut = messages.select("conv_id", "turn", F.posexplode(F.split("text", "\r\n|\r|\n")).alias("pos", "raw"))
+    """conv_id, turn, message, pos, level, line (normalised) of every distinct
+    message's lines; ``message`` tells texts of one turn apart."""
+    cut = (messages.select("conv_id", "turn", "text").distinct()
+           .select("conv_id", "turn", F.xxhash64("text").alias("message"),
+                   F.posexplode(F.split("text", "\r\n|\r|\n")).alias("pos", "raw")))
     marks = F.regexp_extract("raw", f"({MARKS})", 1)
-    return cut.select("conv_id", "turn", "pos", F.length(F.regexp_replace(marks, "[^>]", "")).alias("level"),
+    return cut.select("conv_id", "turn", "message", "pos", F.length(F.regexp_replace(marks, "[^>]", "")).alias("level"),
                       _normal(F.regexp_replace("raw", MARKS, "")).alias("line"))
 
 
 def passages(lines: DataFrame) -> DataFrame:
     """conv_id, turn, level, hash, chars of every line and every passage: a
     stretch of one level without a blank line."""
-    message = Window.partitionBy("conv_id", "turn").orderBy("pos")
+    message = Window.partitionBy("conv_id", "turn", "message").orderBy("pos")
     breaks = ((F.col("level") != F.coalesce(F.lag("level").over(message), F.lit(-1)))
               | (F.coalesce(F.lag("line").over(message), F.lit("")) == ""))
     parts = lines.withColumn("_new", breaks.cast("int")).withColumn(
         "part", F.sum("_new").over(message.rowsBetween(Window.unboundedPreceding, 0))).where("line <> ''")
-    whole = (parts.groupBy("conv_id", "turn", "level", "part")
+    whole = (parts.groupBy("conv_id", "turn", "message", "level", "part")
              .agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("all"))
              .where(F.size("all") > 1)
              .select("conv_id", "turn", "level", F.concat_ws(" ", "all.line").alias("line")))
