@@ -18,12 +18,14 @@ decides which candidates are added.
 
 Only DataFrame functions are used.  Patterns are written so that a failing
 search does not start again inside a run of the same characters: their cost
-stays linear in the text.  A null text is empty; null and repeated doc_ids are
-kept, row by row; extra columns are ignored.
+stays near linear in the text, however many matches a very long one has.  A
+null text is empty; null and repeated doc_ids are kept, row by row; extra columns
+are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,8 +60,9 @@ PATTERNS = {
         r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]",
         r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])", r"[0-9A-Fa-f]:[0-9A-Fa-f]",
         r"^(?:(?!0\.|127\.|255\.)[0-9]|2[0-9a-f]{3}:|f[ce][0-9a-f]{2}:)", r"(?i)\b(?:ip|host|server|address)\b"),
+    # A run of digits from its first to its last, of 14 to 19: others never count.
     "card": Kind(
-        r"[0-9](?:[ -]?[0-9])++", r"[0-9](?:[ -]?[0-9]){13}",
+        r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}+(?![ -]?[0-9])", r"[0-9](?:[ -]?[0-9]){13}",
         r"(?<![0-9.])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])", r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}",
         r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)", r"(?i)\b(?:card|visa|credit|debit|mastercard|amex)\b"),
     "phone": Kind(
@@ -109,65 +112,94 @@ def _checked(kind: str, hit: Column) -> Column:
     return n.between(10, 15)
 
 
-_SPAN = "array<struct<start:int,end:int,hit:string>>"
+_PAIRS = "array<struct<gap:string,hit:string,size:int>>"
+_FILL = "\u0000"
 
 
-def _found(text: Column, pattern: str, hint: str) -> Column:
-    """All matches with their places in code points: the lengths of the gaps
-    and of the matches, summed up."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
+def _sums(numbers: Column, start: Column) -> Column:
+    """``start`` plus the sum of the numbers before each one."""
+    return F.aggregate(
+        numbers, F.struct(start.alias("sum"), F.array().cast("array<int>").alias("all")),
+        lambda s, n: F.struct((s["sum"] + n).alias("sum"), F.concat(s["all"], F.array(s["sum"])).alias("all")),
+        lambda s: s["all"])
 
-    def step(s: Column, pair: Column) -> Column:
-        start = s["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["hit"])
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), pair["hit"].alias("hit")))
-        return F.struct(end.alias("at"), F.concat(s["spans"], one).alias("spans"))
 
-    pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    placed = F.aggregate(F.filter(pairs, lambda p: p["hit"].isNotNull()),
-                         F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans")),
-                         step, lambda s: s["spans"])
-    return F.when(text.rlike(hint), placed).otherwise(F.array().cast(_SPAN))
+def _before(sizes: Column) -> Column:
+    """Sums of the column's numbers before each one.  Two levels (stretches of
+    about the square root of their number) keep the copying of growing arrays
+    small, so a text with very many matches stays cheap."""
+    step = F.greatest(F.ceil(F.sqrt(F.size(sizes))).cast("int"), F.lit(1))
+    stretch = lambda i: F.slice(sizes, i * step + 1, step)
+    numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(sizes) / step).cast("int") - 1, F.lit(0)))
+    wholes = F.transform(numbers, lambda i: F.aggregate(stretch(i), F.lit(0), lambda s, n: s + n))
+    return F.flatten(F.zip_with(numbers, _sums(wholes, F.lit(0)), lambda i, start: _sums(stretch(i), start)))
 
 
-def _described(kind: str, text: Column, c: Column, strict: bool) -> Column:
+def _placed(rows: DataFrame, text: str, pattern: str, hint: str) -> DataFrame:
+    """Adds ``_pairs`` (every gap with the match after it; the last has none) and
+    ``_spans``: all matches with their places in code points, the characters
+    before them and the one after.
+
+    Places are running sums of the lengths of gaps and matches, surroundings
+    come from the neighbouring gaps and matches: nothing is looked up by its
+    place in the text.  The steps are columns of their own, so that none is
+    worked out again inside another."""
+    t = F.col(text)
+    pairs = F.zip_with(F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda g, h: F.struct(
+        g.alias("gap"), h.alias("hit"), (F.length(g) + F.coalesce(F.length(h), F.lit(0))).alias("size")))
+    rows = rows.withColumn("_pairs", F.when(t.rlike(hint), pairs).otherwise(F.array().cast(_PAIRS)))
+    rows = rows.withColumn("_sizes", F.transform("_pairs", lambda p: p["size"]))
+    rows = rows.withColumn("_before", _before(F.col("_sizes")))
+    at = lambda i: F.get(F.col("_pairs"), i)
+    text_of = lambda c: F.coalesce(c, F.lit(""))
+
+    def span(p: Column, i: Column) -> Column:
+        end = F.get(F.col("_before"), i) + p["size"]
+        left = F.concat(F.right(text_of(at(i - 1)["gap"]), F.lit(BEFORE)), text_of(at(i - 1)["hit"]), p["gap"])
+        right = F.concat(F.left(text_of(at(i + 1)["gap"]), F.lit(1)), F.left(text_of(at(i + 1)["hit"]), F.lit(1)))
+        return F.struct((end - F.length(p["hit"])).alias("start"), end.alias("end"), p["hit"].alias("hit"),
+                        F.right(left, F.lit(BEFORE)).alias("left"), F.left(right, F.lit(1)).alias("right"))
+
+    spans = F.transform("_pairs", span)
+    return rows.withColumn("_spans", F.filter(spans, lambda x: x["hit"].isNotNull())).drop("_sizes", "_before")
+
+
+def _described(kind: str, k: Kind, c: Column, strict: bool) -> Column:
     """A candidate with its votes and features (small integers)."""
-    k = PATTERNS[kind]
-    left = F.substring(text, F.greatest(c["start"] - BEFORE + 1, F.lit(1)), F.least(c["start"], F.lit(BEFORE)))
     side = lambda x: (F.when(x == "", 0).when(x.rlike(r"^\s$"), 1).when(x.rlike(r"^[.,;:!?()]$"), 2)
                       .when(x.rlike(r"^\p{L}$"), 3).otherwise(4))
     return F.struct(
         F.lit(KINDS.index(kind)).alias("kind"), c["start"].alias("start"), c["end"].alias("end"),
         F.lit(int(strict)).alias("strict"), c["hit"].rlike(k.listed).cast("int").alias("gazetteer"),
         _checked(kind, c["hit"]).cast("int").alias("check"),
-        F.when(left.rlike(k.said), 1).otherwise(-1).alias("context"),
-        side(F.substring(text, c["start"], F.when(c["start"] > 0, 1).otherwise(0))).alias("left"),
-        side(F.substring(text, c["end"] + 1, F.lit(1))).alias("right"),
+        F.when(c["left"].rlike(k.said), 1).otherwise(-1).alias("context"),
+        side(F.right(c["left"], F.lit(1))).alias("left"), side(c["right"]).alias("right"),
         F.least(F.floor(F.length(c["hit"]) / 4), F.lit(8)).cast("int").alias("size"),
         c["hit"].rlike("[ ()-]").cast("int").alias("spaced"))
 
 
+_FOUND = ("array<struct<kind:int,start:int,end:int,strict:int,gazetteer:int,check:int,context:int,left:int,right:int,"
+          "size:int,spaced:int>>")
 VOTES = ("strict", "gazetteer", "check", "context")
 FEATURES = ("strict", "gazetteer", "check", "context", "left", "right", "size", "spaced")
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, found: all base spans and further candidates of every text."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    text = F.col("text")
-    for kind in KINDS:
-        k = PATTERNS[kind]
-        rows = rows.withColumn(f"s_{kind}", F.filter(
-            _found(text, k.strict, k.hint), lambda c: _holds(kind, c["hit"])))
-        rows = rows.withColumn(f"l_{kind}", _found(text, k.loose, k.loose_hint))
-    found = []
+def candidates(docs: DataFrame, patterns: Mapping[str, Kind] = PATTERNS) -> DataFrame:
+    """doc_id, found: all base spans and further candidates of every text.
+    Further candidates are searched in what the base spans leave."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                       F.array().cast(_FOUND).alias("found"))
     for kind in KINDS:
-        apart = F.filter(f"l_{kind}", lambda c: ~F.exists(
-            f"s_{kind}", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-        found += [F.transform(f"s_{kind}", lambda c: _described(kind, text, c, True)),
-                  F.transform(apart, lambda c: _described(kind, text, c, False))]
-    return rows.select("doc_id", F.concat(*found).alias("found"))
+        k = patterns[kind]
+        rows = _placed(rows, "text", k.strict, k.hint)
+        base = F.filter("_spans", lambda c: _holds(kind, c["hit"]))
+        rest = F.array_join(F.transform("_pairs", lambda p: F.concat(p["gap"], F.when(
+            _holds(kind, p["hit"]), F.repeat(F.lit(_FILL), F.length(p["hit"]))).otherwise(F.coalesce(p["hit"], F.lit(""))))), "")
+        rows = rows.select("doc_id", "text", F.concat("found", F.transform(base, lambda c: _described(kind, k, c, True))).alias("found"),
+                           F.when(F.size("_pairs") > 0, rest).otherwise(F.col("text")).alias("_rest"))
+        rows = _placed(rows, "_rest", k.loose, k.loose_hint).select("doc_id", "text", F.concat(
+            "found", F.transform("_spans", lambda c: _described(kind, k, c, False))).alias("found"))
+    return rows.select("doc_id", "found")
 
 
 def reliabilities(votes: DataFrame, steps: int = STEPS) -> DataFrame:
@@ -225,10 +257,14 @@ def train(found: DataFrame, steps: int = STEPS) -> dict[tuple[int, str, int], fl
             for r in summed.select("kind", "feature", "value", odds).collect()}
 
 
-def find_personal_data(docs: DataFrame, steps: int = STEPS) -> DataFrame:
+def find_personal_data(docs: DataFrame, steps: int = STEPS, patterns: Mapping[str, Kind] = PATTERNS) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans
-    (base and added), added per document."""
-    found = stash(candidates(docs), "pii-found")
+    (base and added), added per document.
+
+    ``patterns`` gives each kind its listed prefixes and domains (``listed``),
+    the words that announce it (``said``) and its looser pattern; the strict
+    ones are the contract's."""
+    found = stash(candidates(docs, patterns), "pii-found")
     weights = train(found, steps)
     if weights:
         table = F.create_map(*[F.lit(x) for (k, f, v), w in sorted(weights.items())
