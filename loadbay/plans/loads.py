@@ -264,7 +264,7 @@ def transfer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1/Q2: documents fanned out to three sinks from one read; the rows each
     sink holds are counted back and compared."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    d = table(spark, sf_dir, "documents")
     root = scratch(spark, "fanout")
     targets = {"text": f"{root}/text", "gzip": f"{root}/gzip", "parquet": f"{root}/parquet"}
     q.fan_out(d, {
@@ -297,10 +297,11 @@ def catalog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadbay.sources.catalog import read_hive_location
 
     name = f"loadbay_k7_{uuid.uuid4().hex[:10]}"
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    c = table(spark, sf_dir, "customer")
     load_hive(c, name, partition={"ds": "20240101"}, file_type="TXT",
               location=scratch(spark, "catalog"), pre=f"DROP TABLE IF EXISTS {name}")
-    return read_hive_location(spark, "", name, partition={"ds": "20240101"})
+    back = read_hive_location(spark, "", name, partition={"ds": "20240101"})
+    return back.withColumn("c_acctbal", F.col("c_acctbal").try_cast("double"))
 
 
 def catalog_load_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,7 +339,7 @@ def detect_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer written as text, gzip text, Parquet and a SequenceFile;
     each folder's kind is detected from its files' first bytes and names, and
     the folder is read back with the reader of that kind."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    c = table(spark, sf_dir, "customer")
     root = scratch(spark, "formats")
     sinks.write_delimited(c, f"{root}/txt")
     sinks.write_delimited(c, f"{root}/gz", compression="gzip")
@@ -348,7 +349,7 @@ def detect_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     for folder in ("txt", "gz", "pq", "seq"):
         path = f"{root}/{folder}"
         kind = sources.folder_kind(spark, path)
-        rows = sources.read_detected(spark, path, num_fields=2)
+        rows = sources.read_detected(spark, path, num_fields=len(c.columns))
         one = rows.agg(F.count(F.lit(1)).alias("rows"),
                        F.count(F.col(rows.columns[1])).alias("names")).select(
             F.lit(folder).alias("folder"), F.lit(kind).alias("kind"), "rows", "names")

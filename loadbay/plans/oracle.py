@@ -20,7 +20,8 @@ ORACLE_SQL["delimited_round_trip"] = """
 SELECT CAST(doc_id AS VARCHAR) AS _c0,
        nullif(translate(text, chr(9) || chr(10) || chr(13), '   '), '') AS _c1,
        nullif(translate(lang, chr(9) || chr(10) || chr(13), '   '), '') AS _c2,
-       nullif(translate(source, chr(9) || chr(10) || chr(13), '   '), '') AS _c3
+       nullif(translate(source, chr(9) || chr(10) || chr(13), '   '), '') AS _c3,
+       CAST(n_chars AS VARCHAR) AS _c4
 FROM documents
 """
 
@@ -144,7 +145,7 @@ FROM documents
 ORACLE_SQL["map_columns_set"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS cust,
        o_orderstatus AS status, CAST(round(o_totalprice * 100) AS BIGINT) AS price_cents,
-       CAST(NULL AS VARCHAR) AS note
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS day, o_orderpriority AS priority, CAST(NULL AS VARCHAR) AS note
 FROM orders
 """
 
@@ -161,12 +162,14 @@ FROM lineitem
 """
 
 ORACLE_SQL["partition_read"] = """
-SELECT l_orderkey AS _c0, l_linenumber AS _c1, l_returnflag, l_linestatus
+SELECT l_orderkey AS _c0, l_partkey AS _c1, l_suppkey AS _c2, l_linenumber AS _c3, l_quantity AS _c4,
+       l_extendedprice AS _c5, l_discount AS _c6, l_tax AS _c7, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS _c8,
+       l_returnflag, l_linestatus
 FROM lineitem WHERE l_returnflag = 'R'
 """
 
 ORACLE_SQL["sharded_union"] = """
-SELECT o_orderkey, o_custkey, o_totalprice, 't_' || lpad(CAST(o_orderkey % 16 AS VARCHAR), 2, '0') AS _shard
+SELECT *, 't_' || lpad(CAST(o_orderkey % 16 AS VARCHAR), 2, '0') AS _shard
 FROM orders
 """
 
@@ -180,13 +183,15 @@ ORACLE_SQL["read_with_schema"] = "SELECT * FROM orders"
 
 ORACLE_SQL["print_rows"] = """
 SELECT '>> ' || CAST(c_custkey AS VARCHAR) || '|' || c_name || '|' || CAST(c_nationkey AS VARCHAR)
+       || '|' || CAST(CAST(c_acctbal AS DECIMAL(15, 2)) AS VARCHAR)
        || '|' || coalesce(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_mktsegment END, 'NULL')
        AS line
 FROM customer
 """
 
 ORACLE_SQL["csv_files"] = """
-SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS name, c_mktsegment AS segment FROM customer
+SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS name, c_nationkey AS nation, c_acctbal AS balance,
+       c_mktsegment AS segment FROM customer
 """
 
 ORACLE_SQL["sql_query"] = """
@@ -369,7 +374,8 @@ FROM (VALUES ('text'), ('gzip'), ('parquet')) AS s(sink)
 """
 
 ORACLE_SQL["catalog_load"] = """
-SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment, '20240101' AS ds FROM customer
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_acctbal,
+       c_mktsegment, '20240101' AS ds FROM customer
 """
 
 _KEPT = "regexp_replace({}, '[' || chr(1) || chr(10) || chr(13) || ']', ' ', 'g')"
@@ -398,13 +404,14 @@ GBK_LATIN = "¤§¨°±·×àáèéêìíòó÷ùúüāēěīńňōūǎǐǒǔǖ
 ORACLE_SQL["gbk_round_trip"] = f"""
 SELECT CAST(doc_id AS VARCHAR) AS _c0,
        nullif(regexp_replace(translate(text, chr(1) || chr(10) || chr(13), '   '),
-                             '[^\\x00-\\x7F{GBK_LATIN}]', '?', 'g'), '') AS _c1
+                             '[^\\x00-\\x7F{GBK_LATIN}]', '?', 'g'), '') AS _c1,
+       lang AS _c2, source AS _c3, CAST(n_chars AS VARCHAR) AS _c4
 FROM documents
 """
 
 ORACLE_SQL["remote_text_header"] = """
-SELECT CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1,
-       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_mktsegment END AS _c2
+SELECT CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1, c_nationkey AS _c2, c_acctbal AS _c3,
+       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_mktsegment END AS _c4
 FROM customer
 """
 
@@ -474,7 +481,7 @@ GROUP BY f.prefix, f.times
 ORACLE_SQL["load_file_round_trip"] = """
 SELECT CAST(doc_id AS VARCHAR) AS _c0,
        replace(replace(text, chr(1), ''), chr(2), '') AS _c1,
-       CASE WHEN lang = 'en' THEN NULL ELSE lang END AS _c2
+       CASE WHEN lang = 'en' THEN NULL ELSE lang END AS _c2, source AS _c3, CAST(n_chars AS VARCHAR) AS _c4
 FROM documents
 """
 

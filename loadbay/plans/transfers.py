@@ -48,9 +48,9 @@ def _typed_back(df: DataFrame, spec: dict[str, str]) -> DataFrame:
 def delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents -> tab text (separators and line ends
     cleaned, NULL as "") -> read back ("" -> NULL)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = table(spark, sf_dir, "documents")
     path = sinks.write_delimited(docs, scratch(spark, "delim"), field_split="\t", null_char="")
-    return sources.read_delimited(spark, path, field_split="\t", null_string="", num_fields=4)
+    return sources.read_delimited(spark, path, field_split="\t", null_string="", num_fields=5)
 
 
 def compressed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,10 +176,10 @@ def map_columns_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     used by a set expression, unlisted target columns NULL."""
     from loadbay.sinks.jdbc import map_columns, set_exprs
 
-    text = tx.to_text_rows(table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"))
-    target = ["id", "cust", "status", "price_cents", "note"]
-    mapped = map_columns(text, ["id", "cust", "@price", "status"], target)
+    text = tx.to_text_rows(dt.format_dates(table(spark, sf_dir, "orders"), "mysql").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate", "o_orderpriority"))
+    target = ["id", "cust", "status", "price_cents", "day", "priority", "note"]
+    mapped = map_columns(text, ["id", "cust", "@price", "status", "day", "priority"], target)
     return set_exprs(mapped, "price_cents = cast(round(cast(@price as double) * 100) as bigint)",
                      target)
 
@@ -206,13 +206,14 @@ def partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadbay.sinks.catalog import write_partitioned
 
     li = table(spark, sf_dir, "lineitem")
-    text = li.select(F.concat_ws("\t", F.col("l_orderkey").cast("string"),
-                                 F.col("l_linenumber").cast("string")).alias("value"),
+    fields = [c for c in li.columns if c not in ("l_returnflag", "l_linestatus")]
+    text = li.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in fields]).alias("value"),
                      "l_returnflag", "l_linestatus")
     root = write_partitioned(text, scratch(spark, "parts"), ["l_returnflag", "l_linestatus"])
     rows = sources.read_partition(spark, root, ["l_returnflag", "l_linestatus"], ["R", None],
-                                  field_split="\t", num_fields=2)
-    return _typed_back(rows, {"_c0": "bigint", "_c1": "int"})
+                                  field_split="\t", num_fields=len(fields))
+    return _typed_back(rows, {"_c0": "bigint", "_c1": "bigint", "_c2": "bigint", "_c3": "int", "_c4": "double",
+                              "_c5": "double", "_c6": "double", "_c7": "double"})
 
 
 def sharded_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,7 +222,7 @@ def sharded_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadbay.functions.names import expand_shards
     from loadbay.sources.shards import read_sharded_files
 
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    o = table(spark, sf_dir, "orders")
     shard = F.concat(F.lit("t_"), F.lpad((F.col("o_orderkey") % 16).cast("string"), 2, "0"))
     root = scratch(spark, "shards")
     o.withColumn("shard", shard).write.partitionBy("shard").parquet(root)
@@ -252,7 +253,7 @@ def read_with_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 def print_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Console lines (prefix, separator, NULL text)."""
     c = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey",
+        "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("decimal(15,2)"),
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None)).otherwise(F.col("c_mktsegment"))
         .alias("seg"))
     return sinks.format_rows(c, field_split="|", prefix=">> ", null_char="NULL")
@@ -260,12 +261,12 @@ def print_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files with a user header, read back by header."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    c = table(spark, sf_dir, "customer")
     path = sinks.write_files(c, scratch(spark, "csv"), file_format="csv",
-                             header=["key", "name", "segment"], field_split=",",
+                             header=["key", "name", "nation", "balance", "segment"], field_split=",",
                              write_mode="truncate")
-    return spark.read.option("header", "true").option("escape", '"').schema("key string, name string, segment string") \
-        .csv(path)
+    return (spark.read.option("header", "true").option("escape", '"')
+            .schema("key string, name string, nation int, balance double, segment string").csv(path))
 
 
 def sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,23 +283,24 @@ def sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gbk_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as GBK text and read back as GBK; characters
     GBK cannot encode come back as ``?``."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = table(spark, sf_dir, "documents")
     path = sinks.write_delimited(d, scratch(spark, "gbk"), field_split="\x01", encoding="GBK")
-    return sources.read_delimited(spark, path, field_split="\x01", encoding="GBK", num_fields=2)
+    return sources.read_delimited(spark, path, field_split="\x01", encoding="GBK", num_fields=5)
 
 
 def remote_text_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer as headed text files (a header line in every file),
     read back with the header of each file dropped and \\N as NULL."""
     c = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name",
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal",
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None)).otherwise(F.col("c_mktsegment"))
         .alias("seg"))
     path = sinks.write_files(c, scratch(spark, "remote"), file_format="text",
-                             header=["key", "name", "segment"], field_split="\x01",
+                             header=["key", "name", "nation", "balance", "segment"], field_split="\x01",
                              null_char="\\N")
-    return sources.read_remote_text(spark, path, field_split="\x01", null_string="\\N",
-                                    skip_header=True, num_fields=3)
+    rows = sources.read_remote_text(spark, path, field_split="\x01", null_string="\\N",
+                                    skip_header=True, num_fields=5)
+    return _typed_back(rows, {"_c2": "int", "_c3": "double"})
 
 
 def date_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,6 +411,7 @@ def load_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadbay.sinks.jdbc import read_load_file, write_load_file
 
     d = table(spark, sf_dir, "documents").select(
-        "doc_id", "text", F.when(F.col("lang") == "en", F.lit(None)).otherwise(F.col("lang")).alias("lang"))
+        "doc_id", "text", F.when(F.col("lang") == "en", F.lit(None)).otherwise(F.col("lang")).alias("lang"),
+        "source", "n_chars")
     path = write_load_file(d, scratch(spark, "loadfile"), "mysql")
-    return read_load_file(spark, path, 3, "mysql")
+    return read_load_file(spark, path, 5, "mysql")
