@@ -7,12 +7,17 @@ so no extra pass over the data is made just to count it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import threading
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor, wait
 
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import AccumulatorParam, StorageLevel, TaskContext, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loadbay.session import written
 from loadbay.sinks.swap import swap_in
 from loadbay.functions import text as tx
 
@@ -160,49 +165,69 @@ Sink = Callable[[DataFrame], object]
 
 def fan_out(df: DataFrame, sinks: Mapping[str, Sink], on_sink_error: str = "fail",
             storage: StorageLevel = StorageLevel.DISK_ONLY,
-            materialize: str = "persist") -> dict[str, int | None]:
+            materialize: str = "checkpoint", parallel: bool = True) -> dict[str, int | None]:
     """Q1: one read, every sink gets every row.
 
-    ``materialize="persist"`` keeps the source on the executors' disks (a
-    lost executor's blocks are recomputed from lineage);
-    ``materialize="checkpoint"`` writes it once to the shared
-    ``spark.checkpoint.dir`` instead, so no sink ever re-reads the source,
-    even after executors are lost.  Each sink runs one write job observed for
-    its row count.  ``on_sink_error="drop"`` lets the other sinks finish when
-    one fails (its count is ``None``).
+    ``materialize="checkpoint"`` writes the source once to the shared
+    ``spark.checkpoint.dir``, so no sink ever re-reads the source, even after
+    executors are lost; ``"persist"`` keeps it on the executors' disks instead
+    (a lost executor's blocks are recomputed from lineage).  Each sink runs
+    one write job observed for its row count.  Sinks run side by side, each
+    from a thread, a job group and (under the fair scheduler) a pool of its
+    own; ``parallel=False`` runs them one after the other.
+
+    ``on_sink_error="drop"`` cancels the jobs of a failing sink alone, and lets
+    the others finish (its count is ``None``); ``"fail"`` cancels them all.
     """
     if on_sink_error not in ("fail", "drop"):
         raise ValueError("on_sink_error is 'fail' or 'drop'")
     if materialize not in ("persist", "checkpoint"):
         raise ValueError("materialize is 'persist' or 'checkpoint'")
+    spark = df.sparkSession
     if materialize == "checkpoint":
         from loadbay.session import checkpoint_root
 
-        checkpoint_root(df.sparkSession)
+        checkpoint_root(spark)
         src = df.checkpoint(eager=True)
     else:
         src = df.persist(storage)
-    counts: dict[str, int | None] = {}
+        if parallel:  # filled once, before the sinks race for it
+            src.write.format("noop").mode("overwrite").save()
+    sc = spark.sparkContext
+    run = uuid.uuid4().hex[:8]
+    groups = {name: f"fan_out_{run}_{i}" for i, name in enumerate(sinks)}
+    stopped = threading.Event()
+
+    def feed(name: str) -> int | None:
+        if stopped.is_set():
+            return None
+        sc.setLocalProperty("spark.scheduler.pool", groups[name])
+        sc.setJobGroup(groups[name], f"sink {name}", interruptOnCancel=True)
+        obs = Observation(groups[name])
+        try:
+            sinks[name](src.observe(obs, F.count(F.lit(1)).alias("rows")))
+            return int(obs.get["rows"])
+        except Exception:
+            sc.cancelJobGroup(groups[name])
+            if on_sink_error == "drop":
+                return None
+            stopped.set()
+            for group in groups.values():
+                sc.cancelJobGroup(group)
+            raise
+
     try:
-        for name, sink in sinks.items():
-            obs = Observation(f"fan_out_{name}")
-            observed = src.observe(obs, F.count(F.lit(1)).alias("rows"))
-            try:
-                sink(observed)
-                counts[name] = int(obs.get["rows"])
-            except Exception:
-                if on_sink_error == "fail":
-                    raise
-                counts[name] = None
+        # A thread of its own in any case: job group and pool end with it.
+        with ThreadPoolExecutor(len(sinks) if parallel and sinks else 1) as pool:
+            running = {name: pool.submit(inheritable_thread_target(spark)(feed), name) for name in sinks}
+        # All are done: the error of the sink that failed, not of those it stopped.
+        failed = [f.exception() for f in running.values() if f.exception()]
+        if failed:
+            raise next((e for e in failed if "cancel" not in str(e).lower()), failed[0])
+        return {name: f.result() for name, f in running.items()}
     finally:
         if materialize == "persist":
             src.unpersist()
-    return counts
-
-
-def counts_frame(spark: SparkSession, counts: Mapping[str, int | None]) -> DataFrame:
-    """Sink counts (one number per sink) as a small DataFrame."""
-    return spark.createDataFrame([(k, v) for k, v in counts.items()], "sink string, rows bigint")
 
 
 def reconcile(counts: DataFrame) -> DataFrame:
@@ -230,15 +255,6 @@ def count_sink_rows(frames: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
-def sum_lengths(cols: Sequence[str]) -> Column:
-    return F.sum(tx.row_length([F.col(c) for c in cols]))
-
-
 # --------------------------------------------------------------------------
 # Q3 + Q4 before commit: a load that only lands when the budget holds
 # --------------------------------------------------------------------------
@@ -253,9 +269,56 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
 
 
+class _PerPartition(AccumulatorParam):
+    """Numbers by partition; a partition that runs again counts once."""
+
+    def zero(self, value: dict) -> dict:
+        return {}
+
+    def addInPlace(self, one: dict, other: dict) -> dict:  # noqa: N802 - PySpark's name
+        for k, n in other.items():
+            one[k] = max(one.get(k, 0), n)
+        return one
+
+
+def _counting(counter):
+    """Pass rows through and count the dirty ones of the partition."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dirty = 0
+        for batch in batches:
+            dirty += batch.num_rows - batch.column(batch.schema.get_field_index(DIRTY_REASON)).null_count
+            yield batch
+        if dirty:
+            counter.add({TaskContext.get().partitionId(): dirty})
+    return run
+
+
+def _run_watched(spark: SparkSession, job: Callable[[], None], broken: Callable[[], bool], every: float = 0.2) -> bool:
+    """Run a job in a job group of its own and cancel it as soon as ``broken``
+    says so; whether it ran to its end."""
+    sc = spark.sparkContext
+    group = f"watched_{uuid.uuid4().hex[:12]}"
+
+    def run() -> None:
+        sc.setJobGroup(group, "load with an error budget", interruptOnCancel=True)
+        job()
+
+    with ThreadPoolExecutor(1) as pool:
+        running = pool.submit(inheritable_thread_target(spark)(run))
+        while not running.done():
+            if broken():
+                sc.cancelJobGroup(group)
+                running.exception()
+                return False
+            wait([running], timeout=every)
+        running.result()
+    return True
+
+
 def load_checked(df: DataFrame, rules: Mapping[str, Column], limit: float, target: str,
                  fmt: str = "parquet", inclusive: bool = False, dirty_path: str | None = None,
-                 options: Mapping[str, str] | None = None) -> dict[str, object]:
+                 options: Mapping[str, str] | None = None, stop_early: bool = False,
+                 expected_rows: int | None = None) -> dict[str, object]:
     """Write the good rows of ``df`` to ``target`` only if the dirty rows stay
     within ``limit`` (Q4 rules); otherwise raise :class:`LoadRejected`.
 
@@ -266,26 +329,40 @@ def load_checked(df: DataFrame, rules: Mapping[str, Column], limit: float, targe
     put back and the staged load is kept.  Readers never see a partial or
     rejected load, but for the moment between two renames there is none.  ``dirty_path``
     also keeps the dirty rows with their reason (the marked rows are
-    persisted on disk for that second write).
-    """
-    import uuid
+    written once to the shared scratch folder for that second write).
 
+    ``stop_early`` ends the job as soon as the finished tasks hold more dirty
+    rows than the budget allows: a count limit, or a ratio of ``expected_rows``
+    (with more rows than expected a ratio is judged at the end only).  It costs a
+    pass of the rows through Arrow.
+    """
     spark = df.sparkSession
     marked = mark_dirty(df, rules)
     if dirty_path:
-        marked = marked.persist(StorageLevel.DISK_ONLY)
+        marked = written(marked, "checked-marked")
     obs = Observation(f"load_checked_{uuid.uuid4().hex[:8]}")
     observed = marked.observe(obs, F.count(F.lit(1)).alias("rows"),
                               F.count_if(F.col(DIRTY_REASON).isNotNull()).alias("rejected"))
+    budget = None
+    if stop_early and limit > 0:
+        budget = limit if limit >= 1 else limit * expected_rows if expected_rows else None
+    if budget is not None:
+        counter = spark.sparkContext.accumulator({}, _PerPartition())
+        observed = observed.mapInArrow(_counting(counter), observed.schema)
     staging = f"{target.rstrip('/')}._staging_{uuid.uuid4().hex[:12]}"
     good = observed.filter(F.col(DIRTY_REASON).isNull()).drop(DIRTY_REASON)
-    good.write.format(fmt).options(**(options or {})).mode("errorifexists").save(staging)
-    rows, rejected = int(obs.get["rows"]), int(obs.get["rejected"])
-    ok = spark.range(1).select(limit_ok(F.lit(rows), F.lit(rejected), F.lit(float(limit)),
-                                        inclusive)).first()[0]
+    write = good.write.format(fmt).options(**(options or {})).mode("errorifexists")
     fs, stage_p = _fs(spark, staging)
     try:
-        if not ok:
+        if budget is None:
+            write.save(staging)
+        else:
+            seen = lambda: sum(counter.value.values())
+            broken = lambda: seen() >= budget if inclusive else seen() > budget
+            if not _run_watched(spark, lambda: write.save(staging), broken):
+                raise LoadRejected(f"stopped at {seen()} rejected rows, limit {limit}")
+        rows, rejected = int(obs.get["rows"]), int(obs.get["rejected"])
+        if not spark.range(1).select(limit_ok(F.lit(rows), F.lit(rejected), F.lit(float(limit)), inclusive)).first()[0]:
             raise LoadRejected(f"{rejected} of {rows} rows rejected, limit {limit}")
         if dirty_path:
             marked.filter(F.col(DIRTY_REASON).isNotNull()).write.mode("overwrite").parquet(dirty_path)
@@ -293,9 +370,6 @@ def load_checked(df: DataFrame, rules: Mapping[str, Column], limit: float, targe
     except LoadRejected:
         fs.delete(stage_p, True)
         raise
-    finally:
-        if dirty_path:
-            marked.unpersist()
     return {"rows": rows, "rejected": rejected, "ok": True, "target": target}
 
 
@@ -306,7 +380,7 @@ def load_checked(df: DataFrame, rules: Mapping[str, Column], limit: float, targe
 def exchange(df: DataFrame, sinks: Mapping[str, Sink], rules: Mapping[str, Column] | None = None,
              limit: float | None = None, inclusive: bool = False,
              seconds: float | str | None = None,
-             materialize: str = "persist", on_sink_error: str = "fail",
+             materialize: str = "checkpoint", on_sink_error: str = "fail",
              measure_chars: bool = True) -> DataFrame:
     """A whole transfer job: dirty rows set aside (Q3), every sink fed from
     one read (Q1), sinks reconciled (Q2), error budget (Q4) and statistics
@@ -321,8 +395,6 @@ def exchange(df: DataFrame, sinks: Mapping[str, Sink], rules: Mapping[str, Colum
     ``seconds`` adds byte and line speeds: a number of seconds, or
     ``"measure"`` for the wall time of the transfer itself.
     """
-    import uuid
-
     spark = df.sparkSession
     cols = list(df.columns)
     marked = mark_dirty(df, rules or {})
