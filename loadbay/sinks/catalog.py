@@ -143,14 +143,19 @@ def _sql_char(ch: str) -> str:
 def route_shards(df: DataFrame, name_col: str, dir_: str, fmt: str = "parquet",
                  mode: str = "overwrite", target_col: str = "target") -> str:
     """K8: target per row from its source table name, one folder per target
-    (``target=s_orders``)."""
+    (``target=s_orders``).
+
+    Rows are rebalanced by target first: a small target is one file, a large
+    one as many as its size asks for (the adaptive advisory size), instead of
+    one file per task and target."""
     routed = df.withColumn(target_col, route_shard_name(F.col(name_col)))
-    routed.write.mode(mode).partitionBy(target_col).format(fmt).save(dir_)
+    routed.hint("rebalance", F.col(target_col)).write.mode(mode).partitionBy(target_col).format(fmt).save(dir_)
     return dir_
 
 
 def write_partitioned(df: DataFrame, dir_: str, names: Sequence[str], fmt: str = "text",
                       mode: str = "overwrite") -> str:
-    """Write ``name=value`` partition folders (the layout R7 reads)."""
-    df.write.mode(mode).partitionBy(*names).format(fmt).save(dir_)
+    """Write ``name=value`` partition folders (the layout R7 reads), rows
+    rebalanced by folder as in ``route_shards``."""
+    df.hint("rebalance", *[F.col(n) for n in names]).write.mode(mode).partitionBy(*names).format(fmt).save(dir_)
     return dir_

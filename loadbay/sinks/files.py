@@ -268,7 +268,7 @@ def write_files(df: DataFrame, path: str, prefix: str | None = None, file_format
                 header: Sequence[str] | None = None, field_split: str = "\t",
                 write_mode: str = "truncate", null_char: str = "", encoding: str = "utf-8",
                 skip_empty_rows: bool = True, must_contain: str | None = None,
-                compression: str | None = None, trim: bool = False, empty_text: str = '""') -> str:
+                compression: str | None = None, trim: bool = False, empty_text: str = "") -> str:
     """CSV (quoted) or plain text files on any Hadoop URI.
 
     ``header`` is the user's list of names written as the first line of every
@@ -276,10 +276,9 @@ def write_files(df: DataFrame, path: str, prefix: str | None = None, file_format
     ``write_mode``: truncate / append / nonConflict.  ``must_contain`` is an
     optional guard on the target path.
 
-    CSV keeps the blanks around a field unless ``trim``, and writes an empty
-    text as ``empty_text`` (quoted, so that it differs from a NULL written as
-    ``null_char``; pass ``""`` to write nothing).  Spark's CSV reader tells the
-    two apart when its ``nullValue`` is not empty.
+    CSV keeps the blanks around a field unless ``trim``.  An empty text is
+    written as ``empty_text``: nothing by default, as a NULL is; ``'""'`` tells
+    the two apart, also for Spark's CSV reader if its ``nullValue`` is not empty.
     """
     if must_contain and must_contain not in path:
         raise ValueError(f"target path must contain {must_contain!r}")

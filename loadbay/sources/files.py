@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import re
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -335,6 +337,23 @@ def partition_path(root: str, names: Sequence[str], values: Sequence[str]) -> st
     return "/".join([root.rstrip("/")] + [f"{n}={v}" for n, v in zip(names, values)])
 
 
+def _partition_folders(spark: SparkSession, root: str, names: Sequence[str],
+                       values: Sequence[str | None] | None) -> str | None:
+    """The folder, or a glob of the folders, that hold the wanted values; None
+    if there are none.  Values after the last wanted one need no glob."""
+    wanted = list(values or ())
+    while wanted and wanted[-1] is None:
+        wanted.pop()
+    if not wanted:
+        return root
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName  # noqa: SLF001
+    parts = [f"{n}={'*' if v is None else escape(str(v))}" for n, v in zip(names, wanted)]
+    folder = "/".join([root.rstrip("/"), *parts])
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)  # noqa: SLF001
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)  # noqa: SLF001
+    return folder if found is not None and len(found) else None
+
+
 def read_partition(spark: SparkSession, root: str, names: Sequence[str],
                    values: Sequence[str | None] | None = None, field_split: str = "\t",
                    null_string: str | None = "", num_fields: int | None = None,
@@ -342,20 +361,23 @@ def read_partition(spark: SparkSession, root: str, names: Sequence[str],
                    drop_partition_columns: bool = False) -> DataFrame:
     """Text below ``name=value`` folders, partition values as text columns.
 
-    ``values`` (``None`` entries = any) become a filter on the partition
-    columns, which Spark prunes at listing time.  Partition values are never
-    type-inferred (the schema declares them as text).
+    Only the folders of ``values`` (``None`` entries = any) are listed.
+    Partition values are never type-inferred (the schema declares them as
+    text).
     """
     if values is not None and len(values) != len(names):
         raise ValueError("partition names and values do not pair up")
     if fmt == "text":
         schema = T.StructType([T.StructField("value", T.StringType())] +
                               [T.StructField(n, T.StringType()) for n in names])
-        lines = spark.read.schema(schema).option("basePath", root).format("text").load(root)
+        folder = _partition_folders(spark, root, names, values)
+        if folder is None:
+            lines = spark.createDataFrame([], schema)
+        else:
+            lines = spark.read.schema(schema).option("basePath", root).format("text").load(folder)
     else:
         lines = spark.read.option("basePath", root).format(fmt).load(root)
-    if values is not None:
-        for n, v in zip(names, values):
+        for n, v in zip(names, values or ()):
             if v is not None:
                 lines = lines.filter(F.col(n) == F.lit(str(v)))
     if fmt != "text":
@@ -390,31 +412,27 @@ def read_remote_text(spark: SparkSession, path: str | Sequence[str], field_split
 def _drop_first_line_per_file(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Lines of every file except each file's first line.
 
-    A partition holds whole splits, in file order; the first line of a file
-    is the first row of the split that starts at byte 0.  Each task drops it
-    while streaming its own rows (``mapInPandas``), so nothing is sorted,
-    numbered or shuffled.  Empty lines are kept (the CSV reader would drop
-    them).
+    A partition holds whole splits; a split's rows are contiguous, and the
+    first line of a file is the first row of the split that starts at byte 0.
+    Each task drops it from its own Arrow batches, so nothing is sorted,
+    numbered or shuffled; only lines and two numbers (file and start of the
+    split) pass through Python.  Empty lines are kept (the CSV reader would
+    drop them).
     """
     lines = (spark.read.format("text").load(_paths(path))
-             .select("value",
-                     F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_block_start").alias("_start")))
-
-    def drop_heads(batches):
-        # A partition may hold several splits, of one file or of many, in any
-        # order; a split's rows are contiguous.  The header is the first row
-        # of the split that starts at byte 0.
-        prev_file, prev_start = None, None
-        for pdf in batches:
-            if len(pdf) == 0:
+             .select("value", F.xxhash64("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("start")))
+
+    def drop_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None  # file and start of the row before
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            files, starts = pdf["_file"], pdf["_start"]
-            file_before, start_before = files.shift(1), starts.shift(1)
-            file_before.iloc[0], start_before.iloc[0] = prev_file, prev_start
-            new_split = (files != file_before) | (starts != start_before)
-            first = new_split & (starts == 0)
-            prev_file, prev_start = files.iloc[-1], starts.iloc[-1]
-            yield pdf.loc[~first, ["value"]]
-
-    return lines.mapInPandas(drop_heads, "value string")
+            file, start = (batch.column(c).to_numpy() for c in (1, 2))
+            new = np.ones(len(file), bool)
+            new[1:] = (file[1:] != file[:-1]) | (start[1:] != start[:-1])
+            new[0] = before != (file[0], start[0])
+            before = (file[-1], start[-1])
+            yield batch.select([0]).filter(pa.array(~(new & (start == 0))))
+
+    return lines.mapInArrow(drop_heads, "value string")

@@ -213,7 +213,7 @@ def test_csv_text_comes_back(spark, tmp_dir):
 
     texts = [t for t in TEXTS if t is not None and "\n" not in t] + ["x,y"]
     df = spark.createDataFrame([(str(i), t) for i, t in enumerate([*texts, None])], "k string, t string")
-    path = write_files(df, f"{tmp_dir}/csv", header=["k", "t"], field_split=",")
+    path = write_files(df, f"{tmp_dir}/csv", header=["k", "t"], field_split=",", empty_text='""')
     back = (spark.read.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false")
             .option("ignoreTrailingWhiteSpace", "false").option("nullValue", "\\N").schema("k string, t string").csv(path))
     assert {int(r["k"]): r["t"] for r in back.collect()} == dict(enumerate([*texts, None]))
