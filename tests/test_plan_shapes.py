@@ -1,16 +1,22 @@
 """Scale guards on the physical plans of the registered queries: where a
 window, a broadcast or a Python operator may appear at all."""
 
+import re
+from pathlib import Path
+
 from plan_report import shape
 
 from conftest import SF_SMALL
 
 # A window only over tables bounded by the partition count, the sink count or
 # the 25 nations; an explicit broadcast only of the per-partition offsets.
-WINDOW_ALLOWED = {"key_range_chunks", "clip_ranges", "reconcile", "exchange_report"}
+# extent_chunks: over the row groups of one task, and over one row per task.
+WINDOW_ALLOWED = {"key_range_chunks", "clip_ranges", "reconcile", "exchange_report", "extent_chunks"}
 # load_*: Spark itself picks a broadcast there, below its size threshold.
-BROADCAST_ALLOWED = {"key_range_chunks", "load_ignore", "load_replace"}
-PYTHON_ALLOWED = {"remote_text_header"}
+BROADCAST_ALLOWED = {"key_range_chunks", "load_ignore", "load_replace", "load_replace_two_keys", "extent_chunks"}
+PYTHON_ALLOWED = {"remote_text_header", "extent_chunks"}
+# SequenceFiles are reached through the RDD API only.
+RDD_ALLOWED = {"sources/files.py", "sinks/files.py"}
 
 
 def test_plan_shapes(spark):
@@ -29,3 +35,13 @@ def test_plan_shapes(spark):
     assert windows <= WINDOW_ALLOWED, windows - WINDOW_ALLOWED
     assert broadcasts <= BROADCAST_ALLOWED, broadcasts - BROADCAST_ALLOWED
     assert python <= PYTHON_ALLOWED, python - PYTHON_ALLOWED
+
+
+def test_sources():
+    root = Path(__file__).resolve().parent.parent / "loadbay"
+    code = {str(f.relative_to(root)): f.read_text() for f in root.rglob("*.py")}
+    uses = lambda pattern: {f for f, text in code.items() if re.search(pattern, text)}
+    assert uses(r"\.rdd\b|mapPartitions\(") <= RDD_ALLOWED
+    assert not uses(r"localCheckpoint|crossJoin|toPandas|\bfrom loadbay\.llm") - {f for f in code if f.startswith("llm/")}
+    assert not uses(r"localCheckpoint|crossJoin|toPandas")
+    assert not uses(r"mapInPandas|applyInPandas") - {"sinks/files.py", "sources/files.py", "sources/http.py"}
