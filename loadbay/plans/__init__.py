@@ -21,7 +21,7 @@ _LOADS = ["key_range_chunks", "key_range_select", "extent_chunks", "partition_ra
           "key_range_scan", "rows_to_cells", "cells_to_rows", "load_ignore", "load_replace",
           "load_files_replace", "load_buckets_replace", "load_versions_replace", "load_ignore_two_keys",
           "load_replace_two_keys", "region_scan", "catalog_load_documents", "split_dirty", "check_limit", "checked_load", "transfer_stats",
-          "reconcile", "exchange_report", "catalog_load", "line_stream", "detect_format",
+          "reconcile", "exchange_report", "catalog_load", "line_stream", "windowed_stats", "detect_format",
           "row_lengths"]
 
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -335,6 +335,21 @@ def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got[0].unionAll(odd)  # a row on one side only would show
 
 
+def windowed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 over time: events arriving as files, rows, dirty rows, characters and
+    speeds per hour; the hours that a delay of ten minutes has closed."""
+    from loadbay.streaming import stats
+
+    root = scratch(spark, "windowed")
+    events = table(spark, sf_dir, "events")
+    events.write.parquet(f"{root}/inbox")
+    stream = spark.readStream.schema(events.schema).parquet(f"{root}/inbox")
+    per_hour = stats.windowed_stats(stream, "ts", "1 hour", "10 minutes", is_dirty=F.col("value") < 2.0,
+                                    columns=["event_type", "props"])
+    stats.append_stats(per_hour, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(per_hour.schema).parquet(f"{root}/out")
+
+
 def detect_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer written as text, gzip text, Parquet and a SequenceFile;
     each folder's kind is detected from its files' first bytes and names, and

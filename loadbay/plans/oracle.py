@@ -389,6 +389,23 @@ ORACLE_SQL["line_stream"] = """
 SELECT nullif(unnest(string_split(text, chr(10))), '') AS _c0 FROM documents
 """
 
+def _per_second(amount: str, units: str) -> str:
+    rate = f"greatest(({amount}) // 3600, least({amount}, 1))"
+    steps = [(1_000_000, "MB/s"), (1_000, "KB/s"), (1, "B/s")] if units == "B" else [(1, "L/s")]
+    cases = " ".join(f"WHEN {rate} >= {n} THEN CAST({rate} // {n} AS VARCHAR) || '{name}'" for n, name in steps)
+    return f"CASE {cases} ELSE CAST({rate} AS VARCHAR) || '{steps[-1][1]}' END"
+
+
+ORACLE_SQL["windowed_stats"] = f"""
+WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS read_rows,
+                  count(*) FILTER (value < 2.0) AS discard_rows,
+                  CAST(coalesce(sum(coalesce(length(event_type), 0) + coalesce(length(props), 0)), 0) AS BIGINT) AS chars
+           FROM events WHERE ts IS NOT NULL GROUP BY 1)
+SELECT start, start + INTERVAL 1 HOUR AS "end", read_rows, discard_rows, read_rows - discard_rows AS write_rows, chars,
+       {_per_second("chars", "B")} AS byte_speed, {_per_second("read_rows", "L")} AS line_speed
+FROM w WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+"""
+
 ORACLE_SQL["row_lengths"] = """
 SELECT conv_id, turn,
        CAST(length(CAST(conv_id AS VARCHAR)) + length(CAST(turn AS VARCHAR))
