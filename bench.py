@@ -1,4 +1,4 @@
-"""Bench: headline exchange queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
+"""Bench: every query of the reference's operators at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query runs end to end (its writes and reads included) and its result is
 driven into the ``noop`` sink, so nothing is collected to the driver.
@@ -16,23 +16,6 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-# Headline queries: one per family of operators.
-HEADLINE = [
-    "flagship_totals",        # text round trip + typing + aggregate
-    "delimited_round_trip",   # R1/K1 on whole documents
-    "compressed_round_trip",  # R2/K2 gzip
-    "typed_parquet",          # K4 typed Parquet load
-    "parse_dates",            # P11 trial formats
-    "sharded_union",          # R12 shards
-    "key_range_chunks",       # R13 exact NTILE bounds
-    "cells_to_rows",          # K14 + R14 cell pivot
-    "load_replace",           # K9 key policy
-    "reconcile",              # Q1/Q2 fan-out to three sinks
-    "transfer_stats",         # Q5
-    "line_stream",            # R17 streaming fan-out
-]
-
-
 def warm_up(spark, sf_dir: str) -> None:
     """Load the JVM's classes and code generators outside the timings: a
     tiny text round trip with an aggregate, a persisted frame and a Python
@@ -64,7 +47,7 @@ def main() -> None:
                           app="loadbay-bench")
     warm_up(spark, sf_dir)
 
-    keys = sys.argv[1:] or HEADLINE
+    keys = sys.argv[1:] or list(PLANS)
     times: dict[str, float] = {}
     for key in keys:
         t0 = time.perf_counter()
