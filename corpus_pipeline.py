@@ -24,16 +24,21 @@ from loadbay.llm.queries import tokenizer_path
 ROW = "_row_of_stage"
 
 
-def _first_rows(docs: DataFrame, groups: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The rows of ``docs`` that ``groups`` keeps, each decided on its own.
-
-    Every row has a key that rises with its doc_id (null last; rows that share
-    a doc_id by their hash), and takes the doc_id's place in the groups.  The keyed rows
-    are written once, so the groups and the rows have the same keys."""
-    rows = stash(docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64(*docs.columns))
-                 .withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    kept = groups(rows.select(F.col(ROW).alias("doc_id"), "text")).where("kept")
-    return rows.join(kept.select(F.col("doc_id").alias(ROW)), ROW, "left_semi").drop(ROW)
+def _first_rows(docs: DataFrame, groups: Callable[[DataFrame], DataFrame], group: str) -> DataFrame:
+    """The first row of every group, each row a document of its own.
+
+    Rows are numbered as they are written, once, and the number takes the
+    doc_id's place in ``groups``, so the texts are not sorted.  Of a group (the
+    column ``group``) the smallest doc_id stays, null last; rows that share it are
+    ordered by their hash.  Only these and the numbers are shuffled for that."""
+    rows = stash(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    found = groups(rows.select(F.col(ROW).alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_of"), F.col(group).alias("_group"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
+                     F.xxhash64(*docs.columns).alias("hash"), F.col(ROW).alias("row"))
+    ranked = rows.select(F.col(ROW).alias("_of"), order.alias("_order"))
+    first = found.join(ranked.hint("merge"), "_of").groupBy("_group").agg(F.min("_order").alias("first"))
+    return rows.join(first.select(F.col("first.row").alias(ROW)).hint("merge"), ROW, "left_semi").drop(ROW)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,13 +51,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document (by doc_id) of every group of equal texts."""
-    return _first_rows(docs, exact_dedup.exact_groups)
+    return _first_rows(docs, exact_dedup.exact_groups, "keep_id")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document (by doc_id) of every near-duplicate group: sets of
     five-word shingles with a similarity of 0.8 or more."""
-    return _first_rows(docs, lambda rows: minmax_dedup.near_groups(rows, k=5, percent=80))
+    return _first_rows(docs, lambda rows: minmax_dedup.near_groups(rows, k=5, percent=80), "component_id")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
