@@ -10,7 +10,7 @@ from loadbay.plans import loads, transfers
 from loadbay.plans.oracle import ORACLE_SQL
 
 _TRANSFERS = ["flagship_totals", "delimited_round_trip", "compressed_round_trip",
-              "sequence_round_trip", "parquet_as_text", "parquet_as_text_arrays", "col_filter",
+              "sequence_round_trip", "sequence_typed", "parquet_as_text", "parquet_as_text_arrays", "col_filter",
               "split_regex_trailing", "null_fit_arity", "dates_to_text", "parse_dates",
               "reformat_date", "sanitize_escape", "map_columns_set", "typed_by_hive",
               "typed_parquet", "partition_read", "sharded_union", "route_shards",

@@ -37,6 +37,12 @@ SELECT CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1, CAST(c_nationkey AS VAR
 FROM customer
 """
 
+ORACLE_SQL["sequence_typed"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
+FROM orders
+"""
+
 ORACLE_SQL["parquet_as_text"] = """
 SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts,
        CAST(user_id AS VARCHAR) AS user_id, nullif(event_type, '') AS event_type,

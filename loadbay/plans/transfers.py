@@ -73,6 +73,18 @@ def sequence_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_back(rows, {"_c3": "double"})
 
 
+def sequence_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as block-compressed SequenceFiles, LongWritable key and the
+    other fields as Text, read back as typed pairs."""
+    orders = table(spark, sf_dir, "orders")
+    path = sinks.write_sequence(dt.dates_to_text(orders, "mysql"), scratch(spark, "seq-typed"), key_index=0,
+                                compression="BLOCK", key_class="LongWritable")
+    pairs = sources.read_pairs(spark, path)
+    fields = tx.fields_to_columns(tx.split_line("value", "\x01"), len(orders.columns) - 1)
+    rows = pairs.select("key", *fields).toDF(*orders.columns)
+    return _typed_back(rows, {"o_custkey": "bigint", "o_totalprice": "double"})
+
+
 def parquet_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events read as all-text columns ("" -> NULL)."""
     text = sources.read_parquet_as_text(spark, f"{sf_dir}/events.parquet", null_string="")

@@ -12,11 +12,12 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadbay.functions import text as tx
+from loadbay.sources import sequence
 
 # del_mode numbers of the HDFS writer.
 DEL_MODES = {
@@ -121,50 +122,56 @@ SEQ_COMPRESSION = ("NONE", "RECORD", "BLOCK")
 def write_sequence(df: DataFrame, dir_: str, prefix: str | None = None, key_index: int = -1,
                    field_split: str = "\x01", null_char: str = "",
                    compression: str = "NONE", codec: str = "org.apache.hadoop.io.compress.DefaultCodec",
-                   del_mode: int | None = None) -> str:
-    """K3: SequenceFile of (Text key, Text value).
-
-    ``key_index >= 0`` takes that field as key and removes it from the value;
-    otherwise the key is empty (NullWritable).  The value is the remaining
-    fields joined by the separator.  ``compression`` is NONE, RECORD or BLOCK.
+                   del_mode: int | None = None, key_class: str | None = None,
+                   value_class: str = "Text") -> str:
+    """K3: SequenceFile of a key and a value of any Writable class.
+
+    ``key_index >= 0`` takes that field as key (``key_class``, Text by default)
+    and removes it from the value; otherwise the key is empty (NullWritable).
+    A Text value is the remaining fields joined by the separator; any other
+    ``value_class`` needs exactly one remaining field, which is cast to it (none
+    for NullWritable).  NULL is ``null_char`` in a Text, empty in a BytesWritable
+    and an error in the other classes.  ``compression`` is NONE, RECORD or BLOCK;
+    ``codec`` one of Default, Deflate, Gzip and BZip2.
     """
     spark = df.sparkSession
     target = _join(dir_, prefix)
     mode = _save_mode(spark, target, dir_, del_mode, None)
     if compression.upper() not in SEQ_COMPRESSION:
         raise ValueError(f"unknown compression {compression!r}")
-    cols = [F.col(f"`{c}`").cast("string") for c in df.columns]
-    if 0 <= key_index < len(cols):
-        key = tx.null_out(cols[key_index], null_char)
-        rest = cols[:key_index] + cols[key_index + 1:]
+    sequence.codec_of(codec)
+    names = [F.col(f"`{c}`") for c in df.columns]
+    has_key = 0 <= key_index < len(names)
+    key_name = sequence.class_name(key_class or "Text") if has_key else "NullWritable"
+    value_name = sequence.class_name(value_class)
+    rest = names[:key_index] + names[key_index + 1:] if has_key else names
+    if value_name not in ("Text", "NullWritable") and len(rest) != 1:
+        raise ValueError(f"{value_name} takes one field, {len(rest)} are left")
+
+    def typed(col: Column | None, name: str) -> Column:
+        if col is None or name == "NullWritable":
+            return F.lit(None).cast("string")
+        col = col.cast(sequence.CLASSES[name][0])
+        return tx.null_out(col, null_char) if name == "Text" else col
+
+    if value_name == "Text":
+        value = tx.join_fields([tx.sanitize_hdfs(c.cast("string"), field_split) for c in rest],
+                               field_split, null_char)
     else:
-        key = F.lit(None).cast("string")
-        rest = cols
-    value = tx.join_fields([tx.sanitize_hdfs(c, field_split) for c in rest], field_split, null_char)
-    pairs = df.select(key.alias("k"), value.alias("v")).rdd.map(tuple)
-    if mode == "overwrite":
-        hadoop_delete_path(spark, target)
-    conf = {}
-    if compression.upper() != "NONE":
-        conf = {
-            "mapreduce.output.fileoutputformat.compress": "true",
-            "mapreduce.output.fileoutputformat.compress.type": compression.upper(),
-            "mapreduce.output.fileoutputformat.compress.codec": codec,
-        }
-    key_class = "org.apache.hadoop.io.Text" if 0 <= key_index < len(cols) else "org.apache.hadoop.io.NullWritable"
-    pairs.saveAsNewAPIHadoopFile(
-        target, "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
-        keyClass=key_class, valueClass="org.apache.hadoop.io.Text", conf=conf)
+        value = typed(rest[0] if rest else None, value_name)
+    pairs = df.select(typed(names[key_index] if has_key else None, key_name).alias("key"), value.alias("value"))
+    if mode == "errorifexists" and hadoop_exists(spark, target):
+        raise FileExistsError(target)
+    sequence.register(spark)
+    (pairs.write.format("sequence").mode("append" if mode == "errorifexists" else mode)
+     .options(keyClass=key_name, valueClass=value_name, compression=compression, codec=codec).save(target))
     return target
 
 
-def hadoop_delete_path(spark: SparkSession, path: str) -> None:
+def hadoop_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS is JVM-only
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    if fs.exists(p):
-        fs.delete(p, True)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
 
 
 def number_part_files(spark: SparkSession, target: str, prefix: str) -> list[str]:

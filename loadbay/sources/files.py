@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadbay.functions import text as tx
+from loadbay.sources import sequence
 
 # File suffixes read as compressed text.
 COMPRESSED_SUFFIXES = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst")
@@ -121,6 +123,12 @@ def read_text_bytes(spark: SparkSession, path: str | Sequence[str], charset: str
     return raw.select(cols)
 
 
+def read_pairs(spark: SparkSession, path: str, split_bytes: int = sequence.SPLIT_BYTES) -> DataFrame:
+    """SequenceFiles as ``key`` and ``value`` of their Writable classes' types."""
+    sequence.register(spark)
+    return spark.read.format("sequence").option("splitBytes", split_bytes).load(path)
+
+
 def read_sequence(spark: SparkSession, path: str, field_split: str = "\x01",
                   null_string: str | None = "", ignore_key: bool = True,
                   col_filter: str | None = None, num_fields: int | None = None) -> DataFrame:
@@ -130,13 +138,14 @@ def read_sequence(spark: SparkSession, path: str, field_split: str = "\x01",
     ``ignore_key`` (the default) or the key is a NullWritable.  A
     NullWritable value contributes no fields.
 
-    SequenceFiles are only reachable through the Hadoop RDD API; the pairs
-    are turned into a DataFrame at once and everything after is columnar.
+    Keys and values of any Writable class are read through the data source
+    ``sequence`` (splits at sync markers) and become text; NullWritable is NULL.
+    Globs are expanded by Spark's listing; files without bytes hold no rows.
     """
-    rdd = spark.sparkContext.sequenceFile(path)
-    pairs = rdd.map(lambda kv: (None if kv[0] is None else str(kv[0]),
-                                None if kv[1] is None else str(kv[1])))
-    df = spark.createDataFrame(pairs, "k string, v string")
+    if any(ch in path for ch in "*?[{"):
+        found = list_files(spark, path).filter("length > 0").select("path").collect()
+        path = ",".join(sorted(r.path for r in found))
+    df = read_pairs(spark, path).select(F.col("key").cast("string").alias("k"), F.col("value").cast("string").alias("v"))
     # A NullWritable arrives as NULL: a NULL value gives no fields, a NULL
     # key is skipped; an empty Text is one empty field like any other text.
     value_fields = F.when(F.col("v").isNull(), F.array().cast("array<string>")).otherwise(
@@ -179,15 +188,27 @@ def read_parquet_as_text(spark: SparkSession, path: str | Sequence[str],
 # --------------------------------------------------------------------------
 
 def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str | None = None,
-               recursive: bool = True) -> DataFrame:
+               recursive: bool = True, with_empty: bool = False) -> DataFrame:
     """All files below ``root`` (glob allowed in the path, ``pattern`` on
-    the file name) as ``(path, length, modificationTime)``; no content read."""
+    the file name) as ``(path, length, modificationTime)``; no content read.
+
+    A scan has no rows for files without bytes.  ``with_empty`` adds them, from
+    the names that Spark's listing keeps on the driver anyway; their time is NULL."""
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(_paths(root)).select("path", "length", "modificationTime")
+    scan = reader.load(_paths(root))
+    files = scan.select("path", "length", "modificationTime")
+    if not with_empty:
+        return files
+    # Names come escaped and with an empty authority, the scan's paths without.
+    names = spark.createDataFrame([(re.sub("^([^:/]+):///", r"\1:/", unquote(p)),) for p in scan.inputFiles()],
+                                  "path string")
+    empty = names.join(files.select("path"), "path", "left_anti")
+    return files.unionByName(empty.select("path", F.lit(0).cast("bigint").alias("length"),
+                                          F.lit(None).cast("timestamp").alias("modificationTime")))
 
 
 def expand_paths(spark: SparkSession, root: str, max_depth: int | None = None,
@@ -238,7 +259,7 @@ def _root_tail(root: str) -> str:
     return out
 
 
-def detect_format(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
+def detect_format(spark: SparkSession, root: str | Sequence[str], with_length: bool = False) -> DataFrame:
     """Classify each file as TXT, COMP_TXT, SEQ or PARQUET.
 
     Order: ``.parquet`` suffix -> PARQUET; empty file -> TXT; starts with
@@ -246,16 +267,18 @@ def detect_format(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
     COMP_TXT; else TXT.  Only the first bytes of each file are read, by the
     executors (``mapInPandas`` over the listing), never whole files.
     """
-    files = list_files(spark, root).select("path", "length")
+    files = list_files(spark, root, with_empty=True).select("path", "length")
 
     def head_bytes(batches):
         import pandas as pd
-        import pyarrow.fs as pafs
 
         for pdf in batches:
             heads = []
-            for p in pdf["path"]:
-                fs, inner = pafs.FileSystem.from_uri(p)
+            for p, length in zip(pdf["path"], pdf["length"]):
+                if length == 0:
+                    heads.append(b"")
+                    continue
+                fs, inner = sequence.file_system(p)
                 with fs.open_input_stream(inner, compression=None) as fh:
                     heads.append(fh.read(4))
             yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "head": heads})
@@ -272,12 +295,13 @@ def detect_format(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
              .when(F.substring(head, 1, 2) == F.lit(bytearray(b"PA")), "PARQUET")
              .when(comp, "COMP_TXT")
              .otherwise("TXT"))
-    return heads.select("path", kind.alias("kind"))
+    return heads.select("path", kind.alias("kind"), *(["length"] if with_length else []))
 
 
 def folder_kind(spark: SparkSession, path: str) -> str:
     """The one kind (R5) of the data files in ``path``; a folder mixing
-    kinds is an error.  Only the distinct kinds (at most four values) reach
+    kinds is an error.  Files without bytes are TXT but hold no rows: they
+    decide only in a folder that has no others.  Only the distinct kinds (at most four values) reach
     the driver."""
     kinds = _kinds(spark, path)
     if len(kinds) != 1:
@@ -287,11 +311,12 @@ def folder_kind(spark: SparkSession, path: str) -> str:
 
 def _data_files(spark: SparkSession, path: str) -> DataFrame:
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    return detect_format(spark, path).filter(~name.startswith("_") & ~name.startswith("."))
+    return detect_format(spark, path, with_length=True).filter(~name.startswith("_") & ~name.startswith("."))
 
 
 def _kinds(spark: SparkSession, path: str) -> list[str]:
-    return sorted(r[0] for r in _data_files(spark, path).select("kind").distinct().collect())
+    found = _data_files(spark, path).select("kind", (F.col("length") > 0).alias("full")).distinct().collect()
+    return sorted({r.kind for r in found if r.full} or {r.kind for r in found})
 
 
 def read_detected(spark: SparkSession, path: str, field_split: str = "\x01",
@@ -316,7 +341,7 @@ def read_detected(spark: SparkSession, path: str, field_split: str = "\x01",
     if num_fields is None:
         raise ValueError(f"{path} holds files of kinds {sorted(kinds)}: num_fields is needed")
     by_kind: dict[str, list[str]] = {}
-    for file, kind in _data_files(spark, path).collect():
+    for file, kind in _data_files(spark, path).filter("length > 0").select("path", "kind").collect():
         by_kind.setdefault("TXT" if kind == "COMP_TXT" else kind, []).append(file)
     out = None
     for kind in sorted(by_kind):

@@ -15,8 +15,6 @@ WINDOW_ALLOWED = {"key_range_chunks", "clip_ranges", "reconcile", "exchange_repo
 # load_*: Spark itself picks a broadcast there, below its size threshold.
 BROADCAST_ALLOWED = {"key_range_chunks", "load_ignore", "load_replace", "load_replace_two_keys", "extent_chunks"}
 PYTHON_ALLOWED = {"remote_text_header", "extent_chunks"}
-# SequenceFiles are reached through the RDD API only.
-RDD_ALLOWED = {"sources/files.py", "sinks/files.py"}
 
 
 def test_plan_shapes(spark):
@@ -41,7 +39,7 @@ def test_sources():
     root = Path(__file__).resolve().parent.parent / "loadbay"
     code = {str(f.relative_to(root)): f.read_text() for f in root.rglob("*.py")}
     uses = lambda pattern: {f for f, text in code.items() if re.search(pattern, text)}
-    assert uses(r"\.rdd\b|mapPartitions\(") <= RDD_ALLOWED
+    assert not uses(r"\.rdd\b|mapPartitions\(")
     assert not uses(r"localCheckpoint|crossJoin|toPandas|\bfrom loadbay\.llm") - {f for f in code if f.startswith("llm/")}
     assert not uses(r"localCheckpoint|crossJoin|toPandas")
     assert not uses(r"mapInPandas|applyInPandas") - {"sinks/files.py", "sources/files.py", "sources/http.py"}
