@@ -16,7 +16,8 @@ _TRANSFERS = ["flagship_totals", "delimited_round_trip", "compressed_round_trip"
               "typed_parquet", "partition_read", "sharded_union", "route_shards",
               "read_with_schema", "print_rows", "csv_files", "sql_query", "gbk_round_trip",
               "remote_text_header", "date_masks", "load_file_round_trip", "columns_where",
-              "expand_paths_glob", "numbered_files", "del_modes", "write_modes"]
+              "expand_paths_glob", "numbered_files", "del_modes", "write_modes",
+              "shared_folder"]
 _LOADS = ["key_range_chunks", "key_range_select", "extent_chunks", "partition_ranges", "extent_span", "clip_ranges",
           "key_range_scan", "rows_to_cells", "cells_to_rows", "load_ignore", "load_replace",
           "load_files_replace", "load_buckets_replace", "load_versions_replace", "load_ignore_two_keys",

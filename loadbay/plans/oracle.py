@@ -43,6 +43,15 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
 FROM orders
 """
 
+ORACLE_SQL["shared_folder"] = """
+SELECT 'orders' AS prefix, concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), o_orderpriority) AS line
+FROM orders
+UNION ALL
+SELECT 'customer', concat_ws('|', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment)
+FROM customer, range(2)
+"""
+
 ORACLE_SQL["parquet_as_text"] = """
 SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts,
        CAST(user_id AS VARCHAR) AS user_id, nullif(event_type, '') AS event_type,

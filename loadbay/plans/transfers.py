@@ -15,6 +15,7 @@ from loadbay.functions import dates as dt
 from loadbay.functions import text as tx
 from loadbay.plans.common import scratch, table
 from loadbay.sinks import files as sinks
+from loadbay.sinks.shared import write_shared
 from loadbay.sources import files as sources
 
 # Lineitem as a load job declares it (Hive type names).
@@ -393,6 +394,20 @@ def _rows_per_prefix(spark: SparkSession, folder: str) -> DataFrame:
                  F.sum(F.substring_index("value", "\x01", 1).cast("bigint")).alias("keys")))
 
 
+def shared_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two prefixes in one folder; the second load of orders clears only
+    its own files, the third adds to them, customer's stay."""
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    folder = scratch(spark, "shared")
+    for rows, prefix, mode in [(orders, "orders", {}), (customer, "customer", {"write_mode": "nonConflict"}),
+                               (dt.dates_to_text(orders, "mysql"), "orders", {"del_mode": 3}),
+                               (customer, "customer", {"write_mode": "append"})]:
+        write_shared(rows, folder, prefix, **mode)
+    lines = spark.read.text(folder).select(
+        F.regexp_extract("_metadata.file_path", r"([a-z]+)[^/]*$", 1).alias("prefix"), "value")
+    return lines.select("prefix", F.translate("value", "\x01", "|").alias("line"))
+
+
 def del_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: two prefixes share a folder; mode 3 clears its own prefix only,
     mode 4 the whole folder."""
