@@ -10,6 +10,7 @@ many small ones are read together, without a look at a single row.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,16 +34,15 @@ def _open(path: str):
 
 def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
         for path in batch.column(0).to_pylist():
             with _open(path) as file:
                 meta = file.metadata
-                out += [(path, i, meta.row_group(i).num_rows, meta.row_group(i).total_byte_size)
-                        for i in range(meta.num_row_groups)]
-        columns = list(zip(*out)) or [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64(), pa.int64()))],
-            names=["path", "extent", "rows", "bytes"])
+                groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+                columns = ([path] * len(groups), range(len(groups)), [g.num_rows for g in groups],
+                           [g.total_byte_size for g in groups])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64(), pa.int64()))],
+                names=["path", "extent", "rows", "bytes"])
 
 
 def file_extents(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -74,6 +74,22 @@ def extent_chunks(extents: DataFrame, n: int) -> DataFrame:
     return placed.select(*extents.columns, chunk.alias("chunk"))
 
 
+def _extent_rows(names: list[str]):
+    """path, extent, chunk -> the rows with their chunk.
+
+    A footer describes every row group of its file, so a file is opened once
+    for its extents in a row, not once per extent."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in range(3))))
+        for (where, chunk), same in groupby(listed, lambda row: (row[0], row[2])):
+            with _open(where) as file:
+                for part in file.iter_batches(row_groups=[extent for _, extent, _ in same], columns=names):
+                    part = part.select(names)
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, pa.array([chunk] * part.num_rows, pa.int32())], names=[*names, "chunk"])
+    return run
+
+
 def read_extents(spark: SparkSession, chunks: DataFrame, path: str | Sequence[str], n: int,
                  columns: Sequence[str] | None = None) -> DataFrame:
     """The rows of the extents, one task per chunk (extents in order), with
@@ -81,15 +97,5 @@ def read_extents(spark: SparkSession, chunks: DataFrame, path: str | Sequence[st
     schema = spark.read.parquet(*([path] if isinstance(path, str) else path)).schema
     names = list(columns) if columns else schema.names
     ddl = ", ".join(f"`{c}` {schema[c].dataType.simpleString()}" for c in names)
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for where, extent, chunk in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                with _open(where) as file:
-                    for part in file.iter_batches(row_groups=[extent], columns=names):
-                        part = part.select(names)
-                        yield pa.RecordBatch.from_arrays(
-                            [*part.columns, pa.array([chunk] * part.num_rows, pa.int32())], names=[*names, "chunk"])
-
     return (chunks.select("path", "extent", "chunk").repartition(n, "chunk").sortWithinPartitions("chunk", "path", "extent")
-            .mapInArrow(rows, f"{ddl}, chunk int"))
+            .mapInArrow(_extent_rows(names), f"{ddl}, chunk int"))

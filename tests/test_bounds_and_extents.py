@@ -5,6 +5,8 @@ import random
 from collections import Counter
 from decimal import Decimal
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +76,20 @@ def test_extents_are_balanced_and_read_once(spark, tmp_dir):
     assert ex.read_extents(spark, chunks, path, n, columns=["v"]).columns == ["v", "chunk"]
 
 
+def test_a_file_is_opened_once_per_chunk(tmp_path, monkeypatch):
+    files = [f"file://{tmp_path}/{name}.parquet" for name in "ab"]
+    for k, file in enumerate(files):
+        pq.write_table(pa.table({"id": range(100 * k, 100 * k + 100)}), file[7:], row_group_size=10)
+    opened, real = [], ex._open
+    monkeypatch.setattr(ex, "_open", lambda where: opened.append(where) or real(where))
+    rows = [(files[k], i, (10 * k + i) // 7) for k in range(2) for i in range(10)]
+    listed = pa.table(list(zip(*rows)), names=["path", "extent", "chunk"]).to_batches(max_chunksize=3)
+    got = pa.Table.from_batches(ex._extent_rows(["id"])(iter(listed)))
+    assert got.column("id").to_pylist() == list(range(200))
+    assert got.column("chunk").to_pylist() == [i // 70 for i in range(200)]
+    assert opened == [files[0]] * 2 + [files[1]] * 2
+
+
 def test_no_extents(spark, tmp_dir):
     path = f"{tmp_dir}/none"
     spark.range(0).write.parquet(path)
