@@ -44,6 +44,8 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50
 SYMBOLS = "#*$%&|<>"
 TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
+#: TOKEN by the characters it has: Java tests a negated class of ranges some 25 times slower.
+_SPARK_TOKEN = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+|[!-/:-@\[-`{-~]+"
 _BLANKS = "".join(map(chr, (0x20, *range(9, 14))))
 
 
@@ -91,7 +93,7 @@ def base_rules(docs: DataFrame, least_words: int = LEAST_WORDS, most_repeated: i
 
 def with_buckets(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Adds ``_buckets``: the bucket of every n-gram of the text (null: none)."""
-    tokens = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TOKEN), F.lit(0))
+    tokens = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_SPARK_TOKEN), F.lit(0))
     out = rows.withColumn("_crcs", F.transform(tokens, lambda w: F.crc32(w)))
     crcs = F.col("_crcs")
     pairs = F.transform(F.slice(crcs, 2, F.greatest(F.size(crcs) - 1, F.lit(0))),
