@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from loadbay.llm.words import buffers
+
 #: Distinct pre-tokens a worker keeps; the store is emptied when it is full.
 KEEP = 800_000
 #: Pre-tokens per call of the library.
@@ -94,6 +96,34 @@ def cut(word: str) -> tuple[str, str]:
     return core, word[len(core):]
 
 
+def strings(words: pa.Array) -> list[str]:
+    """The words as a list; ``to_pylist`` takes eight times as long."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def cuts(words: pa.LargeStringArray) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    """``cut`` of many words: what stays of each, which have punctuation cut
+    off, and that.  Plain ASCII words are cut by Arrow, all at a time."""
+    plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<")))
+    low = pc.if_else(plain, pc.ascii_lower(words), words)
+    core = pc.ascii_rtrim(low, characters=_AFTER)
+    data, edge = buffers(core)
+    size = np.diff(edge)
+    last = np.zeros(len(words), np.uint8)
+    last[size > 0] = data[edge[1:][size > 0] - 1]
+    plain = plain.to_numpy(zero_copy_only=False)
+    is_cut = plain & (size > 0) & (size < np.diff(buffers(low)[1])) & (last >= 97) & (last <= 122)
+    at = np.flatnonzero(is_cut)
+    ends = [w[n:] for w, n in zip(strings(low.take(pa.array(at))), size[at].tolist())]
+    other = np.flatnonzero(~plain)
+    pairs = [cut(w) for w in strings(words.take(pa.array(other)))]
+    more = [k for k, (_, y) in enumerate(pairs) if y]
+    kept = pc.if_else(pa.array(is_cut), core, low)
+    if pairs:
+        kept = pc.replace_with_mask(kept, pa.array(~plain), pa.array([x for x, _ in pairs], kept.type))
+    return kept, np.concatenate([at, other[more]]), pa.array(ends + [pairs[k][1] for k in more], kept.type)
+
+
 def pre_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Each text's range of pre-tokens, every pre-token's place in the list of
     distinct ones, and that list."""
@@ -102,18 +132,17 @@ def pre_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     at = np.asarray(lists.offsets, np.int64)
     coded = lists.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
     code = np.asarray(coded.indices, np.int64)
-    places: dict[str, int] = {}
-    core, after = [], []
-    for word in coded.dictionary.to_pylist():
-        x, y = cut(word)
-        core.append(places.setdefault(x, len(places)))
-        after.append(places.setdefault(y, len(places)) if y else -1)
-    core, after = np.array(core, np.int64)[code], np.array(after, np.int64)[code]
+    cores, cut_words, ends = cuts(coded.dictionary)
+    numbered = pa.concat_arrays([cores, ends]).dictionary_encode()
+    place = np.asarray(numbered.indices, np.int64)
+    after = np.full(len(cores), -1, np.int64)
+    after[cut_words] = place[len(cores):]
+    core, after = place[: len(cores)][code], after[code]
     end = np.cumsum(1 + (after >= 0))
     out = np.zeros(end[-1] if len(end) else 0, np.int64)
     out[end - 1 - (after >= 0)] = core
     out[end[after >= 0] - 1] = after[after >= 0]
-    return np.concatenate([[0], end])[at - at[0]], out, list(places)
+    return np.concatenate([[0], end])[at - at[0]], out, strings(numbered.dictionary)
 
 
 def text_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
