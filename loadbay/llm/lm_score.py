@@ -103,44 +103,65 @@ def contexts(ids: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _shift(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``x`` less every row's maximum, in place, and the logarithm of the sum
+    of its exponentials.  Maxima are taken over a transposed copy: numpy is slow
+    over short rows."""
+    x -= np.ascontiguousarray(x.T).max(axis=0)[:, None]
+    return x, np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
 def step(p: dict[str, np.ndarray], ids: np.ndarray, near: list[np.ndarray], rate: float | None) -> np.ndarray:
-    """Log-probability of every word; with a rate, also one gradient step."""
+    """Log-probability of every word; with a rate, also one gradient step.
+
+    Words are put in order of their group once, so that a group is a slice."""
     n = len(ids)
-    total = p["bias"] + p["near"][0][near[0]]
+    total = p["near"][0].take(near[0], axis=0)
+    total += p["bias"]
     for s in range(1, len(near)):
-        total += p["near"][s][near[s]]
-    h = np.tanh(total)
+        total += p["near"][s].take(near[s], axis=0)
+    h = np.tanh(total, out=total)
     group, place = ids % GROUPS, ids // GROUPS
-    lg = _log_softmax(h @ p["group"][:-1] + p["group"][-1])
-    rows = np.arange(n)
-    out = lg[rows, group].astype(np.float64)
+    lg = h @ p["group"][:-1]
+    lg += p["group"][-1]
+    lg, norm = _shift(lg)
+    own = np.arange(n) * GROUPS + group
+    if rate is None:
+        out = (lg.take(own) - norm[:, 0]).astype(np.float64)
+    else:
+        lg -= norm
+        out = lg.take(own).astype(np.float64)
     order = np.argsort(group.astype(np.uint8), kind="stable")
-    edge = np.searchsorted(group[order], np.arange(GROUPS + 1))
+    edge = np.searchsorted(group[order], np.arange(GROUPS + 1)).tolist()
+    more, hs, ps = np.zeros(n, np.float32), h.take(order, axis=0), place[order]
     if rate is not None:
-        err = np.exp(lg)
-        err[rows, group] -= 1
+        err = np.exp(lg, out=lg)
+        err.reshape(-1)[own] -= 1
         back = err @ p["group"][:-1].T
         grad_group = np.concatenate([h.T @ err, err.sum(axis=0, keepdims=True)]) / n
+        sorted_back = back.take(order, axis=0)
     for g in range(GROUPS):
-        idx = order[edge[g]: edge[g + 1]]
-        if not len(idx):
+        i, j = edge[g], edge[g + 1]
+        if i == j:
             continue
         w = p["place"][g]
-        hg = h[idx]
-        lp = _log_softmax(hg @ w[:-1] + w[-1])
-        own = place[idx]
-        out[idx] += lp[np.arange(len(idx)), own]
-        if rate is not None:
-            e = np.exp(lp)
-            e[np.arange(len(idx)), own] -= 1
-            back[idx] += e @ w[:-1].T
-            w -= rate * np.concatenate([hg.T @ e, e.sum(axis=0, keepdims=True)]) / len(idx)
+        hg = hs[i:j]
+        lp = hg @ w[:-1]
+        lp += w[-1]
+        lp, norm = _shift(lp)
+        own = np.arange(j - i) * PER_GROUP + ps[i:j]
+        if rate is None:
+            more[i:j] = lp.take(own) - norm[:, 0]
+            continue
+        lp -= norm
+        more[i:j] = lp.take(own)
+        e = np.exp(lp, out=lp)
+        e.reshape(-1)[own] -= 1
+        sorted_back[i:j] += e @ w[:-1].T
+        w -= rate * np.concatenate([hg.T @ e, e.sum(axis=0, keepdims=True)]) / (j - i)
+    out[order] += more
     if rate is not None:
+        back[order] = sorted_back
         p["group"] -= rate * grad_group
         back *= 1 - h * h
         p["bias"] -= rate * back.mean(axis=0)
@@ -148,7 +169,7 @@ def step(p: dict[str, np.ndarray], ids: np.ndarray, near: list[np.ndarray], rate
             o = np.argsort(ctx.astype(np.uint16), kind="stable")
             c = ctx[o]
             cut = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-            sums = np.add.reduceat(back[o], cut, axis=0)
+            sums = np.add.reduceat(back.take(o, axis=0), cut, axis=0)
             seen = np.diff(np.concatenate([cut, [n]]))[:, None]
             p["near"][s][c[cut]] -= rate * sums / np.sqrt(seen) / 4
     return out
