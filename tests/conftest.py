@@ -24,3 +24,14 @@ def spark():
 def tmp_dir():
     """A fresh folder per test (never reused, never cleared)."""
     return tempfile.mkdtemp(prefix="loadbay-test-", dir="/tmp")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_frames_left_cached():
+    """A module's cached frames end with it: others look for persisted data."""
+    yield
+    from pyspark.sql import SparkSession
+
+    session = SparkSession.getActiveSession()
+    if session:
+        session.catalog.clearCache()
