@@ -31,6 +31,8 @@ SAMPLE = 6000
 REJECT = 0.001
 WINDOWS = 3
 UND = "und"
+#: Text bytes classified at a time.
+BLOCK = 1 << 16
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -212,7 +214,7 @@ def classify(texts: pa.Array, lettered: np.ndarray, model: Model | None) -> tupl
     lang = np.full(len(texts), UND, object)
     score = np.zeros(len(texts))
     reject = np.ones(len(texts), bool)
-    for i, j in W.blocks(off, 1 << 19) if model is not None else ():
+    for i, j in W.blocks(off, BLOCK) if model is not None else ():
         n = j - i
         o = off[i: j + 1] - off[i]
         start = o[:-1] + np.arange(n)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadbay.llm import words as W
-from loadbay.llm.common import attach_group, components, stash
+from loadbay.llm.common import attach_group, components, stash, text_batches
 
 PERMUTATIONS = 32
 BAND_ROWS = 3
@@ -56,7 +56,7 @@ def _signer(k: int, perms: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = W.buffers(batch.column(1))
-            for i, j in W.blocks(off):
+            for i, j in W.blocks(off, W.SMALL_BLOCK):
                 o = off[i: j + 1] - off[i]
                 h, at = W.shingle_hashes(*W.word_hashes(data[off[i]: off[j]], o), k)
                 d = j - i
@@ -95,7 +95,7 @@ def _set_maker(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = W.buffers(batch.column(1))
-            for i, j in W.blocks(off):
+            for i, j in W.blocks(off, W.SMALL_BLOCK):
                 o = off[i: j + 1] - off[i]
                 h, at = W.shingle_hashes(*W.word_hashes(data[off[i]: off[j]], o), k)
                 sets = [np.unique(h[at[r]: at[r + 1]]) for r in range(j - i)]
@@ -153,9 +153,10 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, perms: int = PER
     """One row per document: doc_id, n_shingles, component_id (the smallest
     doc_id reachable over links), kept (doc_id = component_id)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stash(docs.mapInArrow(
-        _signer(k, perms, rows),
-        "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, short binary"), "minmax-signed")
+    with text_batches(docs.sparkSession):
+        signed = stash(docs.mapInArrow(
+            _signer(k, perms, rows),
+            "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, short binary"), "minmax-signed")
     usable = signed.where("n_shingles > 0 and doc_id is not null")
 
     # Documents with equal sets are one node, named by the smallest doc_id.
@@ -171,9 +172,10 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, perms: int = PER
         attach_group(keyed.withColumn("one", F.lit(1)), ["key"],
                      {"low": ("min", "node"), "high": ("max", "node"), "size": ("sum", "one"), "mass": ("sum", "n_shingles")},
                      "minmax-bucket-sizes").where("low <> high").drop("one", "n_shingles"), "minmax-buckets")
-    sets = stash(docs.join(buckets.select(F.col("node").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
-                 .select("doc_id", "text").mapInArrow(_set_maker(k), "node long, hashes array<long>"),
-                 "minmax-sets")
+    with text_batches(docs.sparkSession):
+        sets = stash(docs.join(buckets.select(F.col("node").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
+                     .select("doc_id", "text").mapInArrow(_set_maker(k), "node long, hashes array<long>"),
+                     "minmax-sets")
 
     star = (buckets.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b"))
             .union(buckets.where("node <> high and low <> node")

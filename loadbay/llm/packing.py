@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadbay.llm import words as W
-from loadbay.llm.common import running_total, stash
+from loadbay.llm.common import running_total, stash, text_batches
 from loadbay.llm.tokens import encoder, text_ids
 
 LENGTH = 4096
@@ -31,8 +31,9 @@ END_ID = 2
 DIMS = 3
 BITS = 10
 BUCKETS = 64
-#: Text bytes tokenised at a time: the larger, the fewer repeats of a word.
-BLOCK = 4 << 20
+#: Text bytes tokenised at a time: the larger, the fewer repeats of a word and
+#: the more memory of the worker.
+BLOCK = 2 << 20
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -86,7 +87,7 @@ def _tokenised(path: str, end_id: int):
             for i, j in W.blocks(off, BLOCK):
                 key = np.concatenate([
                     hilbert_keys(document_points(data[off[i + a]: off[i + b]], off[i + a: i + b + 1] - off[i + a]))
-                    for a, b in W.blocks(off[i: j + 1])])
+                    for a, b in W.blocks(off[i: j + 1], W.SMALL_BLOCK)])
                 ids, at = text_ids(batch.column(1).slice(i, j - i), path)
                 each = [np.concatenate([ids[at[r]: at[r + 1]], end]).tobytes() for r in range(j - i)]
                 yield pa.RecordBatch.from_arrays(
@@ -139,9 +140,10 @@ def _cutter(path: str, total: int, length: int):
 
 def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    coded = stash(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                  .mapInArrow(_tokenised(path, end_id), "doc_id long, key long, doc_tokens long, ids binary")
-                  .withColumn("row", F.monotonically_increasing_id()), "pack-ids")
+    with text_batches(docs.sparkSession):
+        coded = stash(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                      .mapInArrow(_tokenised(path, end_id), "doc_id long, key long, doc_tokens long, ids binary")
+                      .withColumn("row", F.monotonically_increasing_id()), "pack-ids")
     placed = running_total(coded.select("row", "doc_id", "key", "doc_tokens"), [], ["key", "doc_id", "row"],
                            F.col("doc_tokens"), "place")
     total = coded.agg(F.sum("doc_tokens")).first()[0] or 0

@@ -17,8 +17,11 @@ import pyarrow.compute as pc
 
 from loadbay.llm.words import buffers
 
-#: Distinct pre-tokens a worker keeps; the store is emptied when it is full.
+#: Distinct words of a shard that a task of ``token_counts`` keeps.
 KEEP = 800_000
+#: Distinct pre-tokens in a worker's store, which outlives the task; it is
+#: emptied when it is full.
+STORED = 250_000
 #: Pre-tokens per call of the library.
 CALL = 2_000
 _AFTER = ".,;:!?&$%#*|)"
@@ -56,7 +59,7 @@ class PieceEncoder:
 
     def numbers(self, pieces: list[str]) -> np.ndarray:
         """The store's number of every piece; new ones are encoded."""
-        if len(self.known) > KEEP:
+        if len(self.known) > STORED:
             self.clear()
         known = self.known
         new = [x for x in pieces if x not in known]
