@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from loadbay.llm import lm_score, tokens
+from loadbay.llm.queries import tokenizer_path
 
 
 def test_words_cut_together_are_cut_as_one_by_one():
@@ -18,6 +19,34 @@ def test_words_cut_together_are_cut_as_one_by_one():
         assert [(x, after.get(i, "")) for i, x in enumerate(kept.to_pylist())] == [tokens.cut(w) for w in some]
 
 
+def test_only_words_with_punctuation_at_the_end_are_cut_one_by_one(monkeypatch):
+    seen, cut = [], tokens.cut
+    monkeypatch.setattr(tokens, "cut", lambda w: (seen.append(w), cut(w))[1])
+    tokens.cuts(pa.array(["été", "été,", "a<b", "plain", "plain.", "ñ"], pa.large_string()))
+    assert seen == ["été,"]
+
+
+def test_pieces_asked_together_have_the_ids_of_each_alone():
+    rnd = random.Random(4)
+    letters = [*"aB9.,<>'İΣßñ漢\x00\u00a0\u0301\u05d9\u05b4가\u1100😀", "<|endoftext|>", "'s"]
+    pieces = sorted({"".join(rnd.choices(letters, k=rnd.randrange(8))) for _ in range(3000)}) + ["aé漢" * 4000, "z"]
+    store = tokens.PieceEncoder(tokenizer_path())
+    each = [store.library.encode(x, add_special_tokens=False).ids for x in pieces]
+    lists, encode = [], store.library.encode
+
+    class Library:
+        def encode(self, text, **options):
+            lists.append(isinstance(text, list))
+            return encode(text, **options)
+
+    store.library = Library()
+    ids, sizes = store.counted(pieces)
+    assert sizes.tolist() == [len(x) for x in each] and ids.tolist() == [k for x in each for k in x]
+    assert lists and not any(lists)  # a list takes the library longer
+    ids, sizes = store.counted([])
+    assert len(ids) == len(sizes) == 0
+
+
 def _softmax(x):
     e = np.exp(x - x.max())
     return e / e.sum()

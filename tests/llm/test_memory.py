@@ -50,6 +50,21 @@ def test_store_of_pre_tokens_stays_small():
         assert len(store.known) <= 300_000
 
 
+def test_full_store_keeps_what_calls_ask_for(monkeypatch):
+    monkeypatch.setattr(tokens, "STORED", 100)
+    store, asked = tokens.PieceEncoder(tokenizer_path()), []
+    encode = store.counted
+    store.counted = lambda pieces: (asked.extend(pieces), encode(pieces))[1]
+    common = [f"often{'x' * k}" for k in range(30)]
+    for k in range(0, 1000, 20):
+        pieces = common[:15] + [f"rare{x}" for x in range(k, k + 20)] + common[15:]
+        at = store.numbers(pieces)
+        for x, i in zip(pieces, at):
+            want = store.library.encode(x, add_special_tokens=False).ids
+            assert store.flat[store.edge[i]: store.edge[i + 1]].tolist() == want
+    assert len(asked) == len(set(asked)) == 1030
+
+
 def test_texts_go_to_python_in_small_batches(spark):
     def sizes(batches):
         for b in batches:
