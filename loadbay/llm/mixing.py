@@ -4,9 +4,11 @@ Every source has a weight and a target number of words; all documents of a
 source have the same expected number of copies, target / size of the source.
 Expected copies are summed in order of (size, doc_id) inside the source, one
 random offset per source is added, and a document is emitted once per integer
-boundary its interval crosses.  The offset is drawn, never chosen, so every
-document's expected copies are what the mix asks for; ordered by size, the words
-taken differ from the target by at most the source's largest document.
+boundary its interval crosses.  Ordered by size, the words taken differ from the
+target by at most the source's largest document.  The offset is drawn once and
+turned to equally spaced places, and the place whose words come nearest the
+target is used: nearer targets, at the price that over many seeds a document's
+copies are no longer the expected ones, and in small sources some may be zero.
 
 Only DataFrame functions are used, and no task holds all sources or all rows of
 one.  A null text has size 0, a null source is a source of its own (last in
@@ -25,6 +27,7 @@ from loadbay.llm.common import WORD, running_total, running_totals, stash
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
+TURNS = 16
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -72,15 +75,26 @@ def _copies(start: Column) -> Column:
 
 def plan_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
                 seed: int = 1, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, size, source_size, target, copies, taken (and ``carry``) per document."""
+    """doc_id, size, source_size, target, copies, taken (and ``carry``) per document.
+
+    A source's offset is drawn once, turned to ``TURNS`` equally spaced
+    places, and the place whose words come nearest the target is used."""
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *carry)
     placed = stash(running_total(sized, ["source"], ["size", "doc_id"], F.lit(1), "at"), "mix-placed")
     goal = stash(targets(placed.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most),
                  "mix-targets").withColumnRenamed("source", "of")
-    copies = _copies(offset(F.col("source"), seed))
-    return (placed.join(goal, F.col("source").eqNullSafe(F.col("of")))
+    turned = [F.pmod(offset(F.col("source"), seed) + F.lit(k / TURNS), F.lit(1.0)) for k in range(TURNS)]
+    of = F.col("source").eqNullSafe(F.col("of"))
+    tried = placed.join(goal, of).groupBy("of", "source_size", "target").agg(
+        *[F.sum(_copies(u) * F.col("size")).alias(f"taken_{k}") for k, u in enumerate(turned)])
+    nearest = F.array_min(F.array(*[
+        F.struct(F.abs(F.col(f"taken_{k}") - F.col("target")).alias("miss"), F.lit(k).alias("turn"))
+        for k in range(TURNS)]))
+    chosen = stash(tried.select("of", "source_size", "target", nearest["turn"].alias("turn")), "mix-turns")
+    copies = _copies(F.element_at(F.array(*turned), F.col("turn") + 1))
+    return (placed.join(chosen, of)
             .select("doc_id", "size", "source_size", "target", copies.alias("copies"),
                     (copies * F.col("size")).alias("taken"), *carry))
 
